@@ -141,21 +141,21 @@ def _growth(c: Context):
 
 @query(
     "time_intelligence",
-    f"SELECT year, year_month, gross_sales, gross_sales_prev_month, gross_sales_prev_year, {TI_PCTS} FROM ti",
+    "SELECT year, year_month, " + doubles("gross_sales", "gross_sales_prev_month", "gross_sales_prev_year") + f", {TI_PCTS} FROM ti",
     ("ti",),
 )
 def time_intelligence(c: Context):
     return _growth(c)
 
 
-@query("tq_monthly_growth", f"SELECT year_month, gross_sales, {TI_PCTS} FROM ti", ("ti",))
+@query("tq_monthly_growth", f"SELECT year_month, {doubles('gross_sales')}, {TI_PCTS} FROM ti", ("ti",))
 def tq_monthly_growth(c: Context):
     return _growth(c).select("year_month", "gross_sales", "mom_pct", "yoy_pct").orderBy("year_month")
 
 
 @query(
     "tq_latest_yoy",
-    f"SELECT year_month, gross_sales, yoy_pct FROM (SELECT year_month, gross_sales, {TI_PCTS} FROM ti)"
+    f"SELECT year_month, {doubles('gross_sales')}, yoy_pct FROM (SELECT year_month, gross_sales, {TI_PCTS} FROM ti)"
     " ORDER BY year_month DESC LIMIT 1",
     ("ti",),
 )

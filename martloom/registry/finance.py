@@ -140,11 +140,11 @@ def va_pct_account(c: Context):
 
 @query(
     "ha_pct",
-    """SELECT account_header_name, year_month, valor, valor_anterior,
-         (valor - valor_anterior) / nullif(abs(valor_anterior), 0) AS ha_pct
+    f"""SELECT account_header_name, year_month, {doubles('valor', 'valor_anterior')},
+         {sql_ratio('valor - valor_anterior', 'abs(valor_anterior)')} AS ha_pct
        FROM (SELECT *, lag(valor) OVER (PARTITION BY account_header_name ORDER BY year_month) AS valor_anterior
              FROM (SELECT account_header_name, CAST(year * 100 + month AS INTEGER) AS year_month,
-                     CAST(sum(signed_amount) AS DOUBLE) AS valor
+                     sum(signed_amount) AS valor
                    FROM stmt WHERE scenario = 'actual' GROUP BY 1, 2))""",
     ("stmt",),
 )

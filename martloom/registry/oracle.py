@@ -191,7 +191,7 @@ RELATIONS: dict[str, tuple[tuple[str, ...], str]] = {
              lag(gross_sales) OVER (ORDER BY ym) AS gross_sales_prev_month,
              lag(gross_sales, 12) OVER (ORDER BY ym) AS gross_sales_prev_year
            FROM (SELECT year(order_date) * 100 + month(order_date) AS ym,
-                   CAST(sum(gross_sales) AS DOUBLE) AS gross_sales FROM fct GROUP BY 1)""",
+                   sum(gross_sales) AS gross_sales FROM fct GROUP BY 1)""",
     ),
     "sub_month": (
         ("fct", "item"),

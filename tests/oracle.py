@@ -28,7 +28,7 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _plain(value: object) -> object:
     if isinstance(value, float):
-        return None if math.isnan(value) else float(f"{value:.13g}")
+        return None if math.isnan(value) else float(f"{value:.15g}")
     return value
 
 
