@@ -60,9 +60,11 @@ def orphan_audit(fact: DataFrame, references: Iterable[tuple[str, DataFrame, str
 
 
 def side_by_side(left: Column, left_df: DataFrame, right: Column, right_df: DataFrame) -> DataFrame:
-    """Two totals in one row and their difference."""
-    both = left_df.agg(left.alias("left_total")).crossJoin(right_df.agg(right.alias("right_total")))
-    return both.withColumn("difference", F.col("left_total") - F.col("right_total"))
+    """Two totals in one row and their difference, each a one-row aggregate beside the other."""
+    totals = left_df.agg(left.alias("left_total")).withColumn(
+        "right_total", right_df.agg(right.alias("right_total")).scalar()
+    )
+    return totals.withColumn("difference", F.col("left_total") - F.col("right_total"))
 
 
 def null_share(df: DataFrame, column: str) -> DataFrame:

@@ -34,16 +34,14 @@ def interval_join(
     if bucket_days is None:
         keep = [c for c in periods.columns if c != key]
         return facts.join(periods, key).filter(inside).select(*facts.columns, *keep)
-    newest = facts.agg(F.max(start).alias("_newest"))
-    last = F.least(F.coalesce(F.col(p_end), F.col("_newest")), F.col("_newest"))
+    newest = facts.agg(F.max(start)).scalar()
+    last = F.least(F.coalesce(F.col(p_end), newest), newest)
     laid_out = (
-        periods.crossJoin(F.broadcast(newest))  # one row
-        .filter(F.col(p_start) <= last)
+        periods.filter(F.col(p_start) <= last)
         .withColumn(
             "_bucket",
             F.explode(F.sequence(_bucket(F.col(p_start), bucket_days), _bucket(last, bucket_days))),
         )
-        .drop("_newest")
     )
     keep = [c for c in periods.columns if c != key]
     return (

@@ -18,15 +18,29 @@ MODEL_VERSION = "trend-season-1"
 BAND_WIDTH = 1.2816
 
 
-def monthly_history(sales: DataFrame, *series: str) -> DataFrame:
-    """Gross sales per month (and per series), as ``ds`` and ``y``."""
+def monthly_history(sales: DataFrame) -> DataFrame:
+    """Gross sales per month, as ``ds`` and ``y``."""
     return (
         sales.filter(F.col("order_date").isNotNull())
-        .groupBy(*series, dates.month_start(F.col("order_date")).alias("ds"))
+        .groupBy(dates.month_start(F.col("order_date")).alias("ds"))
         .agg(F.sum("gross_sales").cast("double").alias("y"))
     )
 
 
+def product_history(sales: DataFrame, product: DataFrame, *series: str) -> DataFrame:
+    """Gross sales per month and product attribute; products are joined once summed per month."""
+    per_product = (
+        sales.filter(F.col("order_date").isNotNull())
+        .groupBy("product_key", dates.month_start(F.col("order_date")).alias("ds"))
+        .agg(F.sum("gross_sales").alias("_gross"))
+    )
+    return (
+        per_product.join(product.select("product_key", *series), "product_key")
+        .groupBy(*series, "ds")
+        .agg(F.sum("_gross").cast("double").alias("y"))
+    )
+
+
 def _month_number(day: Column) -> Column:
     return F.year(day) * 12 + F.month(day)
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from martloom.plans import gold, semantic
+from martloom.plans.contracts import CONTRACTS
 
 PROJECTIONS = {
     "dim_customer": "customer",
@@ -85,3 +86,10 @@ class Mart:
             g("dim_department_group"),
             g("dim_calendar"),
         )
+
+    def register_views(self, spark: SparkSession) -> None:
+        """Every gold table and both flat views as temporary views, for plain SQL."""
+        for table in CONTRACTS:
+            self.gold(table).createOrReplaceTempView(table)
+        self.sales_transactions().createOrReplaceTempView("v_sales_transactions")
+        self.income_statement().createOrReplaceTempView("v_income_statement")

@@ -22,7 +22,7 @@ FACT_DATES = {
 
 def refresh_silver(lake: Lake) -> None:
     for table, spec in SPECS.items():
-        silver = to_silver(lake.read("bronze", table), spec, F.current_timestamp())
+        silver = to_silver(lake.read("bronze", table, merge_schema=True), spec, F.current_timestamp())
         lake.replace(silver, "silver", table)
 
 

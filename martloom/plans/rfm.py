@@ -53,19 +53,25 @@ def segment() -> Column:
 
 
 def customer_rfm(sales: DataFrame, limits: RfmThresholds = RfmThresholds()) -> DataFrame:
-    """One row per customer who bought in the last months before the newest sale."""
-    anchor = sales.agg(F.max("order_date").alias("ref_date"))
-    recent = sales.join(
-        F.broadcast(anchor),  # one row
-        F.col("order_date") >= F.add_months(F.col("ref_date"), -limits.months),
-    )
+    """One row per customer who bought in the last months before the newest sale.
+
+    The newest sale is a scalar subquery, so the window is a plain filter that Catalyst moves
+    below the joins that make up the fact.
+    """
+    anchor = sales.agg(F.max("order_date")).scalar()
+    recent = sales.filter(F.col("order_date") >= F.add_months(anchor, -limits.months))
     base = recent.groupBy("customer_key").agg(
         F.max("order_date").alias("last_purchase"),
-        F.date_diff(F.max("ref_date"), F.max("order_date")).alias("recency_days"),
         F.count_distinct("sales_order_number").alias("sales_orders_12m"),
         F.sum("gross_sales").alias("gross_sales_12m"),
     )
-    scored = base.withColumns(
+    scored = base.select(
+        "customer_key",
+        "last_purchase",
+        F.date_diff(anchor, "last_purchase").alias("recency_days"),
+        "sales_orders_12m",
+        "gross_sales_12m",
+    ).withColumns(
         {
             "r": _score(F.col("recency_days"), limits.recency_days, True),
             "f": _score(F.col("sales_orders_12m"), limits.orders, False),

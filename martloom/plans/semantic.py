@@ -59,7 +59,6 @@ def sales_transactions(
             F.col("discount_allocated").alias("discount_amount"),
         )
         .join(buyers, "customer_key")
-        .join(items, "product_key")
     )
     if cost_history is None:
         sold = sold.withColumn("unit_cost", F.lit(None).cast(MONEY))
@@ -72,6 +71,7 @@ def sales_transactions(
             "unit_cost",
         )
         sold = sold.join(cost, ["product_key", "order_year", "order_month", "country_code"], "left")
+    sold = sold.join(items, "product_key")
     returned = (
         returns.select(
             F.lit("return").alias("transaction_type"),

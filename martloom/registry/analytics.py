@@ -176,8 +176,8 @@ def pvm_reading(c: Context):
 def _history(c: Context, *series: str):
     sales = c.gold("fct_sales_details")
     if series:
-        sales = sales.join(c.gold("dim_product").select("product_key", *series), "product_key")
-    return forecast.monthly_history(sales, *series)
+        return forecast.product_history(sales, c.gold("dim_product"), *series)
+    return forecast.monthly_history(sales)
 
 
 @query(

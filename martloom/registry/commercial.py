@@ -315,3 +315,21 @@ SHOWN = {"vendas": "Gross Sales", "margem": "Gross Margin %", "devolucao": "% Re
 )
 def format_measures(c: Context):
     return c.commercial.formatted(c.commercial.query(SHOWN, {"regiao": "Regiao"}), SHOWN)
+
+
+@query(
+    "named_parameters",
+    f"SELECT region_name, order_year, count(*) AS linhas, {as_double(GROSS, 'gross_sales')} FROM tx"
+    f" WHERE region_name = '{REGION}' AND order_year >= 1998 GROUP BY 1, 2",
+    ("tx",),
+)
+def named_parameters(c: Context):
+    """The views queried in plain SQL with named parameters."""
+    c.mart.register_views(c.spark)
+    return c.spark.sql(
+        """SELECT region_name, order_year, count(*) AS linhas,
+                  sum(gross_amount) FILTER (WHERE transaction_type = 'sale') AS gross_sales
+           FROM v_sales_transactions WHERE region_name = :regiao AND order_year >= :ano
+           GROUP BY region_name, order_year""",
+        args={"regiao": REGION, "ano": 1998},
+    )

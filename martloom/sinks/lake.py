@@ -22,14 +22,28 @@ class Lake:
     def schema_location(self, table: str) -> str:
         return f"{self.root}/_ops/{table}/schema"
 
-    def read(self, layer: str, table: str) -> DataFrame:
-        """Files of one table may carry different column sets, so their schemas are merged."""
-        return self.spark.read.option("mergeSchema", "true").parquet(self.path(layer, table))
+    def read(self, layer: str, table: str, merge_schema: bool = False) -> DataFrame:
+        """``merge_schema`` unites the columns of all files, for tables appended to over time."""
+        reader = self.spark.read.option("mergeSchema", str(merge_schema).lower())
+        return reader.parquet(self.path(layer, table))
+
+    def _located(self, folder: str):
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
 
     def exists(self, layer: str, table: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path(layer, table))
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+        fs, path = self._located(self.path(layer, table))
+        return fs.exists(path)
+
+    def has_load_history(self, table: str) -> bool:
+        fs, path = self._located(self.checkpoint(table))
+        return fs.exists(path)
+
+    def drop(self, layer: str, table: str) -> None:
+        """Remove a table and what is remembered about the files loaded into it."""
+        for folder in (self.path(layer, table), f"{self.root}/_ops/{table}"):
+            fs, path = self._located(folder)
+            fs.delete(path, True)
 
     def replace(
         self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = ()

@@ -103,10 +103,10 @@ def reconcile(
     """Source and target row counts per table, differing ones first."""
     result = None
     for entry in manifest:
-        rows = table(entry.source).agg(F.count(F.lit(1)).alias("source_rows")).crossJoin(
-            target.read(entry.destination).agg(F.count(F.lit(1)).alias("target_rows"))
+        stored = target.read(entry.destination).agg(F.count(F.lit(1))).scalar()
+        rows = table(entry.source).agg(F.count(F.lit(1)).alias("source_rows")).select(
+            F.lit(entry.destination).alias("table_name"), "source_rows", stored.alias("target_rows")
         )
-        rows = rows.select(F.lit(entry.destination).alias("table_name"), "source_rows", "target_rows")
         result = rows if result is None else result.unionByName(rows)
     status = F.when(F.col("source_rows") == F.col("target_rows"), "OK").otherwise("DIVERGE")
     return result.withColumn("status", status).orderBy("status", "table_name")

@@ -19,17 +19,35 @@ REPORT_SCHEMA = (
 
 
 def full_load(lake: Lake, table: str, source: str) -> None:
-    """Replace the table by everything in its landing folder."""
+    """Replace the table by everything in its landing folder.
+
+    The memory of incrementally loaded files goes with the rows they brought.
+    """
+    lake.drop(BRONZE, table)
     lake.replace(scan_parquet(lake.spark, source, merge_schema=True), BRONZE, table)
 
 
+def reload(lake: Lake, table: str, source: str) -> int:
+    """Drop, load in full, and count."""
+    full_load(lake, table, source)
+    return stored_rows(lake, table)
+
+
+def _start_incremental(lake: Lake, table: str) -> None:
+    """A snapshot from a full load gives way to the first incremental load of the same files."""
+    if not lake.has_load_history(table):
+        lake.drop(BRONZE, table)
+
+
 def copy_into(lake: Lake, table: str, source: str) -> None:
     """Add landed files not loaded before; columns new to this run are kept."""
+    _start_incremental(lake, table)
     load_new_files(lake.spark, source, lake.path(BRONZE, table), lake.checkpoint(table))
 
 
 def auto_load(lake: Lake, table: str, source: str) -> None:
     """As ``copy_into`` with the schema remembered between runs, so a column never disappears."""
+    _start_incremental(lake, table)
     load_new_files(
         lake.spark, source, lake.path(BRONZE, table), lake.checkpoint(table), lake.schema_location(table)
     )

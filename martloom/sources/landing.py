@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,16 @@ def scan_parquet(spark: SparkSession, path: str, merge_schema: bool = False) ->
     return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
 
 
+def dated_folder(root: str, source: str, table: str, day: date) -> str:
+    """Where one day's extract of a source table lands."""
+    return f"{root.rstrip('/')}/{source}/{table}/{day:%Y/%m/%d}"
+
+
+def all_days(root: str, source: str, table: str) -> str:
+    """Pattern over every day's folder of a table, for batch reads and file streams."""
+    return f"{root.rstrip('/')}/{source}/{table}/*/*/*"
+
+
 def landing_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per Parquet file of a folder: name, bytes, rows."""
     return (
