@@ -207,7 +207,7 @@ def customer_actions(rfm: DataFrame) -> DataFrame:
         ACTIONS, "segment string, intent string, suggested_lever string, rationale string, base_priority string"
     )
     base = F.col("base_priority")
-    raised = F.when(base == "Baixa", "Média").otherwise("Alta")
+    raised = F.when(base == "Baixa", "Média").when(base.isNotNull(), "Alta")
     return (
         rfm.join(F.broadcast(actions), "segment", "left")  # eleven rows
         .withColumn("priority", F.when(F.col("m") >= HIGH_VALUE_SCORE, raised).otherwise(base))

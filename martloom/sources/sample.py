@@ -192,11 +192,14 @@ class SampleTables:
         ordered = F.col("o_orderdate").cast("date")
         discount = F.coalesce(F.col("discount"), F.lit(0)).cast(MONEY)
         total = F.col("o_totalprice").cast(MONEY)
+        # a computed key: joins on it shuffle the header anew, as they would a stored table, and
+        # two plain shuffles are what lets AQE split an order that holds much of the lines
+        order_key = F.col("o_orderkey").cast("decimal(20,0)")
         return (
             self.read("orders")
             .join(per_order, "o_orderkey", "left")
             .select(
-                _key("o_orderkey").alias("sales_header_key"),
+                _key(order_key).alias("sales_header_key"),
                 _key("o_custkey").alias("customer_key"),
                 _key(F.col("o_custkey") % N_REGIONS).alias("region_key"),
                 _order_number(F.col("o_orderkey")).alias("sales_order_number"),
