@@ -40,7 +40,7 @@ def restricted(mart: Mart, grants: DataFrame, principal: str, is_admin: bool = F
             return df.withColumn("annual_revenue", mask(F.col("annual_revenue"), is_admin))
         return df
 
-    return Mart(mart.silver, gold=table)
+    return mart.over(table)
 
 
 def register_policy_functions(

@@ -57,10 +57,24 @@ def calendar_bounds(finance: DataFrame, header: DataFrame, returns: DataFrame) -
     )
 
 
+def calendar_attributes(day: Column) -> dict[str, Column]:
+    """Everything the calendar says about a day; each is a function of the day alone."""
+    return {
+        "date_key": F.date_format(day, "yyyyMMdd").cast("int"),
+        "year": F.year(day),
+        "quarter": F.quarter(day),
+        "month": F.month(day),
+        "month_name": dates.month_name(day),
+        "day": F.dayofmonth(day),
+        "day_of_week": F.dayofweek(day),
+        "week_of_year": F.weekofyear(day),
+        "is_weekend": F.dayofweek(day).isin(1, 7),
+    }
+
+
 def dim_calendar(
     finance: DataFrame, header: DataFrame, returns: DataFrame, loaded_at: Column | None = None
 ) -> DataFrame:
-    day = F.col("full_date")
     days = (
         calendar_bounds(finance, header, returns)
         .filter(F.col("start_date").isNotNull())
@@ -71,21 +85,7 @@ def dim_calendar(
         )
     )
     return _declared(
-        "dim_calendar",
-        days.withColumns(
-            {
-                "date_key": F.date_format(day, "yyyyMMdd").cast("int"),
-                "year": F.year(day),
-                "quarter": F.quarter(day),
-                "month": F.month(day),
-                "month_name": dates.month_name(day),
-                "day": F.dayofmonth(day),
-                "day_of_week": F.dayofweek(day),
-                "week_of_year": F.weekofyear(day),
-                "is_weekend": F.dayofweek(day).isin(1, 7),
-            }
-        ),
-        loaded_at,
+        "dim_calendar", days.withColumns(calendar_attributes(F.col("full_date"))), loaded_at
     )
 
 

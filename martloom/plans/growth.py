@@ -13,18 +13,23 @@ COMPARISONS = (("MoM", 1), ("YoY", 12))
 NO_SUBCATEGORY = "Sem subcategoria"
 
 
-def time_intelligence(sales: DataFrame, calendar: DataFrame) -> DataFrame:
+def time_intelligence(sales: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
     """Gross sales per month against the previous and twelfth previous row.
 
     Lines are summed per day before meeting the calendar, so only days are joined, and the
-    ordered window runs over months. The change is divided by the current month.
+    ordered window runs over months. Without a stored calendar the month is taken from the
+    date, which gives the same rows. The change is divided by the current month.
     """
     daily = sales.groupBy(F.col("order_date").alias("full_date")).agg(
         F.sum("gross_sales").alias("_gross")
     )
+    if calendar is None:
+        day = F.col("full_date")
+        dated = daily.filter(day.isNotNull()).withColumns({"year": F.year(day), "month": F.month(day)})
+    else:
+        dated = daily.join(calendar.select("full_date", "year", "month"), "full_date")
     monthly = (
-        daily.join(calendar.select("full_date", "year", "month"), "full_date")
-        .groupBy("year", (F.col("year") * 100 + F.col("month")).alias("year_month"))
+        dated.groupBy("year", (F.col("year") * 100 + F.col("month")).alias("year_month"))
         .agg(F.sum("_gross").cast("decimal(28,4)").alias("gross_sales"))
     )
     by_month = Window.orderBy("year_month")

@@ -37,9 +37,16 @@ class Mart:
     ) -> None:
         self._silver_source = silver
         self._gold_source = gold or self._compose
+        self._stored = gold is not None
         self._loaded_at = loaded_at
         self._cache: dict[tuple[str, str], DataFrame] = {}
 
+    def over(self, gold: Callable[[str], DataFrame]) -> Mart:
+        """The same mart with its gold tables read through ``gold``."""
+        other = Mart(self._silver_source, gold)
+        other._stored = self._stored
+        return other
+
     def _once(self, layer: str, name: str, build: Callable[[str], DataFrame]) -> DataFrame:
         if (layer, name) not in self._cache:
             self._cache[layer, name] = build(name)
@@ -76,15 +83,18 @@ class Mart:
             g("fct_product_cost_history") if with_cost else None,
         )
 
-    def income_statement(self) -> DataFrame:
+    def income_statement(self, join_calendar: bool | None = None) -> DataFrame:
+        """A stored calendar is joined; otherwise its attributes are computed from the date."""
         g = self.gold
+        if join_calendar is None:
+            join_calendar = self._stored
         return semantic.income_statement(
             g("fct_finance"),
             g("dim_account"),
             g("dim_account_header"),
             g("dim_organization"),
             g("dim_department_group"),
-            g("dim_calendar"),
+            g("dim_calendar") if join_calendar else None,
         )
 
     def register_views(self, spark: SparkSession) -> None:

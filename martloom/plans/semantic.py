@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martloom.plans.gold import calendar_attributes
+
 MONEY = "decimal(18,4)"
 
 PLACE_AND_PRODUCT = (
@@ -97,21 +99,31 @@ def income_statement(
     account_header: DataFrame,
     organization: DataFrame,
     department_group: DataFrame,
-    calendar: DataFrame,
+    calendar: DataFrame | None = None,
 ) -> DataFrame:
-    """Ledger entries with account, unit, department and calendar, and the signed amount."""
+    """Ledger entries with account, unit, department and calendar, and the signed amount.
+
+    The generated calendar covers every fact date, so joining it only adds attributes of the
+    day. Without a stored calendar they are computed in place, which spares scanning the other
+    facts just to learn how far the calendar reaches.
+    """
     chart = account.select(
         "account_key", "account_name", "account_type", "account_subheader", "sign",
         "account_header_key",
     ).join(account_header, "account_header_key")
-    days = calendar.select(
-        F.col("full_date").alias("transaction_date"), "year", "quarter", "month", "month_name"
-    )
+    parts = ("year", "quarter", "month", "month_name")
+    if calendar is None:
+        attributes = calendar_attributes(F.col("transaction_date"))
+        dated = finance.filter(F.col("transaction_date").isNotNull()).withColumns(
+            {p: attributes[p] for p in parts}
+        )
+    else:
+        days = calendar.select(F.col("full_date").alias("transaction_date"), *parts)
+        dated = finance.join(days, "transaction_date")
     return (
-        finance.join(chart, "account_key")
+        dated.join(chart, "account_key")
         .join(organization, "organization_key")
         .join(department_group, "department_group_key")
-        .join(days, "transaction_date")
         .select(
             "finance_key", "scenario",
             "account_key", "account_name", "account_type", "account_subheader",

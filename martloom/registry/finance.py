@@ -24,7 +24,8 @@ DEVIATION_PCT = sql_ratio(DEVIATION, f"abs({BUDGET})")
     ("stmt",),
 )
 def v_income_statement(c: Context):
-    return c.mart.income_statement()
+    """All five dimensions joined, the calendar among them."""
+    return c.mart.income_statement(join_calendar=True)
 
 
 @query("tq_actual_budget", f"SELECT {AMOUNTS_SQL} FROM stmt", ("stmt",))

@@ -38,10 +38,17 @@ def scan_parquet(c: Context):
     return lines.filter("l_quantity > 45").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
 
 
-@query("landing_files")
+@query(
+    "landing_files",
+    " UNION ALL ".join(
+        f"SELECT '{t}.parquet' AS file_name, count(*) AS file_rows, count(*) > 0 AS has_bytes FROM {t}" for t in LANDED
+    ),
+)
 def landing_files(c: Context):
     listings = [landing.landing_files(c.spark, c.sample.path(name)) for name in LANDED]
-    return reduce(DataFrame.unionByName, listings)
+    return reduce(DataFrame.unionByName, listings).select(
+        "file_name", "file_rows", (F.col("file_bytes") > 0).alias("has_bytes")
+    )
 
 
 @query(

@@ -15,7 +15,7 @@ from martloom.plans.contracts import CONTRACTS, contract_profile
 from martloom.plans.mart import Mart
 from martloom.plans.refresh import analytic_tables
 from martloom.plans.silver import SPECS
-from martloom.registry.core import Context, query
+from martloom.registry.core import QUERIES, Context, query
 from martloom.registry.oracle import GROSS, NET, RETURNS, as_double
 from martloom.session import scratch_dir
 from martloom.sinks.lake import Lake
@@ -65,10 +65,11 @@ def grain_summary(c: Context):
 
 @query(
     "calendar_grain",
-    "SELECT CAST(NULL AS VARCHAR) AS full_date, count(*) AS n FROM orders GROUP BY o_orderkey HAVING count(*) > 1",
+    "SELECT 'dim_calendar' AS table_name, count(*) AS total_rows, count(DISTINCT full_date) AS distinct_keys,"
+    f" count(*) - count(DISTINCT full_date) AS duplicated_keys FROM ({QUERIES['dim_calendar'].sql})",
 )
 def calendar_grain(c: Context):
-    return checks.grain_violations(c.gold("dim_calendar"), ["full_date"])
+    return checks.grain_summary([("dim_calendar", c.gold("dim_calendar"), ["full_date"])])
 
 
 @query(
@@ -96,7 +97,8 @@ def reconcile_totals(c: Context):
 def reconcile_ledger(c: Context):
     """Entries before and after the five inner joins of the income statement."""
     rows = F.count(F.lit(1))
-    return checks.side_by_side(rows, c.gold("fct_finance"), rows, c.mart.income_statement())
+    statement = c.mart.income_statement(join_calendar=True)
+    return checks.side_by_side(rows, c.gold("fct_finance"), rows, statement)
 
 
 @query(
@@ -217,38 +219,38 @@ def mask_admin(c: Context):
     return seen.gold("dim_customer").select("customer_key", "customer_name", "annual_revenue")
 
 
-def _contract_sql() -> str:
-    relations = {"dim_customer": "customer", "dim_product": "item", "fct_finance": "ledger"}
-    columns = {
-        "dim_customer": {
-            "customer_key": "c_custkey", "geography_key": "c_nationkey", "customer_name": "c_name",
-            "business_type": "c_mktsegment", "number_employees": "c_custkey", "annual_revenue": "c_acctbal",
-            "year_opened": "c_custkey",
-        }
-    }
+def _gold_sql(table: str) -> str:
+    """The checking SQL of a gold table's own query."""
+    return QUERIES["fct_cost_history" if table == "fct_product_cost_history" else table].sql
+
+
+def _contract_sql(tables: tuple[str, ...]) -> str:
     parts = []
-    for table, relation in relations.items():
+    for table in tables:
         contract = CONTRACTS[table]
+        rows = []
         for column in contract.columns:
-            value = columns.get(table, {}).get(column.name, column.name)
             comment = column.comment.replace("'", "''")
+            domain = f"'{contract.domain}'" if contract.domain else "CAST(NULL AS VARCHAR)"
             key = str(column.name in contract.primary_key).lower()
-            parts.append(
+            rows.append(
                 f"SELECT '{table}' AS table_name, '{column.name}' AS column_name, '{column.type}' AS column_type,"
-                f" '{comment}' AS comment, '{contract.domain}' AS domain, {key} AS in_primary_key,"
-                f" count(*) AS total_rows, count({value}) AS filled_rows FROM {relation}"
+                f" '{comment}' AS comment, {domain} AS domain, {key} AS in_primary_key,"
+                f" count(*) AS total_rows, count({column.name}) AS filled_rows FROM t"
             )
+        parts.append(f"SELECT * FROM (WITH t AS ({_gold_sql(table)}) {' UNION ALL '.join(rows)})")
     return " UNION ALL ".join(parts)
 
 
-@query("schema_contract", _contract_sql(), ("item", "ledger"))
+PROFILED = ("dim_customer", "dim_product", "fct_finance")
+
+
+@query("schema_contract", _contract_sql(PROFILED))
 def schema_contract(c: Context):
-    return contract_profile(
-        (CONTRACTS[t], c.gold(t)) for t in ("dim_customer", "dim_product", "fct_finance")
-    )
+    return contract_profile((CONTRACTS[t], c.gold(t)) for t in PROFILED)
 
 
-@query("domain_registry")
+@query("domain_registry", _contract_sql(tuple(CONTRACTS)))
 def domain_registry(c: Context):
     """Declared columns and filled rows of every gold table, with the domain that may see it."""
     return contract_profile((contract, c.gold(t)) for t, contract in CONTRACTS.items())
@@ -361,7 +363,20 @@ def _published(c: Context):
     return table
 
 
-@query("export_manifest")
+def _manifest_sql() -> str:
+    analytic = {
+        "forecast_sales": f"SELECT 1 FROM ({QUERIES['serve_forecast'].sql})",
+        "reco_customer_actions": f"SELECT 1 FROM ({QUERIES['reco_actions'].sql})",
+        "pvm_drivers": f"SELECT 1 FROM ({QUERIES['pvm_drivers'].sql})",
+    }
+    return " UNION ALL ".join(
+        f"SELECT '{m.source}' AS source, '{m.destination}' AS destination, '{', '.join(m.primary_key)}' AS primary_key,"
+        f" count(*) AS target_rows FROM ({analytic.get(m.source) or _gold_sql(m.source)})"
+        for m in MANIFEST
+    )
+
+
+@query("export_manifest", _manifest_sql())
 def export_manifest(c: Context):
     """All sixteen tables published as folders, then counted where they landed."""
     target = LakeTarget(Lake(c.spark, scratch_dir(c.spark, "publish")))
