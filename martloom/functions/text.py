@@ -19,12 +19,13 @@ def clean_lower(col: Column) -> Column:
 def parse_decimal(col: Column, to: str = MONEY) -> Column:
     """Decimal-comma text to a decimal; unreadable text becomes NULL instead of failing the load.
 
-    A dot is a thousands separator only when a comma is present, so ``1.234,56`` and
-    ``1234.56`` both read as 1234.56.
+    A dot is a thousands separator only when a comma follows it, so ``1.234,56`` and
+    ``1234.56`` both read as 1234.56, and ``1,234.56`` is unreadable rather than guessed.
     """
     text = F.trim(col.cast("string"))
     comma_form = F.replace(F.replace(text, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
-    return F.when(F.contains(text, F.lit(",")), comma_form).otherwise(text).try_cast(to)
+    readable = F.when(~text.contains(","), text).when(~text.rlike(r",.*\."), comma_form)
+    return readable.try_cast(to)
 
 
 def parse_date(col: Column, fmt: str = "dd/MM/yyyy") -> Column:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,17 +21,27 @@ FACT_DATES = {
     "fct_sales_returns": "return_date",
     "fct_finance": "transaction_date",
 }
+PARALLEL_TABLES = 4
+
+
+def _each(tables: Iterable[str], refresh_one: Callable[[str], object]) -> None:
+    """Independent tables side by side, so small ones fill the gaps large ones leave."""
+    with ThreadPoolExecutor(max_workers=PARALLEL_TABLES) as pool:
+        list(pool.map(refresh_one, tables))
 
 
 def refresh_silver(lake: Lake) -> None:
-    for table, spec in SPECS.items():
-        silver = to_silver(lake.read("bronze", table, merge_schema=True), spec, F.current_timestamp())
-        lake.replace(silver, "silver", table)
+    def one(table: str) -> None:
+        bronze = lake.read("bronze", table, merge_schema=True)
+        lake.replace(to_silver(bronze, SPECS[table], F.current_timestamp()), "silver", table)
+
+    _each(SPECS, one)
 
 
 def refresh_gold(lake: Lake) -> None:
     mart = Mart(lambda t: lake.read("silver", t), loaded_at=F.current_timestamp())
-    for table in CONTRACTS:
+
+    def one(table: str) -> None:
         df, date = mart.gold(table), FACT_DATES.get(table)
         if date is None:
             lake.replace(df, "gold", table)
@@ -36,6 +49,14 @@ def refresh_gold(lake: Lake) -> None:
             df = df.withColumn(f"{date}_year", F.year(date))
             lake.replace(df, "gold", table, [f"{date}_year"])
 
+    _each(CONTRACTS, one)
+
+
+def register_gold(lake: Lake) -> None:
+    """Name the stored gold tables in the catalog with comments and governance tags."""
+    for table, contract in CONTRACTS.items():
+        lake.register("gold", table, contract.comment, contract.tags())
+
 
 def stored_mart(lake: Lake) -> Mart:
     return Mart(

@@ -68,3 +68,6 @@ class Lake:
             + (" COMMENT '" + comment.replace("'", "\\'") + "'" if comment else "")
             + (f" TBLPROPERTIES ({properties})" if properties else "")
         )
+        name = f"{layer}.{table}"
+        if any(c.isPartition for c in self.spark.catalog.listColumns(name)):
+            self.spark.catalog.recoverPartitions(name)

@@ -55,7 +55,7 @@ def discover_catalog(spark: SparkSession, database: str) -> DataFrame:
         (database, table.name, column.name)
         for table in spark.catalog.listTables(database)
         if not table.isTemporary and table.tableType in ("MANAGED", "EXTERNAL")
-        for column in spark.catalog.listColumns(table.name, database)
+        for column in spark.catalog.listColumns(f"{database}.{table.name}")
     ]
     return spark.createDataFrame(rows, COLUMN_LIST_SCHEMA)
 

@@ -67,6 +67,8 @@ def load_new_files(
     checkpoint: str,
     schema_location: str | None = None,
     max_files: int | None = None,
+    schema: T.StructType | None = None,
 ) -> None:
-    schema = tracked_schema(spark, source, schema_location)
+    """Take files landed since the last run; a known ``schema`` spares reading their footers first."""
+    schema = schema or tracked_schema(spark, source, schema_location)
     append_available(file_stream(spark, source, schema, max_files), target, checkpoint)

@@ -6,7 +6,7 @@ import pytest
 from oracle import duck
 
 from martloom.plans.commercial import commercial_view
-from martloom.plans.refresh import refresh, stored_mart
+from martloom.plans.refresh import refresh, register_gold, stored_mart
 from martloom.plans.silver import SPECS
 from martloom.registry.conforming import LINE_ID
 from martloom.registry.oracle import compose
@@ -62,6 +62,16 @@ def test_analytic_tables_are_stored(lake):
     assert lake.read("ml", "reco_customer_actions").filter("intent IS NULL").count() == 0
 
 
+def test_catalog_shows_comments_and_tags(spark, lake):
+    register_gold(lake)
+    columns = {r.col_name: r.comment for r in spark.sql("DESCRIBE gold.dim_customer").collect()}
+    assert columns["customer_key"] == "Business key of the customer"
+    extended = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED gold.dim_customer").collect()}
+    assert "domain=comercial" in extended["Table Properties"] and "pii=true" in extended["Table Properties"]
+    assert spark.table("gold.fct_sales_details").filter("order_date_year = 1997").count() > 0
+    spark.sql("DROP DATABASE gold CASCADE")
+
+
 def test_refresh_is_repeatable(lake):
     before = lake.read("gold", "fct_sales_details").count()
     refresh(lake)

@@ -23,6 +23,7 @@ from martloom.functions.numbers import ratio
         ("", None),
         (None, None),
         ("1,2,3", None),
+        ("1,234.56", None),
     ],
 )
 def test_parse_decimal(spark, raw, value):
