@@ -89,6 +89,26 @@ def dim_calendar(
     )
 
 
+def _order_terms(header: DataFrame, *also: str) -> DataFrame:
+    """What an order passes on to its lines, with its discount as a share of its total."""
+    share = F.col("discount_amount") / F.nullif(F.col("total_amount"), F.lit(0))
+    return header.select(
+        "sales_header_key", "customer_key", "region_key", "order_date", "due_date", "ship_date",
+        share.alias("_share"), *also,
+    )
+
+
+def _order_lines(details: DataFrame) -> DataFrame:
+    return details.select(
+        "sales_details_key", "sales_header_key", "product_key", "sales_order_number",
+        "order_quantity", "unit_price", F.col("extended_amount").alias("gross_sales"),
+    )
+
+
+def _discount() -> Column:
+    return F.col("_share") * F.col("gross_sales")
+
+
 def fct_sales_details(
     details: DataFrame, header: DataFrame, loaded_at: Column | None = None
 ) -> DataFrame:
@@ -97,21 +117,12 @@ def fct_sales_details(
     An order that is missing or totals zero has no discount share, so both the discount and the
     net amount of its lines are NULL while the gross amount stays.
     """
-    orders = header.select(
-        "sales_header_key", "customer_key", "region_key", "order_date", "due_date", "ship_date",
-        (F.col("discount_amount") / F.nullif(F.col("total_amount"), F.lit(0))).alias("_share"),
-    )
-    lines = details.select(
-        "sales_details_key", "sales_header_key", "product_key", "sales_order_number",
-        "order_quantity", "unit_price", F.col("extended_amount").alias("gross_sales"),
-    )
-    discount = F.col("_share") * F.col("gross_sales")
     return _declared(
         "fct_sales_details",
-        lines.join(orders, "sales_header_key", "left").withColumns(
+        _order_lines(details).join(_order_terms(header), "sales_header_key", "left").withColumns(
             {
-                "discount_allocated": discount.cast("decimal(18,4)"),
-                "net_sales": (F.col("gross_sales") - discount).cast("decimal(18,4)"),
+                "discount_allocated": _discount().cast("decimal(18,4)"),
+                "net_sales": (F.col("gross_sales") - _discount()).cast("decimal(18,4)"),
                 "lead_time_days": F.date_diff("ship_date", "order_date"),
                 "promised_lead_time_days": F.date_diff("due_date", "order_date"),
                 "delivery_delay_days": F.date_diff("ship_date", "due_date"),
@@ -120,3 +131,17 @@ def fct_sales_details(
         ),
         loaded_at,
     )
+
+
+def sales_of_buyers(details: DataFrame, header: DataFrame, buyers: DataFrame) -> DataFrame:
+    """Sales lines of known buyers with the buyer's attributes, for composing without stored facts.
+
+    The same rows as joining the buyers to the sales fact, but each order finds its buyer before
+    it meets its lines: orders shuffle by customer instead of lines, which are several times as many.
+    """
+    attributes = [c for c in buyers.columns if c != "customer_key"]
+    orders = _order_terms(header.join(buyers, "customer_key"), *attributes)
+    lines = _order_lines(details).filter(F.col("sales_details_key").isNotNull())
+    return lines.join(orders, "sales_header_key").withColumn(
+        "discount_allocated", _discount().cast("decimal(18,4)")
+    )

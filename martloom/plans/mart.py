@@ -73,14 +73,24 @@ class Mart:
         raise KeyError(name)
 
     def sales_transactions(self, with_cost: bool = True) -> DataFrame:
-        g = self.gold
-        return semantic.sales_transactions(
-            g("fct_sales_details"),
-            g("fct_sales_returns"),
-            g("dim_customer"),
-            g("dim_geography"),
+        """From the stored sales fact, or composed with buyers joined at order level."""
+        g, s = self.gold, self.silver
+        cost = g("fct_product_cost_history") if with_cost else None
+        if self._stored:
+            return semantic.sales_transactions(
+                g("fct_sales_details"),
+                g("fct_sales_returns"),
+                g("dim_customer"),
+                g("dim_geography"),
+                g("dim_product"),
+                cost,
+            )
+        buyers = semantic.located_customers(g("dim_customer"), g("dim_geography"))
+        return semantic.transactions(
+            gold.sales_of_buyers(s("sales_details"), s("sales_header"), buyers),
+            g("fct_sales_returns").join(buyers, "customer_key"),
             g("dim_product"),
-            g("fct_product_cost_history") if with_cost else None,
+            cost,
         )
 
     def income_statement(self, join_calendar: bool | None = None) -> DataFrame:

@@ -21,7 +21,7 @@ TRANSACTION_COLUMNS = (
 )
 
 
-def _located_customers(customer: DataFrame, geography: DataFrame) -> DataFrame:
+def located_customers(customer: DataFrame, geography: DataFrame) -> DataFrame:
     """Customers with their place; joining the two dimensions first keeps the fact joins at two."""
     return customer.select("customer_key", "geography_key", "customer_name", "business_type").join(
         geography.select(
@@ -32,6 +32,27 @@ def _located_customers(customer: DataFrame, geography: DataFrame) -> DataFrame:
     )
 
 
+BUYER_COLUMNS = (
+    "customer_name", "business_type", "home_region_key", "region_name", "country_code",
+    "country_name", "state_name", "city_name", "continent",
+)
+
+
+def _lines(df: DataFrame, kind: str, quantity: str) -> DataFrame:
+    """Columns sales and returns share, still with the buyer's place."""
+    return df.select(
+        F.lit(kind).alias("transaction_type"),
+        "customer_key", "product_key", "order_date",
+        F.year("order_date").alias("order_year"),
+        F.month("order_date").alias("order_month"),
+        F.col(quantity).alias("quantity"),
+        "unit_price",
+        (F.col(quantity) * F.col("unit_price")).cast(MONEY).alias("gross_amount"),
+        *BUYER_COLUMNS,
+        *(c for c in ("region_key", "discount_allocated") if c in df.columns),
+    )
+
+
 def sales_transactions(
     sales: DataFrame,
     returns: DataFrame,
@@ -40,27 +61,26 @@ def sales_transactions(
     product: DataFrame,
     cost_history: DataFrame | None,
 ) -> DataFrame:
-    """Sale and return lines with customer, place and product names, and the sale's unit cost.
+    """Sale and return lines with customer, place and product names, and the sale's unit cost."""
+    buyers = located_customers(customer, geography)
+    return transactions(
+        sales.join(buyers, "customer_key"), returns.join(buyers, "customer_key"), product, cost_history
+    )
+
+
+def transactions(
+    sales: DataFrame, returns: DataFrame, product: DataFrame, cost_history: DataFrame | None
+) -> DataFrame:
+    """As ``sales_transactions``, from facts that carry their buyers.
 
     Sales keep the order's region key; returns have none and take the customer's. The region
     *name* is the customer's for both. Lines whose customer or product is unknown drop out.
     The cost lookup (product, year, month, country of the buyer) is unique on its key, so it
     never changes the number of rows; pass no history to leave it out when no cost is read.
     """
-    buyers = _located_customers(customer, geography)
     items = product.select("product_key", "category_name", "subcategory_name", "product_name")
-    sold = (
-        sales.select(
-            F.lit("sale").alias("transaction_type"),
-            "customer_key", "product_key", "region_key", "order_date",
-            F.year("order_date").alias("order_year"),
-            F.month("order_date").alias("order_month"),
-            F.col("order_quantity").alias("quantity"),
-            "unit_price",
-            (F.col("order_quantity") * F.col("unit_price")).cast(MONEY).alias("gross_amount"),
-            F.col("discount_allocated").alias("discount_amount"),
-        )
-        .join(buyers, "customer_key")
+    sold = _lines(sales, "sale", "order_quantity").withColumnRenamed(
+        "discount_allocated", "discount_amount"
     )
     if cost_history is None:
         sold = sold.withColumn("unit_cost", F.lit(None).cast(MONEY))
@@ -73,24 +93,18 @@ def sales_transactions(
             "unit_cost",
         )
         sold = sold.join(cost, ["product_key", "order_year", "order_month", "country_code"], "left")
-    sold = sold.join(items, "product_key")
-    returned = (
-        returns.select(
-            F.lit("return").alias("transaction_type"),
-            "customer_key", "product_key", "order_date",
-            F.year("order_date").alias("order_year"),
-            F.month("order_date").alias("order_month"),
-            F.col("return_quantity").alias("quantity"),
-            "unit_price",
-            (F.col("return_quantity") * F.col("unit_price")).cast(MONEY).alias("gross_amount"),
-            F.lit(0).cast(MONEY).alias("discount_amount"),
-            F.lit(None).cast(MONEY).alias("unit_cost"),
-        )
-        .join(buyers, "customer_key")
-        .join(items, "product_key")
-        .withColumn("region_key", F.col("home_region_key"))
+    returned = _lines(returns, "return", "return_quantity").withColumns(
+        {
+            "region_key": F.col("home_region_key"),
+            "discount_amount": F.lit(0).cast(MONEY),
+            "unit_cost": F.lit(None).cast(MONEY),
+        }
+    )
+    return (
+        sold.join(items, "product_key")
+        .select(*TRANSACTION_COLUMNS)
+        .unionByName(returned.join(items, "product_key").select(*TRANSACTION_COLUMNS))
     )
-    return sold.select(*TRANSACTION_COLUMNS).unionByName(returned.select(*TRANSACTION_COLUMNS))
 
 
 def income_statement(
