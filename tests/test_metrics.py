@@ -3,7 +3,6 @@ from __future__ import annotations
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from martloom.plans import commercial, finance
 from martloom.plans.metrics import Measure, MetricView
