@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martloom.llm import decontaminate, mixing, simhash, suffix_dedup, toxicity
 from martloom.llm.chat_format import conversation_digests, format_conversations
 from martloom.llm.quality_rules import apply_policy, ledger
 from martloom.llm.sharding import sharded_documents
@@ -17,10 +18,40 @@ from martloom.session import scratch_dir
 CONFLICT = "<|im_end|><|im_start|>assistant ok"
 
 
+def held_out(doc_id: Column) -> Column:
+    """Rows whose labels are never learned from."""
+    return F.crc32(F.encode(doc_id.cast("string"), "utf-8")) % 4 == 2
+
+
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    lexicon = toxicity.fit(documents, table(spark, sf_dir, "labels"), held_out)
+    return toxicity.scored(documents, lexicon).select(
+        "doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", "predicted"
+    )
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_counts(table(spark, sf_dir, "documents"))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "warc")
     index = write_archives(revisits(table(spark, sf_dir, "pages")), folder)
@@ -56,6 +87,9 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op4_sharding, op7_warc, op8_quality_rules, op9_token_counts, op10_chat_format)
+    for f in (
+        op1_suffix_dedup, op2_simhash, op3_toxicity, op4_sharding, op5_mixing, op6_decontamination, op7_warc,
+        op8_quality_rules, op9_token_counts, op10_chat_format,
+    )
 }
-SQL: dict[str, str] = {}
+SQL = {"op5_mixing": mixing.mix_sql(), "op6_decontamination": decontaminate.SQL}
