@@ -1,0 +1,85 @@
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import brute
+import numpy as np
+from conftest import ODD_TEXTS
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from martloom.llm import suffix_dedup as S
+
+
+def same(df, rows):
+    assert Counter(map(tuple, df.collect())) == Counter(brute.suffix(rows))
+
+
+def test_query_matches_brute_force(documents, result):
+    assert Counter(result("op1_suffix_dedup")) == Counter(brute.suffix(documents))
+
+
+def test_odd_rows(rows_of):
+    same(S.deduplicated(rows_of(ODD_TEXTS)), ODD_TEXTS)
+
+
+def test_empty_table(rows_of):
+    assert S.deduplicated(rows_of([])).collect() == []
+
+
+def passages(n_docs, seed):
+    """Documents that share passages just under, at and over the length, in different surroundings."""
+    rng = random.Random(seed)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared = [word(n) for n in (199, 200, 201, 203, 260, 500)]
+    rows = []
+    for i in range(n_docs):
+        text = "".join(word(rng.randrange(1, 90)) + rng.choice(shared)[rng.randrange(0, 3) :] for _ in range(rng.randrange(1, 5)))
+        rows.append((i, text + "é" * rng.randrange(3)))
+    return rows
+
+
+def test_passages_in_different_surroundings(rows_of):
+    rows = passages(120, 1)
+    same(S.deduplicated(rows_of(rows)), rows)
+
+
+def test_large_buckets_give_the_same(rows_of):
+    rows = passages(120, 2)
+    same(S.deduplicated(rows_of(rows), bucket_classes=3), rows)
+
+
+def test_pieces_of_long_texts(monkeypatch, rows_of):
+    rng = random.Random(3)
+    block = "".join(rng.choice("abcde") for _ in range(900))
+    monkeypatch.setattr(S, "PIECE", 500)
+    texts = [(block + "x" + block).encode(), block[100:700].encode()]
+    found = [0] * 2
+    for numbers, offsets, buffer, ends in S._pieces(texts):
+        text, *_, count = S.runs(buffer, ends)
+        for t, c in zip(text, count):
+            found[numbers[t]] += int(c)
+    assert found == [len(t) - S.LENGTH + 1 for t in texts]  # each window once
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.text("ab", min_size=200, max_size=320), min_size=2, max_size=6))
+def test_refinement_finds_equal_windows(texts):
+    """Pointer refinement over whole texts against a comparison of all windows."""
+    contexts = [t.encode() for t in texts]
+    windows = [len(c) - S.LENGTH + 1 for c in contexts]
+    seen = Counter(c[i : i + S.LENGTH] for c, w in zip(contexts, windows) for i in range(w))
+    want = [[i for i in range(w) if seen[c[i : i + S.LENGTH]] > 1] for c, w in zip(contexts, windows)]
+    assert [f.tolist() for f in S.refined(contexts, windows)] == want
+
+
+def test_equal_windows_have_equal_anchors():
+    rng = np.random.default_rng(5)
+    core = rng.integers(97, 101, 400).astype(np.uint8)
+    found = []
+    for _ in range(2):
+        buffer = np.concatenate([rng.integers(97, 101, 150).astype(np.uint8), core, rng.integers(97, 101, 150).astype(np.uint8)])
+        _, gram, _, first, offset, count = S.runs(buffer, np.array([len(buffer)]))
+        found.append({(int(g), int(f + o - 150)) for g, f, o, c in zip(gram, first, offset, count) if 150 <= f and f + c + 199 <= 550})
+    assert found[0] and found[0] == found[1]
