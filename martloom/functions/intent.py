@@ -15,6 +15,12 @@ KEYWORDS = (
 )
 
 
+def intent_pattern_sql(text: str, otherwise: str = "NULL") -> str:
+    """The same keyword lists as a SQL CASE over regular expressions."""
+    whens = " ".join(f"WHEN regexp_matches(lower({text}), '{'|'.join(words)}') THEN '{intent}'" for intent, words in KEYWORDS)
+    return f"CASE {whens} ELSE {otherwise} END"
+
+
 def question_intent(text: Column) -> Column:
     """First intent whose keyword occurs anywhere in the whole text, else NULL."""
     lowered = F.lower(text)

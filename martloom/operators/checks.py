@@ -31,7 +31,7 @@ def grain_summary(tables: Iterable[tuple[str, DataFrame, Sequence[str]]]) -> Dat
 
 
 def key_profile(df: DataFrame, key: str) -> DataFrame:
-    """Row count and distinct keys; the keys are grouped first, so both come from one shuffle."""
+    """Row count and distinct keys."""
     return df.agg(
         F.count(F.lit(1)).alias("total"), F.count_distinct(F.col(key)).alias("distintos")
     )
@@ -40,23 +40,26 @@ def key_profile(df: DataFrame, key: str) -> DataFrame:
 def orphan_audit(fact: DataFrame, references: Iterable[tuple[str, DataFrame, str]]) -> DataFrame:
     """Per reference: fact keys, and rows holding them, that the dimension does not know.
 
-    The fact is reduced to key counts before the anti join, so a key held by a third of the
-    rows is one row by the time it is joined. A missing key matches nothing and counts too.
+    One pass over the fact gives (reference, key, rows) with partial counts, so a key held by a third
+    of the rows is one row per map task; each reference then meets only its own keys. A missing key
+    matches nothing and counts too.
     """
-    parts = []
-    for name, dimension, key in references:
-        unknown = (
-            fact.groupBy(key)
-            .agg(F.count(F.lit(1)).alias("n"))
-            .join(dimension.select(key), key, "left_anti")
-        )
-        parts.append(
-            unknown.agg(
-                F.count(F.lit(1)).alias("orphan_keys"),
-                F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"),
-            ).select(F.lit(name).alias("dimension"), "orphan_keys", "orphan_rows")
-        )
-    return reduce(DataFrame.unionByName, parts)
+    references = list(references)
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("dimension"), F.col(key).cast("string").alias("key")) for name, _, key in references
+    ])).alias("p")
+    held = fact.select(pairs).groupBy("p.dimension", "p.key").agg(F.count(F.lit(1)).alias("n"))
+    known = reduce(DataFrame.unionByName, [
+        dimension.select(F.lit(name).alias("dimension"), F.col(key).cast("string").alias("key"))
+        for name, dimension, key in references
+    ])
+    names = fact.sparkSession.createDataFrame([(name,) for name, _, _ in references], "dimension string")
+    unknown = held.join(known, ["dimension", "key"], "left_anti").groupBy("dimension").agg(
+        F.count(F.lit(1)).alias("orphan_keys"), F.sum("n").alias("orphan_rows")
+    )
+    return names.join(unknown, "dimension", "left").select(
+        "dimension", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("orphan_keys", "orphan_rows")]
+    )
 
 
 def side_by_side(left: Column, left_df: DataFrame, right: Column, right_df: DataFrame) -> DataFrame:

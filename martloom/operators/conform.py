@@ -57,12 +57,21 @@ def keep_latest(df: DataFrame, key: tuple[str, ...], version: str, *tiebreak: st
 
 
 def conform(bronze: DataFrame, spec: ConformSpec, loaded_at: Column | None = None) -> DataFrame:
-    """Typed silver rows before the rules are applied."""
-    columns = [f.column() for f in spec.fields]
-    columns.append(F.col(spec.version).try_cast("bigint").alias("_source_id"))
-    if loaded_at is not None:
-        columns.append(loaded_at.alias("_silver_loaded_at"))
-    return keep_latest(bronze, spec.dedup_key, spec.version).select(*columns)
+    """Typed silver rows before the rules are applied, one per key as silver holds it.
+
+    Keys and versions are compared after conforming, so padding makes no second row and version 10
+    beats 9 when they arrive as text. A key that cannot be read stays apart by its raw text, for the
+    rules to drop and count.
+    """
+    keys = [f for f in spec.fields if f.source in spec.dedup_key]
+    unread = {f"_raw_{f.name}": F.when(f.column().isNull(), F.col(f"`{f.source}`")) for f in keys}
+    rows = bronze.select(
+        *[f.column() for f in spec.fields],
+        F.col(spec.version).try_cast("bigint").alias("_source_id"),
+        *[c.alias(n) for n, c in unread.items()],
+    )
+    latest = keep_latest(rows, (*(f.name for f in keys), *unread), "_source_id").drop(*unread)
+    return latest if loaded_at is None else latest.withColumn("_silver_loaded_at", loaded_at)
 
 
 def to_silver(bronze: DataFrame, spec: ConformSpec, loaded_at: Column | None = None) -> DataFrame:

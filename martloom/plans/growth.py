@@ -103,7 +103,6 @@ def pvm_pairs(months: DataFrame) -> DataFrame:
         .withColumns(
             {
                 "q_tot1": F.sum("q1").over(month),
-                "r_tot1": F.sum("rev1").over(month),
                 "q_tot0": F.sum("q0").over(month),
                 "r_tot0": F.sum("rev0").over(month),
                 "_now": F.sum("_now").over(month),

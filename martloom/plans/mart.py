@@ -93,11 +93,9 @@ class Mart:
             cost,
         )
 
-    def income_statement(self, join_calendar: bool | None = None) -> DataFrame:
-        """A stored calendar is joined; otherwise its attributes are computed from the date."""
+    def income_statement(self, join_calendar: bool = False) -> DataFrame:
+        """Day attributes come from the date; ``join_calendar`` lets a calendar's own take precedence."""
         g = self.gold
-        if join_calendar is None:
-            join_calendar = self._stored
         return semantic.income_statement(
             g("fct_finance"),
             g("dim_account"),

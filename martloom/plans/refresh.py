@@ -15,11 +15,12 @@ from martloom.plans.mart import Mart
 from martloom.plans.silver import SPECS
 from martloom.sinks.lake import Lake
 
-# Facts are stored by year of their main date, so a question about one year reads one folder.
-FACT_DATES = {
-    "fct_sales_details": "order_date",
-    "fct_sales_returns": "return_date",
-    "fct_finance": "transaction_date",
+# Facts are stored by the year that questions name: of the order for sales and returns, of the entry for
+# the ledger. The flat views take the year from this column, so a filter on it reads one folder.
+FACT_YEARS = {
+    "fct_sales_details": ("order_year", "order_date"),
+    "fct_sales_returns": ("order_year", "order_date"),
+    "fct_finance": ("transaction_year", "transaction_date"),
 }
 PARALLEL_TABLES = 4
 
@@ -32,7 +33,7 @@ def _each(tables: Iterable[str], refresh_one: Callable[[str], object]) -> None:
 
 def refresh_silver(lake: Lake) -> None:
     def one(table: str) -> None:
-        bronze = lake.read("bronze", table, merge_schema=True)
+        bronze = lake.read("bronze", table)
         lake.replace(to_silver(bronze, SPECS[table], F.current_timestamp()), "silver", table)
 
     _each(SPECS, one)
@@ -42,12 +43,12 @@ def refresh_gold(lake: Lake) -> None:
     mart = Mart(lambda t: lake.read("silver", t), loaded_at=F.current_timestamp())
 
     def one(table: str) -> None:
-        df, date = mart.gold(table), FACT_DATES.get(table)
-        if date is None:
+        df = mart.gold(table)
+        if table not in FACT_YEARS:
             lake.replace(df, "gold", table)
         else:
-            df = df.withColumn(f"{date}_year", F.year(date))
-            lake.replace(df, "gold", table, [f"{date}_year"])
+            year, date = FACT_YEARS[table]
+            lake.replace(df.withColumn(year, F.year(date)), "gold", table, [year])
 
     _each(CONTRACTS, one)
 

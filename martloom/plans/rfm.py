@@ -56,10 +56,14 @@ def customer_rfm(sales: DataFrame, limits: RfmThresholds = RfmThresholds()) -> D
     """One row per customer who bought in the last months before the newest sale.
 
     The newest sale is a scalar subquery, so the window is a plain filter that Catalyst moves
-    below the joins that make up the fact.
+    below the joins that make up the fact. Stored sales are filtered by year as well, which is the
+    column they are partitioned by, so only the folders of the window are read.
     """
     anchor = sales.agg(F.max("order_date")).scalar()
-    recent = sales.filter(F.col("order_date") >= F.add_months(anchor, -limits.months))
+    since = F.add_months(anchor, -limits.months)
+    recent = sales.filter(F.col("order_date") >= since)
+    if "order_year" in sales.columns:
+        recent = recent.filter(F.col("order_year") >= F.year(since))
     base = recent.groupBy("customer_key").agg(
         F.max("order_date").alias("last_purchase"),
         F.count_distinct("sales_order_number").alias("sales_orders_12m"),
@@ -92,16 +96,21 @@ def segment_counts(rfm: DataFrame) -> DataFrame:
     )
 
 
-def customers_of_segment(rfm: DataFrame, transactions: DataFrame, name: str) -> DataFrame:
-    """Named customers of a segment.
+def customers_of_segment(
+    rfm: DataFrame, customers: DataFrame, geography: DataFrame, lines: DataFrame, product: DataFrame, name: str
+) -> DataFrame:
+    """Named customers of a segment who have a located sale of a known product.
 
-    Names are reduced to distinct (key, name) pairs before the join, so the transaction side
-    shuffles one row per customer and map task instead of every line.
+    The segment is cut first and names come from the dimension. What the flat view would demand of a
+    customer is a semi join on distinct (customer, product) pairs of the lines.
     """
-    names = transactions.select("customer_key", "customer_name").distinct()
+    chosen = rfm.filter(F.col("segment") == name)
+    pairs = lines.select("customer_key", "product_key").distinct()
+    active = pairs.join(product.select("product_key"), "product_key", "left_semi")
+    located = customers.join(geography.select("geography_key"), "geography_key", "left_semi")
     return (
-        rfm.filter(F.col("segment") == name)
-        .join(names, "customer_key")
+        chosen.join(active, "customer_key", "left_semi")
+        .join(located.select("customer_key", "customer_name"), "customer_key")
         .select("customer_name", "recency_days", "sales_orders_12m", "gross_sales_12m", "segment")
         .distinct()
     )

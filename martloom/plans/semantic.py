@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.plans.gold import calendar_attributes
@@ -38,12 +38,17 @@ BUYER_COLUMNS = (
 )
 
 
+def _stored_or(df: DataFrame, column: str, computed: Column) -> Column:
+    """A column that stored facts are partitioned by, or what it is computed from."""
+    return F.col(column) if column in df.columns else computed
+
+
 def _lines(df: DataFrame, kind: str, quantity: str) -> DataFrame:
     """Columns sales and returns share, still with the buyer's place."""
     return df.select(
         F.lit(kind).alias("transaction_type"),
         "customer_key", "product_key", "order_date",
-        F.year("order_date").alias("order_year"),
+        _stored_or(df, "order_year", F.year("order_date")).alias("order_year"),
         F.month("order_date").alias("order_month"),
         F.col(quantity).alias("quantity"),
         "unit_price",
@@ -117,23 +122,25 @@ def income_statement(
 ) -> DataFrame:
     """Ledger entries with account, unit, department and calendar, and the signed amount.
 
-    The generated calendar covers every fact date, so joining it only adds attributes of the
-    day. Without a stored calendar they are computed in place, which spares scanning the other
-    facts just to learn how far the calendar reaches.
+    Attributes of the day come from the date itself, so an entry is never lost to a calendar that
+    ends before it. A ``calendar`` is left-joined: where it knows a day, its attributes hold. The year
+    of a stored ledger is the column it is partitioned by.
     """
     chart = account.select(
         "account_key", "account_name", "account_type", "account_subheader", "sign",
         "account_header_key",
     ).join(account_header, "account_header_key")
-    parts = ("year", "quarter", "month", "month_name")
+    attributes = calendar_attributes(F.col("transaction_date"))
+    attributes["year"] = _stored_or(finance, "transaction_year", attributes["year"])
+    parts = ("quarter", "month", "month_name")
+    dated = finance.filter(F.col("transaction_date").isNotNull())
     if calendar is None:
-        attributes = calendar_attributes(F.col("transaction_date"))
-        dated = finance.filter(F.col("transaction_date").isNotNull()).withColumns(
-            {p: attributes[p] for p in parts}
-        )
+        dated = dated.withColumns({p: attributes[p] for p in ("year", *parts)})
     else:
-        days = calendar.select(F.col("full_date").alias("transaction_date"), *parts)
-        dated = finance.join(days, "transaction_date")
+        days = calendar.select(F.col("full_date").alias("transaction_date"), *[F.col(p).alias(f"_{p}") for p in parts])
+        dated = dated.join(days, "transaction_date", "left").withColumns(
+            {"year": attributes["year"]} | {p: F.coalesce(f"_{p}", attributes[p]) for p in parts}
+        )
     return (
         dated.join(chart, "account_key")
         .join(organization, "organization_key")

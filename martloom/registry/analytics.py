@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from martloom.functions.intent import question_intent
+from martloom.functions.intent import intent_pattern_sql, question_intent
 from martloom.operators.checks import missing_values
 from martloom.plans import forecast, growth, rfm
 from martloom.registry.core import Context, query
@@ -117,8 +117,8 @@ def pvm_drivers(c: Context):
 
 @query(
     "pvm_keys",
-    "SELECT kind AS comparison_type, CAST(cur_ms AS VARCHAR) AS month_start, subcategory FROM pvm_key",
-    ("pvm_key",),
+    "SELECT comparison_type, CAST(month_start AS VARCHAR) AS month_start, subcategory FROM pvm",
+    ("pvm",),
 )
 def pvm_keys(c: Context):
     months = growth.subcategory_months(c.gold("fct_sales_details"), c.gold("dim_product"))
@@ -253,11 +253,7 @@ def serve_forecast(c: Context):
 
 @query(
     "intent_tagging",
-    """SELECT conv_id, turn, CASE
-         WHEN regexp_matches(lower(text), 'previsão|forecast|projeção|tendência futura') THEN 'forecast'
-         WHEN regexp_matches(lower(text), 'por que|por quê|causa|motivo|explica|variação') THEN 'pvm'
-         WHEN regexp_matches(lower(text), 'recomend|sugest|o que fazer|ação|melhorar|next best') THEN 'reco' END AS intent
-       FROM conversations WHERE role = 'user'""",
+    f"SELECT conv_id, turn, {intent_pattern_sql('text')} AS intent FROM conversations WHERE role = 'user'",
 )
 def intent_tagging(c: Context):
     asked = c.sample.read("conversations").filter("role = 'user'")
@@ -266,12 +262,7 @@ def intent_tagging(c: Context):
 
 @query(
     "intent_counts",
-    """SELECT role, CASE
-         WHEN regexp_matches(lower(text), 'previsão|forecast|projeção|tendência futura') THEN 'forecast'
-         WHEN regexp_matches(lower(text), 'por que|por quê|causa|motivo|explica|variação') THEN 'pvm'
-         WHEN regexp_matches(lower(text), 'recomend|sugest|o que fazer|ação|melhorar|next best') THEN 'reco'
-         ELSE 'none' END AS intent, count(*) AS n
-       FROM conversations GROUP BY ALL""",
+    f"SELECT role, {intent_pattern_sql('text', chr(39) + 'none' + chr(39))} AS intent, count(*) AS n FROM conversations GROUP BY ALL",
 )
 def intent_counts(c: Context):
     log = c.sample.read("conversations")

@@ -12,7 +12,7 @@ from martloom.registry.oracle import (
 )
 
 REGION = "ASIA"
-SEGMENT = "At Risk"
+SEGMENT = "Champions"
 
 
 @query(
@@ -184,8 +184,9 @@ def tq_segment_counts(c: Context):
 )
 def tq_customers_by_segment(c: Context):
     scores = rfm.customer_rfm(c.gold("fct_sales_details"))
-    transactions = c.mart.sales_transactions(with_cost=False)
-    return rfm.customers_of_segment(scores, transactions, SEGMENT).orderBy(
+    return rfm.customers_of_segment(
+        scores, c.gold("dim_customer"), c.gold("dim_geography"), c.gold("fct_sales_details"), c.gold("dim_product"), SEGMENT
+    ).orderBy(
         F.desc("gross_sales_12m"), "customer_name"
     )
 

@@ -15,15 +15,17 @@ from martloom.sources import landing
 from martloom.sources.ingest import BRONZE, copy_into, ingest
 from martloom.streaming.file_stream import append_available, file_stream
 
-# Landing tables of the sample, and the column each is watched by where it has one.
-LANDED = ("customer", "events", "lineitem", "nation", "orders", "part", "region", "supplier")
+# What the listing of the sample folder has to find, and the column a table is watched by where it has one.
+LANDED = (
+    "benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem", "nation", "orders",
+    "pages", "part", "region", "supplier",
+)
 WATCHED = {"orders": ("o_orderdate", "updated_at"), "lineitem": ("l_shipdate", "modified_on")}
-HIGH_WATER_MARK = "1999-06-30"
 
 
 def _landed(c: Context) -> dict[str, DataFrame]:
     tables = {}
-    for name in LANDED:
+    for name in landing.landed_tables(c.spark, c.sample.path("*").rsplit("/", 1)[0]):
         df = c.sample.read(name)
         tables[name] = df.withColumnRenamed(*WATCHED[name]) if name in WATCHED else df
     return tables
@@ -45,7 +47,8 @@ def scan_parquet(c: Context):
     ),
 )
 def landing_files(c: Context):
-    listings = [landing.landing_files(c.spark, c.sample.path(name)) for name in LANDED]
+    root = c.sample.path("*").rsplit("/", 1)[0]
+    listings = [landing.landing_files(c.spark, f"{root}/{name}.parquet") for name in landing.landed_tables(c.spark, root)]
     return reduce(DataFrame.unionByName, listings).select(
         "file_name", "file_rows", (F.col("file_bytes") > 0).alias("has_bytes")
     )
@@ -55,7 +58,7 @@ def landing_files(c: Context):
     "control_watermark",
     " UNION ALL ".join(
         f"SELECT 'landing' AS table_schema, '{t}' AS table_name, '{w[1]}' AS watermark_column,"
-        f" count(*) AS source_rows, CAST(max(CAST({w[0]} AS DATE)) AS VARCHAR) AS high_water_mark FROM {t}"
+        f" count(*) AS source_rows, CAST(max({w[0]}) AS VARCHAR) AS high_water_mark FROM {t}"
         for t, w in WATCHED.items()
     ),
 )
@@ -74,7 +77,7 @@ def _control_sql() -> str:
         name, mark = WATCHED.get(t, (None, None))
         load = "incremental" if name else "full"
         column = f"'{mark}'" if mark else "CAST(NULL AS VARCHAR)"
-        high = f"CAST(max(CAST({name} AS DATE)) AS VARCHAR)" if name else "CAST(NULL AS VARCHAR)"
+        high = f"CAST(max({name}) AS VARCHAR)" if name else "CAST(NULL AS VARCHAR)"
         parts.append(
             f"SELECT 'landing' AS source_schema, '{t}' AS source_table, '{t}' AS target_folder, '{load}' AS load_type,"
             f" {column} AS watermark_column, 'copy_into' AS ingestion_mode, true AS is_active,"
@@ -134,14 +137,23 @@ def profile_of_key(c: Context):
 
 @query(
     "incremental_watermark",
-    f"SELECT o_orderkey, o_custkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_totalprice FROM orders WHERE o_orderdate > TIMESTAMP '{HIGH_WATER_MARK} 00:00:00'",
+    "SELECT o_orderkey, o_custkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_totalprice FROM orders"
+    " WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderstatus = 'F')",
 )
 def incremental_watermark(c: Context):
-    mark = F.lit(HIGH_WATER_MARK).cast("timestamp_ntz")
-    changed = landing.rows_since(c.sample.read("orders"), "o_orderdate", mark)
+    """A first run loads the finished orders and stores its mark; the next takes what came after it."""
+    orders, location = c.sample.read("orders"), scratch_dir(c.spark, "marks")
+    landing.store_marks(landing.load_state({"orders": orders.filter("o_orderstatus = 'F'")}, {"orders": "o_orderdate"}), location)
+    changed = landing.rows_since(orders, "o_orderdate", landing.stored_mark(c.spark, location, "orders"))
     return changed.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_totalprice")
 
 
+@query("preview_rows", "SELECT count(*) AS shown FROM (SELECT 1 FROM orders LIMIT 10)")
+def preview_rows(c: Context):
+    """The limit is the feature: a preview shows ten rows of any table."""
+    return landing.preview(c.sample.read("orders")).agg(F.count(F.lit(1)).alias("shown"))
+
+
 @query(
     "stream_append_available_now",
     "SELECT event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1",
@@ -172,13 +184,14 @@ def copy_into_idempotent(c: Context):
     )
 
 
-# Loads of the report: every kind, and two settings nothing handles.
+# Loads of the report: every kind, two settings nothing handles, and a table that never landed.
 LOADS = (
     ("nation", "full", "copy_into", True),
     ("orders", "incremental", "copy_into", True),
     ("customer", "incremental", "autoloader", True),
     ("part", "snapshot", "copy_into", True),
     ("supplier", "incremental", "ftp", True),
+    ("unlanded", "full", "copy_into", True),
     ("region", "full", "copy_into", False),
 )
 
@@ -187,7 +200,7 @@ LOADS = (
     "ingest_report",
     " UNION ALL ".join(
         f"SELECT '{t}' AS source_table, '{load}' AS load_type, '{mode}' AS ingestion_mode, '{status}' AS status,"
-        f" CAST(0 AS BIGINT) AS rows_before, {rows} AS rows_after FROM {t}"
+        f" CAST(0 AS BIGINT) AS rows_before, {rows} AS rows_after, false AS has_message FROM {t}"
         for t, load, mode, status, rows in (
             ("nation", "full", "copy_into", "loaded", "count(*)"),
             ("orders", "incremental", "copy_into", "loaded", "count(*)"),
@@ -195,11 +208,12 @@ LOADS = (
             ("part", "snapshot", "copy_into", "skipped", "count(*) * 0"),
             ("supplier", "incremental", "ftp", "skipped", "count(*) * 0"),
         )
-    ),
+    ) + " UNION ALL SELECT 'unlanded', 'full', 'copy_into', 'failed', 0, 0, true",
 )
 def ingest_report(c: Context):
     control = c.spark.createDataFrame(
         [(t, t, load, mode, active) for t, load, mode, active in LOADS],
         "source_table string, target_folder string, load_type string, ingestion_mode string, is_active boolean",
     )
-    return ingest(Lake(c.spark, scratch_dir(c.spark, "ingest")), control, c.sample.landing)
+    report = ingest(Lake(c.spark, scratch_dir(c.spark, "ingest")), control, c.sample.landing)
+    return report.withColumn("message", F.col("message").isNotNull()).withColumnRenamed("message", "has_message")

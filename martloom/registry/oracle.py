@@ -199,29 +199,26 @@ RELATIONS: dict[str, tuple[tuple[str, ...], str]] = {
              sum(order_quantity) AS qty, sum(gross_sales) AS rev
            FROM fct JOIN item USING (product_key) GROUP BY 1, 2""",
     ),
-    "pvm_key": (
-        ("sub_month",),
-        """SELECT DISTINCT kind, cur_ms, base_ms, subcategory
-           FROM (SELECT kind, t.ms AS cur_ms, CAST(t.ms - to_months(back) AS DATE) AS base_ms
-                 FROM (SELECT DISTINCT ms FROM sub_month) t CROSS JOIN (VALUES ('MoM', 1), ('YoY', 12)) c(kind, back))
-           JOIN sub_month s ON s.ms = cur_ms OR s.ms = base_ms
-           WHERE base_ms IN (SELECT ms FROM sub_month)""",
-    ),
+    # one table shifted by 1 or 12 months meets itself in a full join; group totals are windows
     "pvm": (
-        ("sub_month", "pvm_key"),
-        """SELECT kind AS comparison_type, CAST(year(cur_ms) * 100 + month(cur_ms) AS INTEGER) AS year_month,
-             cur_ms AS month_start, subcategory, rev1 - rev0 AS delta_revenue, vol AS effect_volume,
-             price AS effect_price, rev1 - rev0 - vol - price AS effect_mix
-           FROM (SELECT *, (qt1 - qt0) * (q0 / qt0) * (rt0 / qt0) AS vol,
-                   CASE WHEN q0 = 0 OR q1 = 0 THEN 0 ELSE q1 * (rev1 / q1 - rev0 / q0) END AS price
-           FROM (SELECT k.*, CAST(coalesce(c.qty, 0) AS DOUBLE) AS q1, CAST(coalesce(c.rev, 0) AS DOUBLE) AS rev1,
-                   CAST(coalesce(b.qty, 0) AS DOUBLE) AS q0, CAST(coalesce(b.rev, 0) AS DOUBLE) AS rev0,
-                   CAST(tc.q AS DOUBLE) AS qt1, CAST(tb.q AS DOUBLE) AS qt0, CAST(tb.r AS DOUBLE) AS rt0
-                 FROM pvm_key k
-                 JOIN (SELECT ms, sum(qty) AS q FROM sub_month GROUP BY ms) tc ON tc.ms = cur_ms
-                 JOIN (SELECT ms, sum(qty) AS q, sum(rev) AS r FROM sub_month GROUP BY ms) tb ON tb.ms = base_ms
-                 LEFT JOIN sub_month c ON c.ms = cur_ms AND c.subcategory = k.subcategory
-                 LEFT JOIN sub_month b ON b.ms = base_ms AND b.subcategory = k.subcategory))""",
+        ("sub_month",),
+        """SELECT comparison_type, CAST(year(ms) * 100 + month(ms) AS INTEGER) AS year_month, ms AS month_start, subcategory,
+             dr AS delta_revenue, v AS effect_volume, p AS effect_price, dr - v - p AS effect_mix
+           FROM (SELECT comparison_type, ms, subcategory, r_now - r_then AS dr,
+                   (tq_now - tq_then) * (q_then / tq_then) * (tr_then / tq_then) AS v,
+                   CASE WHEN q_now > 0 AND q_then > 0 THEN q_now * (r_now / q_now - r_then / q_then) ELSE 0 END AS p
+           FROM (SELECT *, qn::DOUBLE AS q_now, rn::DOUBLE AS r_now, qt::DOUBLE AS q_then, rt::DOUBLE AS r_then,
+                   CAST(sum(qn) OVER g AS DOUBLE) AS tq_now, CAST(sum(qt) OVER g AS DOUBLE) AS tq_then,
+                   CAST(sum(rt) OVER g AS DOUBLE) AS tr_then, sum(seen_now) OVER g AS some_now, sum(seen_then) OVER g AS some_then
+           FROM (SELECT comparison_type, ms, subcategory, coalesce(a.qty, 0) AS qn, coalesce(a.rev, 0) AS rn,
+                   coalesce(b.qty, 0) AS qt, coalesce(b.rev, 0) AS rt,
+                   (a.qty IS NOT NULL)::INTEGER AS seen_now, (b.qty IS NOT NULL)::INTEGER AS seen_then
+                 FROM (SELECT 'MoM' AS comparison_type, * FROM sub_month UNION ALL SELECT 'YoY', * FROM sub_month) a
+                 FULL JOIN (SELECT 'MoM' AS comparison_type, * REPLACE (CAST(ms + INTERVAL 1 MONTH AS DATE) AS ms) FROM sub_month
+                            UNION ALL SELECT 'YoY', * REPLACE (CAST(ms + INTERVAL 1 YEAR AS DATE) AS ms) FROM sub_month) b
+                 USING (comparison_type, ms, subcategory))
+           WINDOW g AS (PARTITION BY comparison_type, ms))
+           WHERE some_now > 0 AND some_then > 0)""",
     ),
     "bill": (
         (),

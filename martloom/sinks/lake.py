@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martloom.streaming.file_stream import stored_schema
+
+LOAD = "_load"  # folder per load of an appended table; not a column of it
+
 
 class Lake:
     def __init__(self, spark: SparkSession, root: str) -> None:
@@ -22,40 +27,70 @@ class Lake:
     def schema_location(self, table: str) -> str:
         return f"{self.root}/_ops/{table}/schema"
 
-    def read(self, layer: str, table: str, merge_schema: bool = False) -> DataFrame:
-        """``merge_schema`` unites the columns of all files, for tables appended to over time."""
-        reader = self.spark.read.option("mergeSchema", str(merge_schema).lower())
-        return reader.parquet(self.path(layer, table))
+    def ledger(self, table: str) -> str:
+        """Landed files that are in a bronze table, by the load that brought them."""
+        return f"{self.root}/_ops/{table}/ledger"
+
+    def read(self, layer: str, table: str) -> DataFrame:
+        """A stored table; for one appended to over time, in the schema remembered for it."""
+        reader = self.spark.read
+        schema = stored_schema(self.spark, self.schema_location(table)) if layer == "bronze" else None
+        if schema is not None:
+            reader = reader.schema(schema)
+        return reader.parquet(self.path(layer, table)).drop(LOAD)
 
     def _located(self, folder: str):
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
         return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
 
-    def exists(self, layer: str, table: str) -> bool:
-        fs, path = self._located(self.path(layer, table))
+    def _there(self, folder: str) -> bool:
+        fs, path = self._located(folder)
         return fs.exists(path)
 
+    def exists(self, layer: str, table: str) -> bool:
+        return self._there(self.path(layer, table))
+
     def has_load_history(self, table: str) -> bool:
-        fs, path = self._located(self.checkpoint(table))
-        return fs.exists(path)
+        """Whether it is known which landed files the table holds."""
+        return self._there(self.ledger(table)) or self._there(self.checkpoint(table))
 
-    def drop(self, layer: str, table: str) -> None:
-        """Remove a table and what is remembered about the files loaded into it."""
-        for folder in (self.path(layer, table), f"{self.root}/_ops/{table}"):
+    def forget_loads(self, table: str) -> None:
+        """Drop what is remembered about the files of a table that was replaced as a whole."""
+        for folder in (self.checkpoint(table), self.ledger(table), self.schema_location(table)):
             fs, path = self._located(folder)
             fs.delete(path, True)
 
+    def switch(self, written: str, table_path: str) -> None:
+        """Put a finished folder in the place of a table. The old one goes last; a failed move puts it back."""
+        fs, new = self._located(written)
+        _, current = self._located(table_path)
+        _, old = self._located(f"{self.root}/_old/{uuid.uuid4().hex}")
+        had = fs.exists(current)
+        fs.mkdirs(old.getParent())
+        fs.mkdirs(current.getParent())
+        if had and not fs.rename(current, old):
+            raise OSError(f"{table_path} cannot be moved aside")
+        if not fs.rename(new, current):
+            if had:
+                fs.rename(old, current)
+            raise OSError(f"{written} cannot be moved to {table_path}")
+        if had:
+            fs.delete(old, True)
+
     def replace(
         self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = ()
     ) -> DataFrame:
-        """Overwrite rows and schema. Rerunning gives the same table.
+        """Replace rows and schema. Rerunning gives the same table.
 
-        A partitioned table is rebalanced first: each folder gets few well-sized files, and a
-        folder that holds much of the data is still written by many tasks.
+        The new table is written beside the old one, then they switch, so a write that fails leaves
+        the old one as it was. A partitioned table is rebalanced first: each folder gets few well-sized
+        files, and a folder that holds much of the data is still written by many tasks.
         """
         if partition_by:
             df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(layer, table))
+        written = f"{self.root}/_new/{layer}-{table}-{uuid.uuid4().hex}"
+        df.write.partitionBy(*partition_by).parquet(written)
+        self.switch(written, self.path(layer, table))
         return self.spark.read.parquet(self.path(layer, table))
 
     def register(self, layer: str, table: str, comment: str = "", tags: dict[str, str] | None = None) -> None:

@@ -4,53 +4,92 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, Row
 
-from martloom.sinks.lake import Lake
+from martloom.sinks.lake import LOAD, Lake
 from martloom.sources.landing import scan_parquet
-from martloom.streaming.file_stream import load_new_files
+from martloom.streaming.file_stream import (
+    footers_schema, load_new_files, merged_schema, store_schema, stored_schema,
+)
 
 BRONZE = "bronze"
 REPORT_SCHEMA = (
     "source_table string, load_type string, ingestion_mode string, status string, "
-    "rows_before long, rows_after long"
+    "rows_before long, rows_after long, message string"
 )
 
 
+class UnknownHistory(RuntimeError):
+    """A table holds rows, and nothing tells from which landed files they came."""
+
+
 def full_load(lake: Lake, table: str, source: str) -> None:
-    """Replace the table by everything in its landing folder.
+    """Replace the table by everything in its landing folder, and remember the files that brought it.
 
-    The memory of incrementally loaded files goes with the rows they brought.
+    The new rows are written before the old ones go; an incremental load that follows adds only files
+    that land later.
     """
-    lake.drop(BRONZE, table)
-    lake.replace(scan_parquet(lake.spark, source, merge_schema=True), BRONZE, table)
+    landed = scan_parquet(lake.spark, source, merge_schema=True)
+    load = f"full-{uuid4().hex[:12]}"
+    written = f"{lake.root}/_new/{BRONZE}-{table}-{load}"
+    landed.write.parquet(f"{written}/{LOAD}={load}")
+    lake.forget_loads(table)
+    lake.switch(written, lake.path(BRONZE, table))
+    files = lake.spark.createDataFrame([(f,) for f in landed.inputFiles()], "file string")
+    files.coalesce(1).write.mode("overwrite").parquet(f"{lake.ledger(table)}/load={load}")
+    store_schema(lake.spark, lake.schema_location(table), landed.schema)
 
 
 def reload(lake: Lake, table: str, source: str) -> int:
-    """Drop, load in full, and count."""
+    """Load in full and count."""
     full_load(lake, table, source)
     return stored_rows(lake, table)
 
 
-def _start_incremental(lake: Lake, table: str) -> None:
-    """A snapshot from a full load gives way to the first incremental load of the same files."""
-    if not lake.has_load_history(table):
-        lake.drop(BRONZE, table)
+def _unseen_files(lake: Lake, table: str, source: str) -> list[str]:
+    """Landed files that the ledger does not list. Their names come from the listing of the folder."""
+    landed = lake.spark.read.schema("_none int").parquet(source).inputFiles()
+    if not lake._there(lake.ledger(table)):
+        return list(landed)
+    known = lake.spark.read.schema("file string, load string").parquet(lake.ledger(table)).select("file")
+    names = lake.spark.createDataFrame([(f,) for f in landed], "file string")
+    return [r["file"] for r in names.join(known, "file", "left_anti").collect()]
+
+
+def _incremental(lake: Lake, table: str, source: str, remember: bool, reset: bool) -> int:
+    if lake.exists(BRONZE, table) and not lake.has_load_history(table):
+        if not reset:
+            raise UnknownHistory(
+                f"{table} has rows but neither a checkpoint nor a ledger of loaded files; "
+                "reset=True replaces it by what its landing folder holds"
+            )
+        return reload(lake, table, source)
+    unseen = _unseen_files(lake, table, source)
+    if not unseen:
+        return 0
+    location = lake.schema_location(table)
+    stored, found = stored_schema(lake.spark, location), footers_schema(lake.spark, unseen)
+    merged = merged_schema(stored, found) if stored is not None else found
+    if merged != stored:
+        store_schema(lake.spark, location, merged)
+    return load_new_files(
+        lake.spark, source, lake.path(BRONZE, table), lake.checkpoint(table), lake.ledger(table), merged if remember else found
+    )
 
 
-def copy_into(lake: Lake, table: str, source: str) -> None:
-    """Add landed files not loaded before; columns new to this run are kept."""
-    _start_incremental(lake, table)
-    load_new_files(lake.spark, source, lake.path(BRONZE, table), lake.checkpoint(table))
+def copy_into(lake: Lake, table: str, source: str, reset: bool = False) -> int:
+    """Add landed files not loaded before; columns new to this run are kept. Returns the rows added.
 
+    Nothing is ever deleted: a table whose history is unknown raises ``UnknownHistory`` unless ``reset``.
+    """
+    return _incremental(lake, table, source, remember=False, reset=reset)
 
-def auto_load(lake: Lake, table: str, source: str) -> None:
-    """As ``copy_into`` with the schema remembered between runs, so a column never disappears."""
-    _start_incremental(lake, table)
-    load_new_files(
-        lake.spark, source, lake.path(BRONZE, table), lake.checkpoint(table), lake.schema_location(table)
-    )
+
+def auto_load(lake: Lake, table: str, source: str, reset: bool = False) -> int:
+    """As ``copy_into``, every file read in the schema remembered between runs."""
+    return _incremental(lake, table, source, remember=True, reset=reset)
 
 
 def stored_rows(lake: Lake, table: str) -> int:
@@ -58,7 +97,7 @@ def stored_rows(lake: Lake, table: str) -> int:
     return lake.spark.read.parquet(lake.path(BRONZE, table)).count() if lake.exists(BRONZE, table) else 0
 
 
-def _loader(row: Row) -> Callable[[Lake, str, str], None] | None:
+def _loader(row: Row) -> Callable[[Lake, str, str], object] | None:
     if row["load_type"] == "full":
         return full_load
     if row["load_type"] == "incremental":
@@ -69,20 +108,25 @@ def _loader(row: Row) -> Callable[[Lake, str, str], None] | None:
 def ingest(
     lake: Lake, control: DataFrame, landing: Callable[[str], str], parallel_tables: int = 4
 ) -> DataFrame:
-    """Load every active control row and report on each, unknown settings as skipped.
+    """Load every active control row and report on each: ``loaded``, ``skipped`` (unknown settings) or
+    ``failed`` with the message; a table that fails stops no other.
 
     Only the control rows (one per source table) come to the driver. Independent tables load
     side by side so a small one never waits for a large one.
     """
 
-    def load(row: Row) -> tuple[str, str, str, str, int, int]:
-        table = row["source_table"]
-        loader = _loader(row)
-        before = stored_rows(lake, table)
-        if loader is not None:
-            loader(lake, table, landing(row["target_folder"]))
-        status = "skipped" if loader is None else "loaded"
-        return (table, row["load_type"], row["ingestion_mode"], status, before, stored_rows(lake, table))
+    def load(row: Row) -> tuple[str, str, str, str, int | None, int | None, str | None]:
+        table, loader = row["source_table"], _loader(row)
+        status, message, before, after = "skipped", None, None, None
+        try:
+            before = after = stored_rows(lake, table)
+            if loader is not None:
+                added = loader(lake, table, landing(row["target_folder"]))
+                after = stored_rows(lake, table) if loader is full_load else before + added
+                status = "loaded"
+        except Exception as fault:  # reported below, table by table
+            status, message = "failed", f"{type(fault).__name__}: {fault}".splitlines()[0][:500]
+        return (table, row["load_type"], row["ingestion_mode"], status, before, after, message)
 
     rows = control.filter("is_active").collect()
     with ThreadPoolExecutor(max_workers=parallel_tables) as pool:

@@ -9,10 +9,15 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-WATERMARK_PATTERN = "updat|modif"
+WATERMARK_PATTERN = "updat|modif"  # fixed value: names of change-tracking columns
 COLUMN_LIST_SCHEMA = "table_schema string, table_name string, column_name string"
 
 
+def preview(df: DataFrame, rows: int = 10) -> DataFrame:
+    """A look at the first rows."""
+    return df.limit(rows)
+
+
 def scan_parquet(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
     return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
 
@@ -27,18 +32,43 @@ def all_days(root: str, source: str, table: str) -> str:
     return f"{root.rstrip('/')}/{source}/{table}/*/*/*"
 
 
+def _listed(spark: SparkSession, pattern: str, recursive: bool) -> list[tuple[str, int]]:
+    """Paths and sizes below a folder or pattern, from the file system's own listing."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for top in fs.globStatus(path) or ():
+        if recursive and top.isDirectory():
+            inside = fs.listFiles(top.getPath(), True)
+            while inside.hasNext():
+                status = inside.next()
+                found.append((status.getPath().toString(), status.getLen()))
+        else:
+            found.append((top.getPath().toString(), top.getLen()))
+    return found
+
+
 def landing_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per Parquet file of a folder: name, bytes, rows."""
-    return (
-        spark.read.parquet(path)
-        .select(
-            F.col("_metadata.file_name").alias("file_name"),
-            F.col("_metadata.file_size").alias("file_bytes"),
-        )
-        .filter(F.col("file_name").endswith(".parquet"))
-        .groupBy("file_name", "file_bytes")
+    """One row per Parquet file below a folder: path, name, bytes, rows. A file without rows counts 0."""
+    listed = [(p, p.rsplit("/", 1)[-1], n) for p, n in _listed(spark, path, True) if p.endswith(".parquet")]
+    files = spark.createDataFrame(listed, "file_path string, file_name string, file_bytes long")
+    if not listed:
+        return files.withColumn("file_rows", F.lit(0).cast("long"))
+    one_form = lambda c: F.regexp_replace(c, "^file:/+", "file:///")
+    rows = (
+        spark.read.parquet(*[p for p, _, _ in listed])
+        .groupBy(one_form(F.col("_metadata.file_path")).alias("_path"))
         .agg(F.count(F.lit(1)).alias("file_rows"))
     )
+    return files.join(rows, one_form(F.col("file_path")) == F.col("_path"), "left").select(
+        "file_path", "file_name", "file_bytes", F.coalesce("file_rows", F.lit(0)).alias("file_rows")
+    )
+
+
+def landed_tables(spark: SparkSession, root: str) -> list[str]:
+    """Names of the tables that lie in a folder, each a Parquet file or a folder of such files."""
+    names = {p.rstrip("/").rsplit("/", 1)[-1] for p, _ in _listed(spark, f"{root.rstrip('/')}/*.parquet", False)}
+    return sorted(n.removesuffix(".parquet") for n in names)
 
 
 def discover_columns(
@@ -86,10 +116,14 @@ def control_table(columns: DataFrame, ingestion_mode: str = "copy_into") -> Data
 
 
 def load_state(tables: Mapping[str, DataFrame], watermarks: Mapping[str, str]) -> DataFrame:
-    """Per table: rows to load and, where it has a watermark column, the newest mark."""
+    """Per table: rows to load and, where it has a watermark column, the newest mark.
+
+    Marks are kept as text in the full precision of their column; ``rows_since`` reads them back in
+    the column's own type.
+    """
     parts = []
     for name, df in tables.items():
-        mark = F.max(F.col(watermarks[name]).cast("date")) if name in watermarks else F.lit(None).cast("date")
+        mark = F.max(F.col(watermarks[name])).cast("string") if name in watermarks else F.lit(None).cast("string")
         parts.append(
             df.agg(F.count(F.lit(1)).alias("source_rows"), mark.alias("high_water_mark")).select(
                 F.lit(name).alias("source_table"), "source_rows", "high_water_mark"
@@ -98,9 +132,26 @@ def load_state(tables: Mapping[str, DataFrame], watermarks: Mapping[str, str]) -
     return reduce(DataFrame.unionByName, parts)
 
 
+def store_marks(state: DataFrame, location: str) -> None:
+    """Remember how far each table of ``load_state`` has been loaded; the last mark of a table counts."""
+    state.filter("high_water_mark IS NOT NULL").select(
+        "source_table", "high_water_mark", F.current_timestamp().alias("marked_at")
+    ).write.mode("append").parquet(location)
+
+
+def stored_mark(spark: SparkSession, location: str, table: str) -> str | None:
+    """The mark stored last for a table, None before the first."""
+    if not _listed(spark, location, False):
+        return None
+    marks = spark.read.parquet(location).filter(F.col("source_table") == table)
+    return marks.agg(F.max_by("high_water_mark", "marked_at")).first()[0]
+
+
 def rows_since(df: DataFrame, column: str, high_water_mark: object) -> DataFrame:
-    """Rows changed after the stored mark; the comparison reaches the Parquet scan."""
-    return df.filter(F.col(column) > F.lit(high_water_mark))
+    """Rows changed after the stored mark, all rows where there is none; the comparison reaches the scan."""
+    if high_water_mark is None:
+        return df
+    return df.filter(F.col(column) > F.lit(high_water_mark).cast(df.schema[column].dataType))
 
 
 def control_json(control: DataFrame) -> DataFrame:

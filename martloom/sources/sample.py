@@ -202,14 +202,11 @@ class SampleTables:
         ordered = F.col("o_orderdate").cast("date")
         discount = _ten_thousandths(F.coalesce(F.col("discount_e4"), F.lit(0)))
         total = F.col("o_totalprice").cast(MONEY)
-        # a computed key: joins on it shuffle the header anew, as they would a stored table, and
-        # two plain shuffles are what lets AQE split an order that holds much of the lines
-        order_key = F.col("o_orderkey").cast("decimal(20,0)")
         return (
             self.read("orders")
             .join(per_order, "o_orderkey", "left")
             .select(
-                _key(order_key).alias("sales_header_key"),
+                _key("o_orderkey").alias("sales_header_key"),
                 _key("o_custkey").alias("customer_key"),
                 _key(F.col("o_custkey") % N_REGIONS).alias("region_key"),
                 _order_number(F.col("o_orderkey")).alias("sales_order_number"),
@@ -303,7 +300,7 @@ class SampleTables:
             row_id = F.col("product_key")
         else:
             row_id = F.col(spec.fields[0].name)
-        columns = [(row_id * 2 + F.col("_version")).cast("bigint").alias("id")]
+        columns = [(row_id * 2 + F.col("_version")).cast("bigint").cast("string").alias("id")]
         key_sources = set(spec.dedup_key)
         for f in spec.fields:
             value = F.col(f.name)
@@ -313,7 +310,9 @@ class SampleTables:
                 value = decimal_comma_text(value)
             elif f.reads_as == "lower":
                 value = F.concat(F.lit(" "), F.initcap(value))
-            elif f.reads_as == "text" and f.source not in key_sources:
+            elif f.reads_as == "text" and f.source in key_sources:
+                value = F.when(F.col("_version") == 1, F.concat(value, F.lit(" "))).otherwise(value)
+            elif f.reads_as == "text":
                 current = F.concat(F.lit("  "), value, F.lit(" "))
                 value = F.when(F.col("_version") == 1, current).otherwise(F.lit("stale"))
             columns.append(value.alias(f.source))

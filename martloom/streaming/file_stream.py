@@ -3,36 +3,57 @@
 from __future__ import annotations
 
 import json
+import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+FILE = "_landed_file"
+#: Types a column may grow from and to without losing a value.
+WIDER = {
+    (T.ByteType, T.ShortType), (T.ByteType, T.IntegerType), (T.ByteType, T.LongType), (T.ShortType, T.IntegerType),
+    (T.ShortType, T.LongType), (T.IntegerType, T.LongType), (T.FloatType, T.DoubleType),
+}
+
 
 def merged_schema(old: T.StructType, new: T.StructType) -> T.StructType:
-    """Old columns in place, unseen ones appended."""
+    """Old columns in place, the wider of two types, unseen columns appended.
+
+    A type that fits neither way is an error that names the column.
+    """
+    incoming = {f.name: f for f in new.fields}
+
+    def one(field: T.StructField) -> T.StructField:
+        other = incoming.get(field.name, field)
+        if type(other.dataType) is type(field.dataType) or (type(other.dataType), type(field.dataType)) in WIDER:
+            return field
+        if (type(field.dataType), type(other.dataType)) in WIDER:
+            return other
+        raise ValueError(
+            f"column {field.name} was {field.dataType.simpleString()} and arrives as {other.dataType.simpleString()}"
+        )
+
     known = set(old.fieldNames())
-    return T.StructType([*old.fields, *(f for f in new.fields if f.name not in known)])
+    return T.StructType([*map(one, old.fields), *(f for f in new.fields if f.name not in known)])
 
 
-def tracked_schema(spark: SparkSession, source: str, schema_location: str | None) -> T.StructType:
-    """Schema of a landing folder, merged with and stored to the schema location if there is one."""
-    found = spark.read.option("mergeSchema", "true").parquet(source).schema
-    if schema_location is None:
-        return found
+def stored_schema(spark: SparkSession, location: str) -> T.StructType | None:
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(schema_location)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(path):
-        stored = T.StructType.fromJson(
-            json.loads(spark.read.text(schema_location, wholetext=True).first()[0])
-        )
-        if set(found.fieldNames()) <= set(stored.fieldNames()):
-            return stored
-        found = merged_schema(stored, found)
-    spark.createDataFrame([(found.json(),)], "schema string").coalesce(1).write.mode(
-        "overwrite"
-    ).text(schema_location)
-    return found
+    path = jvm.org.apache.hadoop.fs.Path(location)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return None
+    return T.StructType.fromJson(json.loads(spark.read.text(location, wholetext=True).first()[0]))
+
+
+def store_schema(spark: SparkSession, location: str, schema: T.StructType) -> None:
+    spark.createDataFrame([(schema.json(),)], "schema string").coalesce(1).write.mode("overwrite").text(location)
+
+
+def footers_schema(spark: SparkSession, files: Sequence[str]) -> T.StructType:
+    """One schema for the given files, read from their footers alone."""
+    return spark.read.option("mergeSchema", "true").parquet(*files).schema
 
 
 def file_stream(
@@ -65,10 +86,52 @@ def load_new_files(
     source: str,
     target: str,
     checkpoint: str,
-    schema_location: str | None = None,
+    ledger: str,
+    schema: T.StructType,
     max_files: int | None = None,
-    schema: T.StructType | None = None,
-) -> None:
-    """Take files landed since the last run; a known ``schema`` spares reading their footers first."""
-    schema = schema or tracked_schema(spark, source, schema_location)
-    append_available(file_stream(spark, source, schema, max_files), target, checkpoint)
+) -> int:
+    """Add the files that neither the checkpoint nor the ledger knows; returns the rows added.
+
+    A batch writes a folder of its own below ``target`` and then its files to the ledger. A batch that
+    runs again overwrites both, so a failure at any point neither loses nor doubles a row, and a lost
+    checkpoint costs one more look at the files that the ledger lists.
+    """
+    added = []
+    generation = _generation(spark, checkpoint)
+    stream = file_stream(spark, source, schema, max_files).withColumn(FILE, F.col("_metadata.file_path"))
+
+    def load(batch: DataFrame, number: int) -> None:
+        session, name = batch.sparkSession, f"{generation}-{number}"
+        known = session.read.schema("file string, load string").parquet(ledger) if _exists(session, ledger) else None
+        rows = batch
+        if known is not None:
+            rows = batch.join(known.filter(F.col("load") != name).select(F.col("file").alias(FILE)), FILE, "left_anti")
+        count = Observation(f"load_{uuid.uuid4().hex}")
+        rows.drop(FILE).observe(count, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{target}/_load={name}")
+        batch.select(F.col(FILE).alias("file")).distinct().write.mode("overwrite").parquet(f"{ledger}/load={name}")
+        added.append(count.get["rows"])
+
+    (
+        stream.writeStream.foreachBatch(load)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    return sum(added)
+
+
+def _exists(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
+def _generation(spark: SparkSession, checkpoint: str) -> str:
+    """A name kept beside the checkpoint; a new checkpoint counts its batches from zero again,
+    so its folders must not take the names of the old one's."""
+    meta = f"{checkpoint}/generation"
+    if _exists(spark, meta):
+        return spark.read.text(meta).first()[0]
+    name = uuid.uuid4().hex[:12]
+    spark.createDataFrame([(name,)], "value string").coalesce(1).write.text(meta)
+    return name
