@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from martloom.functions import text
-from martloom.operators.quality import Expectation, enforce
+from martloom.operators.quality import Expectation, enforce, observed
 
 READERS: dict[str, Callable[[Column], Column]] = {
     "key": lambda c: c.try_cast("bigint"),
@@ -78,17 +79,27 @@ def to_silver(bronze: DataFrame, spec: ConformSpec, loaded_at: Column | None = N
     return enforce(conform(bronze, spec, loaded_at), spec.rules)
 
 
+def _unreadable(spec: ConformSpec) -> dict[str, Column]:
+    return {
+        f.name: F.count_if(text.parse_failed(F.col(f"`{f.source}`"), READERS[f.reads_as](F.col(f"`{f.source}`"))))
+        for f in spec.parsed_fields()
+    }
+
+
+def observed_silver(
+    bronze: DataFrame, spec: ConformSpec, loaded_at: Column | None = None
+) -> tuple[DataFrame, Observation, Observation]:
+    """``to_silver``, with unreadable values per field and rule outcomes counted while it is written."""
+    read = Observation(f"read_{spec.table}_{uuid4().hex}")
+    watched = bronze.observe(read, F.count(F.lit(1)).alias("_rows"), *[c.alias(n) for n, c in _unreadable(spec).items()])
+    rows, checked = observed(conform(watched, spec, loaded_at), spec.table, spec.rules)
+    return rows, read, checked
+
+
 def parse_failures(bronze: DataFrame, spec: ConformSpec) -> DataFrame:
     """Count, per field, the values that were present but could not be read (one pass)."""
-    fields = spec.parsed_fields()
-    counts = bronze.agg(
-        *[
-            F.count_if(
-                text.parse_failed(F.col(f"`{f.source}`"), READERS[f.reads_as](F.col(f"`{f.source}`")))
-            ).alias(f.name)
-            for f in fields
-        ]
-    )
-    return counts.unpivot([], [f.name for f in fields], "column_name", "unreadable").select(
+    fields = _unreadable(spec)
+    counts = bronze.agg(*[c.alias(n) for n, c in fields.items()])
+    return counts.unpivot([], list(fields), "column_name", "unreadable").select(
         F.lit(spec.table).alias("table_name"), "column_name", "unreadable"
     )

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -74,7 +75,7 @@ def observed(
     df: DataFrame, table: str, rules: tuple[Expectation, ...]
 ) -> tuple[DataFrame, Observation]:
     """Enforced rows plus counts gathered while they are written, without another pass."""
-    observation = Observation(f"quality_{table}")
+    observation = Observation(f"quality_{table}_{uuid4().hex}")
     watched = df.observe(
         observation,
         F.count(F.lit(1)).alias("rows"),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from martloom.plans import gold, semantic
-from martloom.plans.contracts import CONTRACTS
+from martloom.plans.contracts import CONTRACTS, tables_for
 
 PROJECTIONS = {
     "dim_customer": "customer",
@@ -47,6 +47,17 @@ class Mart:
         other._stored = self._stored
         return other
 
+    def for_domain(self, domain: str) -> Mart:
+        """The mart as a domain sees it: its own tables and the shared ones, an error for any other."""
+        allowed = set(tables_for(domain))
+
+        def seen(name: str) -> DataFrame:
+            if name not in allowed:
+                raise PermissionError(f"{name} is not open to {domain}")
+            return self.gold(name)
+
+        return self.over(seen)
+
     def _once(self, layer: str, name: str, build: Callable[[str], DataFrame]) -> DataFrame:
         if (layer, name) not in self._cache:
             self._cache[layer, name] = build(name)

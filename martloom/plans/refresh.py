@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.operators.conform import to_silver
+from martloom.operators.conform import observed_silver
 from martloom.plans import forecast, growth, rfm
 from martloom.plans.contracts import CONTRACTS
 from martloom.plans.mart import Mart
@@ -31,12 +31,28 @@ def _each(tables: Iterable[str], refresh_one: Callable[[str], object]) -> None:
         list(pool.map(refresh_one, tables))
 
 
-def refresh_silver(lake: Lake) -> None:
+SILVER_REPORT = "table_name string, kind string, name string, action string, n long"
+
+
+def refresh_silver(lake: Lake) -> DataFrame:
+    """Store silver, and return and store what was counted on the way: rows read and conformed, values
+    that could not be read, rows that break each rule."""
+    counted: list[tuple[str, str, str, str | None, int]] = []
+
     def one(table: str) -> None:
-        bronze = lake.read("bronze", table)
-        lake.replace(to_silver(bronze, SPECS[table], F.current_timestamp()), "silver", table)
+        spec = SPECS[table]
+        rows, read, checked = observed_silver(lake.read("bronze", table), spec, F.current_timestamp())
+        lake.replace(rows, "silver", table)
+        actions = {r.name: r.action for r in spec.rules}
+        seen, outcome = dict(read.get), dict(checked.get)
+        counted.append((table, "rows", "read", None, seen.pop("_rows")))
+        counted.append((table, "rows", "conformed", None, outcome.pop("rows")))
+        counted.extend((table, "unreadable", name, None, n) for name, n in seen.items())
+        counted.extend((table, "violated", name, actions[name], n) for name, n in outcome.items())
 
     _each(SPECS, one)
+    report = lake.spark.createDataFrame(sorted(counted, key=lambda r: r[:3]), SILVER_REPORT).coalesce(1)
+    return lake.replace(report, "_ops", "silver_report")
 
 
 def refresh_gold(lake: Lake) -> None:
@@ -88,7 +104,9 @@ def refresh_analytics(lake: Lake) -> None:
         lake.replace(df.withColumn("_generated_at", F.current_timestamp()), "ml", name)
 
 
-def refresh(lake: Lake) -> None:
-    refresh_silver(lake)
+def refresh(lake: Lake) -> DataFrame:
+    """Everything from bronze on; returns the report of ``refresh_silver``."""
+    report = refresh_silver(lake)
     refresh_gold(lake)
     refresh_analytics(lake)
+    return report

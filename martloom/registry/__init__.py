@@ -7,7 +7,7 @@ from importlib import import_module
 from martloom.registry.core import QUERIES, RegisteredQuery
 
 for _module in (
-    "ingestion", "conforming", "star", "commercial", "finance", "analytics", "operations", "columns",
+    "ingestion", "conforming", "star", "commercial", "finance", "analytics", "operations", "columns", "stored",
 ):
     import_module(f"martloom.registry.{_module}")
 

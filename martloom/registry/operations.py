@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import cache
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,17 +19,7 @@ from martloom.registry.core import QUERIES, Context, query
 from martloom.registry.oracle import GROSS, NET, RETURNS, as_double
 from martloom.session import scratch_dir
 from martloom.sinks.lake import Lake
-from martloom.sinks.relational import MANIFEST, LakeTarget, publish, reconcile
-
-GRAINS = (
-    ("dim_calendar", ("full_date",)),
-    ("dim_customer", ("customer_key",)),
-    ("dim_product", ("product_key",)),
-    ("fct_finance", ("finance_key",)),
-    ("fct_product_cost_history", ("product_key", "year", "month_no", "country_code")),
-    ("fct_sales_details", ("sales_details_key",)),
-)
-
+from martloom.sinks.relational import ANALYTIC_TABLES, MANIFEST, LakeTarget, publish, reconcile
 
 def _grain_sql(table: str, relation: str, key: str) -> str:
     return (
@@ -46,21 +36,22 @@ def grain_check(c: Context):
     return checks.grain_violations(c.gold("fct_sales_details"), ["sales_details_key"])
 
 
+def _gold_sql(table: str) -> str:
+    """The checking SQL of a gold or analytic table's own query."""
+    named = {"fct_product_cost_history": "fct_cost_history", "forecast_sales": "serve_forecast", "reco_customer_actions": "reco_actions"}
+    return QUERIES[named.get(table, table)].sql
+
+
 @query(
     "grain_summary",
-    " UNION ALL ".join(
-        (
-            _grain_sql("dim_customer", "customer", "c_custkey"),
-            _grain_sql("dim_product", "part", "p_partkey"),
-            _grain_sql("fct_finance", "ledger", "finance_key"),
-            _grain_sql("fct_product_cost_history", "cost", "product_key, year, month_no, country_code"),
-            _grain_sql("fct_sales_details", "lineitem", "l_orderkey, l_linenumber"),
-        )
-    ),
-    ("ledger", "cost"),
+    " UNION ALL ".join(_grain_sql(m.source, f"({_gold_sql(m.source)})", ", ".join(m.primary_key)) for m in MANIFEST),
 )
 def grain_summary(c: Context):
-    return checks.grain_summary((t, c.gold(t), k) for t, k in GRAINS if t != "dim_calendar")
+    """The primary keys of all sixteen published tables."""
+    analytic = analytic_tables(c.mart)
+    return checks.grain_summary(
+        (m.source, analytic[m.source] if m.source in analytic else c.gold(m.source), m.primary_key) for m in MANIFEST
+    )
 
 
 @query(
@@ -130,25 +121,45 @@ def smoke_by_scenario(c: Context):
     return checks.count_by(c.mart.income_statement(), "scenario")
 
 
-@query(
-    "orphan_audit",
-    """SELECT 'dim_customer' AS dimension, count(DISTINCT o_custkey) AS orphan_keys, count(*) AS orphan_rows
-       FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey WHERE c_acctbal < 0
-       UNION ALL SELECT 'dim_product', count(DISTINCT l_partkey), count(*) FROM lineitem
-       WHERE l_partkey NOT IN (SELECT p_partkey FROM part)""",
-)
-def orphan_audit(c: Context):
-    """Sales whose customer the revenue rule drops are orphans of the rule-checked dimension."""
-    customers = enforce(c.gold("dim_customer"), SPECS["customer"].rules)
-    return checks.orphan_audit(
-        c.gold("fct_sales_details"),
-        [
-            ("dim_customer", customers, "customer_key"),
-            ("dim_product", c.gold("dim_product"), "product_key"),
-        ],
+# Per fact or dimension: the keys it holds, and the table and column each must be found in.
+REFERENCES = {
+    "fct_sales_details": (("dim_customer", "customer_key"), ("dim_product", "product_key"), ("dim_region", "region_key")),
+    "fct_sales_returns": (("dim_customer", "customer_key"), ("dim_product", "product_key")),
+    "fct_finance": (
+        ("dim_account", "account_key"), ("dim_organization", "organization_key"),
+        ("dim_department_group", "department_group_key"), ("dim_calendar", "transaction_date"),
+    ),
+    "fct_product_cost_history": (("dim_product", "product_key"),),
+    "dim_customer": (("dim_geography", "geography_key"),),
+    "dim_geography": (("dim_region", "region_key"),),
+    "dim_account": (("dim_account_header", "account_header_key"),),
+}
+_KNOWN_AS = {"transaction_date": "full_date"}
+
+
+def _orphan_sql(fact: str, dimension: str, key: str) -> str:
+    known = _KNOWN_AS.get(key, key)
+    source = "SELECT c_custkey AS customer_key FROM customer WHERE c_acctbal >= 0" if dimension == "dim_customer" else _gold_sql(dimension)
+    return (
+        f"SELECT '{fact}' AS fact, '{dimension}' AS dimension, count(*) AS orphan_keys, CAST(coalesce(sum(n), 0) AS BIGINT) AS orphan_rows"
+        f" FROM (SELECT {key} AS k, count(*) AS n FROM ({_gold_sql(fact)}) GROUP BY 1)"
+        f" WHERE k IS NULL OR k NOT IN (SELECT {known} FROM ({source}) WHERE {known} IS NOT NULL)"
     )
 
 
+@query("orphan_audit", " UNION ALL ".join(_orphan_sql(f, d, k) for f, refs in REFERENCES.items() for d, k in refs))
+def orphan_audit(c: Context):
+    """Every reference of the star. Customers whom the revenue rule drops leave orphans behind."""
+    dimensions = {"dim_customer": enforce(c.gold("dim_customer"), SPECS["customer"].rules)}
+    parts = []
+    for fact, refs in REFERENCES.items():
+        known = [
+            (d, (dimensions.get(d) or c.gold(d)).select(F.col(_KNOWN_AS.get(k, k)).alias(k)), k) for d, k in refs
+        ]
+        parts.append(checks.orphan_audit(c.gold(fact), known).withColumn("fact", F.lit(fact)))
+    return reduce(DataFrame.unionByName, parts).select("fact", "dimension", "orphan_keys", "orphan_rows")
+
+
 # Access grants: one region, two regions; anyone else sees nothing.
 GRANTS = (("a@x", "AFRICA"), ("b@x", "ASIA"), ("b@x", "EUROPE"))
 PRINCIPAL = "b@x"
@@ -219,11 +230,6 @@ def mask_admin(c: Context):
     return seen.gold("dim_customer").select("customer_key", "customer_name", "annual_revenue")
 
 
-def _gold_sql(table: str) -> str:
-    """The checking SQL of a gold table's own query."""
-    return QUERIES["fct_cost_history" if table == "fct_product_cost_history" else table].sql
-
-
 def _contract_sql(tables: tuple[str, ...]) -> str:
     parts = []
     for table in tables:
@@ -242,12 +248,48 @@ def _contract_sql(tables: tuple[str, ...]) -> str:
     return " UNION ALL ".join(parts)
 
 
-PROFILED = ("dim_customer", "dim_product", "fct_finance")
+# The four facts as they are promised, written out apart from the contracts.
+PROMISED = {
+    "fct_sales_details": """sales_details_key bigint, sales_header_key bigint, customer_key bigint, product_key bigint,
+        region_key bigint, order_date date, due_date date, ship_date date, sales_order_number string, order_quantity int,
+        unit_price decimal(18;4), gross_sales decimal(18;4), discount_allocated decimal(18;4), net_sales decimal(18;4),
+        lead_time_days int, promised_lead_time_days int, delivery_delay_days int, is_late boolean""",
+    "fct_sales_returns": """return_key bigint, customer_key bigint, product_key bigint, return_date date, order_date date,
+        sales_order_number string, return_quantity int, unit_price decimal(18;4), return_amount decimal(18;4)""",
+    "fct_finance": """finance_key bigint, account_key bigint, organization_key bigint, department_group_key bigint,
+        transaction_date date, scenario string, amount decimal(18;4)""",
+    "fct_product_cost_history": "product_key bigint, year int, month_no int, country_code string, unit_cost decimal(18;4)",
+}
 
 
-@query("schema_contract", _contract_sql(PROFILED))
+def _promised_sql() -> str:
+    parts = []
+    for table, columns in PROMISED.items():
+        rows = [
+            f"SELECT '{table}' AS table_name, {i} AS position, '{name}' AS column_name, '{kind.replace(';', ',')}' AS column_type,"
+            f" count({name}) AS filled_rows FROM t"
+            for i, (name, kind) in enumerate(column.split() for column in columns.split(","))
+        ]
+        parts.append(f"SELECT * FROM (WITH t AS ({_gold_sql(table)}) {' UNION ALL '.join(rows)})")
+    return " UNION ALL ".join(parts)
+
+
+@query("schema_contract", _promised_sql())
 def schema_contract(c: Context):
-    return contract_profile((CONTRACTS[t], c.gold(t)) for t in PROFILED)
+    """Columns, order and types of the facts as they come out, before anything is made plain for comparison."""
+    parts = []
+    for table in PROMISED:
+        df = c.gold(table)
+        counts = df.agg(*[F.count(name).alias(name) for name in df.columns])
+        rows = [
+            F.struct(
+                F.lit(table).alias("table_name"), F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
+                F.lit(f.dataType.simpleString()).alias("column_type"), F.col(f.name).alias("filled_rows"),
+            )
+            for i, f in enumerate(df.schema.fields)
+        ]
+        parts.append(counts.select(F.inline(F.array(*rows))))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("domain_registry", _contract_sql(tuple(CONTRACTS)))
@@ -353,34 +395,26 @@ def query_latency(c: Context):
     return usage.latency_by_user(_query_history(c), _as_of()).orderBy(F.desc("queries"), "executed_by")
 
 
-def _published(c: Context):
-    analytic = analytic_tables(c.mart)
-
-    @cache
-    def table(name: str) -> DataFrame:
-        return analytic[name] if name in analytic else c.gold(name)
-
-    return table
+def _publish_all(c: Context, target: LakeTarget) -> dict[str, int]:
+    """Gold first, each table composed once; the analytic tables read the gold just published."""
+    analytic_names = {m.source for m in ANALYTIC_TABLES}
+    written = publish(c.gold, target, [m for m in MANIFEST if m.source not in analytic_names])
+    analytic = analytic_tables(c.mart.over(lambda t: target.read(f"gold.{t}")))
+    return written | publish(analytic.__getitem__, target, ANALYTIC_TABLES)
 
 
-def _manifest_sql() -> str:
-    analytic = {
-        "forecast_sales": f"SELECT 1 FROM ({QUERIES['serve_forecast'].sql})",
-        "reco_customer_actions": f"SELECT 1 FROM ({QUERIES['reco_actions'].sql})",
-        "pvm_drivers": f"SELECT 1 FROM ({QUERIES['pvm_drivers'].sql})",
-    }
-    return " UNION ALL ".join(
-        f"SELECT '{m.source}' AS source, '{m.destination}' AS destination, '{', '.join(m.primary_key)}' AS primary_key,"
-        f" count(*) AS target_rows FROM ({analytic.get(m.source) or _gold_sql(m.source)})"
-        for m in MANIFEST
-    )
+def _manifest_sql(row: str) -> str:
+    return " UNION ALL ".join(row.format(m=m, key=", ".join(m.primary_key), sql=_gold_sql(m.source)) for m in MANIFEST)
 
 
-@query("export_manifest", _manifest_sql())
+@query(
+    "export_manifest",
+    _manifest_sql("SELECT '{m.source}' AS source, '{m.destination}' AS destination, '{key}' AS primary_key, count(*) AS target_rows FROM ({sql})"),
+)
 def export_manifest(c: Context):
     """All sixteen tables published as folders, then counted where they landed."""
     target = LakeTarget(Lake(c.spark, scratch_dir(c.spark, "publish")))
-    publish(_published(c), target)
+    _publish_all(c, target)
     parts = None
     for entry in MANIFEST:
         part = target.read(entry.destination).agg(F.count(F.lit(1)).alias("target_rows")).select(
@@ -393,28 +427,41 @@ def export_manifest(c: Context):
     return parts
 
 
-RECONCILED = {
-    "gold.dim_account_header": "SELECT DISTINCT account_header_key FROM chart",
-    "gold.dim_customer": "SELECT 1 FROM customer",
-    "gold.fct_finance": "SELECT 1 FROM ledger",
-    "gold.fct_product_cost_history": "SELECT 1 FROM cost",
-    "gold.fct_sales_details": "SELECT 1 FROM fct",
-    "gold.fct_sales_returns": "SELECT 1 FROM fct_returns",
-    "ml.pvm_drivers": "SELECT 1 FROM pvm",
-    "ml.reco_customer_actions": "SELECT 1 FROM action",
+@query(
+    "export_reconcile",
+    _manifest_sql("SELECT '{m.destination}' AS table_name, count(*) AS source_rows, count(*) AS target_rows, 'OK' AS status FROM ({sql})"),
+)
+def export_reconcile(c: Context):
+    """All sixteen tables: rows counted as they were written against rows found afterwards."""
+    target = LakeTarget(Lake(c.spark, scratch_dir(c.spark, "reconcile")))
+    return reconcile(c.spark, _publish_all(c, target), target)
+
+
+DOMAIN_TABLES = {
+    "comercial": "dim_calendar dim_customer dim_geography dim_product dim_region fct_product_cost_history fct_sales_details fct_sales_returns",
+    "financeiro": "dim_account dim_account_header dim_calendar dim_department_group dim_geography dim_organization dim_region fct_finance"
+    " fct_product_cost_history",
 }
 
 
 @query(
-    "export_reconcile",
+    "domain_separation",
     " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, count(*) AS source_rows, count(*) AS target_rows, 'OK' AS status FROM ({sql})"
-        for t, sql in RECONCILED.items()
+        f"SELECT '{domain}' AS domain, '{t}' AS table_name, {str(t in tables.split()).lower()} AS open, count(*) AS total_rows FROM ({_gold_sql(t)})"
+        for domain, tables in DOMAIN_TABLES.items() for t in CONTRACTS
     ),
-    ("chart", "ledger", "cost", "fct", "fct_returns", "pvm", "action"),
 )
-def export_reconcile(c: Context):
-    chosen = [m for m in MANIFEST if m.destination in RECONCILED]
-    target = LakeTarget(Lake(c.spark, scratch_dir(c.spark, "reconcile")))
-    publish(_published(c), target, chosen)
-    return reconcile(_published(c), target, chosen)
+def domain_separation(c: Context):
+    """Which gold tables a mart limited to a domain hands out."""
+    parts = []
+    for domain in DOMAIN_TABLES:
+        limited = c.mart.for_domain(domain)
+        for table in CONTRACTS:
+            try:
+                df, is_open = limited.gold(table), True
+            except PermissionError:
+                df, is_open = c.gold(table), False
+            parts.append(df.agg(F.count(F.lit(1)).alias("total_rows")).select(
+                F.lit(domain).alias("domain"), F.lit(table).alias("table_name"), F.lit(is_open).alias("open"), "total_rows"
+            ))
+    return reduce(DataFrame.unionByName, parts)

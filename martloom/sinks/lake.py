@@ -93,6 +93,10 @@ class Lake:
         self.switch(written, self.path(layer, table))
         return self.spark.read.parquet(self.path(layer, table))
 
+    def named(self, layer: str, table: str) -> DataFrame:
+        """A registered table by its name in the catalog."""
+        return self.spark.table(f"{layer}.{table}")
+
     def register(self, layer: str, table: str, comment: str = "", tags: dict[str, str] | None = None) -> None:
         """Name a stored table in the catalog with its comment and tags."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")

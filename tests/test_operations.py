@@ -153,8 +153,10 @@ def test_manifest(spark):
 def test_reconcile_finds_divergence(spark, tmp_path):
     manifest = [Publication("a", "gold.a", ("id",)), Publication("b", "gold.b", ("id",))]
     target = LakeTarget(Lake(spark, str(tmp_path)))
-    publish(lambda t: spark.range(3), target, manifest)
-    report = reconcile(lambda t: spark.range(3 if t == "a" else 4), target, manifest).collect()
+    written = publish(lambda t: spark.range(3), target, manifest)
+    assert set(written.values()) == {3}
+    wrong = {d: n if d.endswith("a") else n + 1 for d, n in written.items()}
+    report = reconcile(spark, wrong, target).collect()
     assert [(r.table_name, r.source_rows, r.target_rows, r.status) for r in report] == [
         ("gold.b", 4, 3, "DIVERGE"), ("gold.a", 3, 3, "OK"),
     ]
