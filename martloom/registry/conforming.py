@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from martloom.operators.conform import ConformSpec, Field, conform, keep_latest, parse_failures, to_silver
 from martloom.operators.quality import Expectation, enforce, flag, quality_report
 from martloom.plans.silver import SPECS
-from martloom.registry.core import Context, query
-from martloom.registry.oracle import EXT_CENTS, SUBCATEGORY_KEY, doubles, texts
+from martloom.registry.core import QUERIES, Context, query
+from martloom.registry.oracle import EXT_CENTS, SUBCATEGORY_KEY, compose, doubles, texts
 
 # The line content that numbers the versions of a repeated order line.
 LINE_ID = f"(l_partkey * 100000000 + {EXT_CENTS}) * 2 + 1"
@@ -161,23 +161,46 @@ def _report_sql(table: str, relation: str, rules: list[tuple[str, str, str]]) ->
     )
 
 
+def _all_reports_sql() -> str:
+    """Every rule of every silver table. Where a rule drops rows of the sample, the source stands in."""
+    sources = {
+        "customer": ("customer", {"customer_key": "c_custkey", "annual_revenue": "c_acctbal"}),
+        "finance": ("orders", {"finance_key": "o_orderkey", "scenario": "CASE o_orderstatus WHEN 'F' THEN 'actual' WHEN 'O' THEN 'budget' END"}),
+    }
+    rules = {
+        "customer": [("valid_key", "drop", "customer_key IS NOT NULL"), ("valid_revenue", "drop", "annual_revenue >= 0")],
+        "finance": [("valid_key", "drop", "finance_key IS NOT NULL"), ("valid_scenario", "drop", "scenario IN ('actual', 'budget')")],
+        "sales_header": [("valid_key", "drop", "sales_header_key IS NOT NULL"), ("valid_total", "track", "total_amount >= 0")],
+        "sales_details": [
+            ("valid_key", "drop", "sales_details_key IS NOT NULL"), ("valid_quantity", "track", "order_quantity >= 0"),
+            ("valid_price", "track", "unit_price >= 0"),
+        ],
+        "sales_returns": [("valid_key", "drop", "return_key IS NOT NULL"), ("valid_quantity", "track", "return_quantity >= 0")],
+        "product_cost_history": [("valid_product", "drop", "product_key IS NOT NULL"), ("valid_cost", "track", "unit_cost >= 0")],
+    }
+    keys = {
+        "account": "account_key", "account_header": "account_header_key", "organization": "organization_key",
+        "department_group": "department_group_key", "geography": "geography_key", "region": "region_key",
+        "product": "product_key", "product_sub_category": "product_subcategory_key",
+    }
+    rules |= {t: [("valid_key", "drop", f"{k} IS NOT NULL")] for t, k in keys.items()}
+    parts = []
+    for table, checks in rules.items():
+        relation, columns = sources.get(table, (None, {}))
+        if columns:
+            relation = f"(SELECT {', '.join(f'{e} AS {n}' for n, e in columns.items())} FROM {relation})"
+        parts.append(_report_sql(table, relation or f"({QUERIES[f'silver_{table}'].sql})", checks))
+    return " UNION ALL ".join(parts)
+
+
 @query(
     "dq_report",
-    " UNION ALL ".join(
-        (
-            _report_sql("customer", "customer", [("valid_key", "drop", "c_custkey IS NOT NULL"), ("valid_revenue", "drop", "c_acctbal >= 0")]),
-            _report_sql("finance", "orders", [("valid_key", "drop", "o_orderkey IS NOT NULL"), ("valid_scenario", "drop", "o_orderstatus IN ('F', 'O')")]),
-            _report_sql("sales_header", "orders", [("valid_key", "drop", "o_orderkey IS NOT NULL"), ("valid_total", "track", "o_totalprice >= 0")]),
-            _report_sql("orders_shipping", "s_header", [("ships_after_order", "track", "ship_date >= order_date"), ("ships_in_time", "track", "ship_date <= due_date")]),
-        )
-    ),
-    ("s_header",),
+    _all_reports_sql() + " UNION ALL SELECT * FROM (" + compose(_report_sql("orders_shipping", "s_header", [
+        ("ships_after_order", "track", "ship_date >= order_date"), ("ships_in_time", "track", "ship_date <= due_date"),
+    ]), ("s_header",)) + ")",
 )
 def dq_report(c: Context):
-    reports = [
-        quality_report(conform(c.sample.bronze(t), SPECS[t]), t, SPECS[t].rules)
-        for t in ("customer", "finance", "sales_header")
-    ]
+    reports = [quality_report(conform(c.sample.bronze(t), spec), t, spec.rules) for t, spec in SPECS.items()]
     reports.append(quality_report(c.mart.silver("sales_header"), "orders_shipping", TRACKED))
     return reduce(DataFrame.unionByName, reports)
 

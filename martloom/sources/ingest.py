@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Row
 from martloom.sinks.lake import LOAD, Lake
 from martloom.sources.landing import scan_parquet
 from martloom.streaming.file_stream import (
-    footers_schema, load_new_files, merged_schema, store_schema, stored_schema,
+    footers_schema, load_new_files, merged_schema, one_form, store_schema, stored_schema,
 )
 
 BRONZE = "bronze"
@@ -38,7 +38,7 @@ def full_load(lake: Lake, table: str, source: str) -> None:
     lake.forget_loads(table)
     lake.switch(written, lake.path(BRONZE, table))
     files = lake.spark.createDataFrame([(f,) for f in landed.inputFiles()], "file string")
-    files.coalesce(1).write.mode("overwrite").parquet(f"{lake.ledger(table)}/load={load}")
+    files.select(one_form("file").alias("file")).coalesce(1).write.mode("overwrite").parquet(f"{lake.ledger(table)}/load={load}")
     store_schema(lake.spark, lake.schema_location(table), landed.schema)
 
 
@@ -55,7 +55,7 @@ def _unseen_files(lake: Lake, table: str, source: str) -> list[str]:
         return list(landed)
     known = lake.spark.read.schema("file string, load string").parquet(lake.ledger(table)).select("file")
     names = lake.spark.createDataFrame([(f,) for f in landed], "file string")
-    return [r["file"] for r in names.join(known, "file", "left_anti").collect()]
+    return [r["file"] for r in names.join(known, one_form(names["file"]) == known["file"], "left_anti").collect()]
 
 
 def _incremental(lake: Lake, table: str, source: str, remember: bool, reset: bool) -> int:

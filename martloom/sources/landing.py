@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martloom.streaming.file_stream import one_form
+
 WATERMARK_PATTERN = "updat|modif"  # fixed value: names of change-tracking columns
 COLUMN_LIST_SCHEMA = "table_schema string, table_name string, column_name string"
 
@@ -54,7 +56,6 @@ def landing_files(spark: SparkSession, path: str) -> DataFrame:
     files = spark.createDataFrame(listed, "file_path string, file_name string, file_bytes long")
     if not listed:
         return files.withColumn("file_rows", F.lit(0).cast("long"))
-    one_form = lambda c: F.regexp_replace(c, "^file:/+", "file:///")
     rows = (
         spark.read.parquet(*[p for p, _, _ in listed])
         .groupBy(one_form(F.col("_metadata.file_path")).alias("_path"))

@@ -6,7 +6,7 @@ import json
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,11 @@ WIDER = {
 }
 
 
+def one_form(path: Column) -> Column:
+    """Local paths are written with one slash or three, depending on who lists them."""
+    return F.regexp_replace(path, "^file:/+", "file:///")
+
+
 def merged_schema(old: T.StructType, new: T.StructType) -> T.StructType:
     """Old columns in place, the wider of two types, unseen columns appended.
 
@@ -98,7 +103,7 @@ def load_new_files(
     """
     added = []
     generation = _generation(spark, checkpoint)
-    stream = file_stream(spark, source, schema, max_files).withColumn(FILE, F.col("_metadata.file_path"))
+    stream = file_stream(spark, source, schema, max_files).withColumn(FILE, one_form(F.col("_metadata.file_path")))
 
     def load(batch: DataFrame, number: int) -> None:
         session, name = batch.sparkSession, f"{generation}-{number}"

@@ -102,3 +102,12 @@ def test_unknown_action():
 
 def test_fourteen_silver_tables():
     assert len(SPECS) == 14
+
+
+def test_keys_and_versions_compare_after_conforming(spark):
+    """Padding makes no second row, version 10 beats 9 as text, unreadable keys stay apart."""
+    spec = ConformSpec("t", (Field("country", "c", "text"), Field("number", "n", "key"), Field("v", "v", "text")), ("c", "n"))
+    rows = [("US", "1", "old", "9"), ("US ", "1", "new", "10"), ("DE", "x", "bad", "1"), ("DE", "y", "worse", "2")]
+    got = conform(spark.createDataFrame(rows, "c string, n string, v string, id string"), spec).collect()
+    assert sorted((r.country, r.number, r.v) for r in got if r.number) == [("US", 1, "new")]
+    assert sorted(r.v for r in got if r.number is None) == ["bad", "worse"]

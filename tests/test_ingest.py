@@ -1,12 +1,16 @@
 from __future__ import annotations
 
 import json
+import shutil
 from datetime import date
 
+import pytest
+from pyspark.sql import functions as F
+
 from martloom.sinks.lake import Lake
 from martloom.sources import jdbc, landing
-from martloom.sources.ingest import BRONZE, auto_load, copy_into, full_load, ingest, reload, stored_rows
-from martloom.streaming.file_stream import append_available, file_stream, merged_schema
+from martloom.sources.ingest import BRONZE, UnknownHistory, auto_load, copy_into, full_load, ingest, reload, stored_rows
+from martloom.streaming.file_stream import append_available, file_stream, merged_schema, stored_schema
 
 
 def _land(spark, folder, rows, schema="id int, name string"):
@@ -76,6 +80,67 @@ def test_switching_load_type_never_doubles_rows(spark, tmp_path):
         assert lake.read(BRONZE, "t").count() == 2
 
 
+def test_rows_of_unknown_origin_stay(spark, tmp_path):
+    """A table without a checkpoint keeps its rows: the load refuses, and only ``reset`` replaces them."""
+    lake, src = Lake(spark, str(tmp_path / "lake")), str(tmp_path / "landing")
+    lake.replace(spark.range(1000).select(F.col("id").cast("int"), F.lit("old").alias("name")), BRONZE, "t")
+    _land(spark, src, [(1, "a"), (2, "b"), (3, "c")])
+    with pytest.raises(UnknownHistory):
+        copy_into(lake, "t", src)
+    assert stored_rows(lake, "t") == 1000
+    copy_into(lake, "t", src, reset=True)
+    assert stored_rows(lake, "t") == 3
+
+
+@pytest.mark.parametrize("first", [full_load, copy_into, auto_load])
+def test_a_lost_checkpoint_neither_loses_nor_doubles(spark, tmp_path, first):
+    lake, src = Lake(spark, str(tmp_path / "lake")), str(tmp_path / "landing")
+    _land(spark, src, [(1, "a"), (2, "b")])
+    first(lake, "t", src)
+    shutil.rmtree(lake.checkpoint("t"), ignore_errors=True)
+    _land(spark, src, [(3, "c")])
+    assert copy_into(lake, "t", src) == 1
+    assert copy_into(lake, "t", src) == 0
+    assert sorted(r.id for r in lake.read(BRONZE, "t").collect()) == [1, 2, 3]
+
+
+def test_a_write_that_fails_leaves_the_old_table(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    lake.replace(spark.range(5), "gold", "t")
+    broken = spark.range(100).select(F.when(F.col("id") == 99, F.raise_error(F.lit("no"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception):
+        lake.replace(broken, "gold", "t")
+    assert lake.read("gold", "t").count() == 5
+    lake.replace(lake.read("gold", "t").filter("id > 1"), "gold", "t")  # a table may feed its own successor
+    assert lake.read("gold", "t").count() == 3
+
+
+def test_widened_and_clashing_types(spark, tmp_path):
+    lake, src = Lake(spark, str(tmp_path / "lake")), str(tmp_path / "landing")
+    _land(spark, src, [(1, "a")])
+    auto_load(lake, "t", src)
+    _land(spark, src, [(1 << 40, "b")], "id long, name string")
+    auto_load(lake, "t", src)
+    assert stored_schema(spark, lake.schema_location("t"))["id"].dataType.simpleString() == "bigint"
+    assert sorted(r.id for r in lake.read(BRONZE, "t").collect()) == [1, 1 << 40]
+    _land(spark, src, [("x", "c")], "id string, name string")
+    with pytest.raises(Exception, match="(?i)id|merge"):
+        auto_load(lake, "t", src)
+    assert lake.read(BRONZE, "t").count() == 2
+
+
+def test_one_failing_table_stops_no_other(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    _land(spark, str(tmp_path / "landing" / "a"), [(1, "a")])
+    control = spark.createDataFrame(
+        [("a", "a", "incremental", "copy_into", True), ("gone", "gone", "full", "copy_into", True)],
+        "source_table string, target_folder string, load_type string, ingestion_mode string, is_active boolean",
+    )
+    report = {r.source_table: r for r in ingest(lake, control, lambda f: str(tmp_path / "landing" / f)).collect()}
+    assert (report["a"].status, report["a"].rows_after) == ("loaded", 1)
+    assert report["gone"].status == "failed" and "gone" in report["gone"].message
+
+
 def test_dispatcher_reports_every_row(spark, tmp_path):
     lake = Lake(spark, str(tmp_path / "lake"))
     for t in ("a", "b", "c", "d", "e", "f"):
@@ -143,6 +208,27 @@ def test_landing_files(spark, tmp_path):
     assert row.file_rows == 2 and row.file_bytes > 0 and row.file_name.endswith(".parquet")
 
 
+def test_files_of_one_name_and_empty_files_are_listed(spark, tmp_path):
+    for day, rows in (("1", [(1, "a"), (2, "b")]), ("2", [(3, "c")]), ("3", [])):
+        _land(spark, str(tmp_path / "t" / day), rows)
+        written = next((tmp_path / "t" / day).glob("part-*.parquet"))
+        written.rename(written.with_name("same.parquet"))
+    rows = landing.landing_files(spark, str(tmp_path / "t")).collect()
+    assert sorted((r.file_name, r.file_rows) for r in rows) == [("same.parquet", 0), ("same.parquet", 1), ("same.parquet", 2)]
+    assert len({r.file_path for r in rows}) == 3
+    assert landing.landed_tables(spark, str(tmp_path)) == []
+
+
+def test_marks_keep_the_time_of_day(spark, tmp_path):
+    df = spark.sql("SELECT * FROM VALUES (1, TIMESTAMP '2024-01-01 08:00:00'), (2, TIMESTAMP '2024-01-01 20:00:00') t(id, updated_at)")
+    where = str(tmp_path / "marks")
+    assert landing.stored_mark(spark, where, "t") is None
+    assert landing.rows_since(df, "updated_at", None).count() == 2
+    for part, left in ((df.filter("id = 1"), [2]), (df, [])):
+        landing.store_marks(landing.load_state({"t": part}, {"t": "updated_at"}), where)
+        assert [r.id for r in landing.rows_since(df, "updated_at", landing.stored_mark(spark, where, "t")).collect()] == left
+
+
 CONNECTION = {"url": "jdbc:postgresql://db:5432/shop", "user": "u", "password": "p", "driver": "org.postgresql.Driver"}
 
 
