@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.tables import LOWER, UPPER, fresh
+from martloom.llm.tables import LOWER, UPPER, fresh, stored
 
 WINDOW, SHINGLE = 13, 3
 #: ASCII that separates words: all but letters and digits.
@@ -172,9 +172,10 @@ def _matched_apart(docs: DataFrame, anchors: DataFrame, k: int, sentinel: bool)
 def uncontaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``documents``, with all their columns, that are not contaminated."""
     h, c_doc, c_hash = fresh(documents, "h", "c_doc", "c_hash")
-    bad = contamination(documents, benchmark).filter("contaminated").select(
+    # stored, so that Spark knows how few rows there are when it chooses the join
+    bad = stored(contamination(documents, benchmark).filter("contaminated").select(
         F.col("doc_id").alias(c_doc), F.col("text_hash").alias(c_hash)
-    ).distinct()
+    ).distinct(), "contaminated")
     keyed = documents.withColumn(h, F.xxhash64(F.coalesce("text", F.lit(""))))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col(c_doc)) & (F.col(h) == F.col(c_hash))
     return keyed.join(bad, same, "left_anti").drop(h)
