@@ -103,16 +103,14 @@ def leaf_budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
         "w1": _weight("domain", mix.domains), "w2": _weight("language", mix.languages), "w3": _weight("origin", mix.sources),
         "cap": F.col("tokens") * mix.max_epochs,
     }).withColumn("cap", F.when((F.col("w1") > 0) & (F.col("w2") > 0) & (F.col("w3") > 0), F.col("cap")).otherwise(0))
-    usable = weighted.filter("w1 > 0 and w2 > 0 and w3 > 0").withColumn("root", F.lit(0))
-    budgets = weighted.agg(
-        F.least(F.expr(f"sum(tokens) * {int(mix.percent)} div 100"), F.sum("cap")).alias("budget")
-    ).withColumn("root", F.lit(0))
-    parent = ["root"]
+    usable = weighted.filter("w1 > 0 and w2 > 0 and w3 > 0")
+    whole = weighted.agg(F.least(F.expr(f"sum(tokens) * {int(mix.percent)} div 100"), F.sum("cap")).alias("budget"))
+    budgets, parent = None, []
     for name, w in zip(TREE, ("w1", "w2", "w3")):
         children = usable.groupBy(*parent, name).agg(F.max(w).alias("weight"), F.sum("cap").alias("cap"))
-        budgets = _share(children.join(budgets, parent), parent, name)
+        above = children.join(budgets, parent) if parent else children.withColumn("budget", whole.scalar())
+        budgets = _share(above, parent, name)
         parent = [*parent, name]
-    budgets = budgets.drop("root")
     return leaves.join(budgets, list(TREE), "left").withColumn("budget", F.coalesce("budget", F.lit(0)))
 
 
@@ -125,8 +123,9 @@ def mix_plan(documents: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame]:
     last order key of the prefix).
 
     The prefix is the longest whose tokens fit; rows with equal keys (the same id and text) go together.
-    Only token sums per leaf and slice of the key are summed up in order, then the rows of the one slice
-    in which the prefix ends, so no task sees a whole leaf, however large.
+    It is found digit by digit: token sums per leaf and first digits of the key are summed up in order,
+    then those within the slice in which the prefix ends, and at last the rows of one slice in 65,536.
+    No task sees a whole leaf, however large. Both results are stored.
     """
     counts = stored(
         documents.select("doc_id", word_count(F.col("text").cast("string")).alias("tokens"), _identity().alias("identity"),
@@ -139,26 +138,35 @@ def mix_plan(documents: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame]:
         leaf_budgets(leaves, mix).withColumn("epochs", used).withColumn("rest", F.col("budget") - F.col("epochs") * F.col("tokens")),
         "mixing-plan",
     )
-    keyed = counts.join(plan.filter("rest > 0").select(*TREE, "epochs", "rest"), list(TREE)).withColumn(
+    tree = list(TREE)
+    inside = counts.join(plan.filter("rest > 0").select(*TREE, "epochs", "rest"), tree).withColumn(
         "key", _order_key(F.col("epochs"), F.col("identity"), mix.seed)
-    ).withColumn("slice", F.substring("key", 1, 4))
-    sums = keyed.groupBy(*TREE, "slice").agg(F.sum("tokens").alias("sum"), F.max("rest").alias("rest"), F.max("key").alias("last"))
-    through = F.sum("sum").over(Window.partitionBy(*TREE).orderBy("slice"))
-    sums = sums.withColumn("through", through)
-    fits = F.col("through") <= F.col("rest")
-    cut = sums.groupBy(*TREE).agg(
-        F.max(F.when(fits, F.col("last"))).alias("whole"),
-        F.min(F.when(~fits, F.struct("slice", (F.col("through") - F.col("sum")).alias("before")))).alias("end"),
-    )
-    inside = keyed.join(
-        cut.select(*TREE, F.col("end.slice").alias("slice"), F.col("end.before").alias("before")), [*TREE, "slice"]
-    )
+    ).withColumn("before", F.lit(0).cast("long"))
+    cutoff = plan.select(*TREE)
+    for digits in (2, 4):
+        sliced = inside.withColumn("slice", F.substring("key", 1, digits))
+        sums = sliced.groupBy(*TREE, "slice").agg(
+            F.sum("tokens").alias("sum"), F.max("rest").alias("rest"), F.max("before").alias("before"), F.max("key").alias("last")
+        )
+        running = F.sum("sum").over(Window.partitionBy(*TREE).orderBy("slice"))
+        sums = sums.withColumn("through", F.col("before") + running)
+        fits = F.col("through") <= F.col("rest")
+        cut = stored(sums.groupBy(*TREE).agg(
+            F.max(F.when(fits, F.col("last"))).alias(f"cut{digits}"),
+            F.min(F.when(~fits, F.struct("slice", (F.col("through") - F.col("sum")).alias("before")))).alias("end"),
+        ), f"mixing-cut{digits}")
+        cutoff = cutoff.join(cut.select(*TREE, f"cut{digits}"), tree, "left")
+        end = cut.select(*TREE, F.col("end.slice").alias("slice"), F.col("end.before").alias("before"))
+        inside = sliced.drop("before").join(end, [*TREE, "slice"]).drop("slice")
     running = F.sum("tokens").over(Window.partitionBy(*TREE).orderBy("key").rangeBetween(Window.unboundedPreceding, 0))
     ends = inside.withColumn("through", F.col("before") + running).filter("through <= rest").groupBy(*TREE).agg(
-        F.max("key").alias("within")
+        F.max("key").alias("cut32")
+    )
+    cutoff = cutoff.join(ends, tree, "left").select(*TREE, F.greatest("cut2", "cut4", "cut32").alias("cutoff"))
+    # stored, so that Spark knows how small the plan is when it meets the texts
+    return counts, stored(
+        plan.join(cutoff, tree, "left").select(*TREE, F.col("tokens").alias("leaf_tokens"), "budget", "epochs", "cutoff"), "mixing-leaves"
     )
-    cutoff = cut.select(*TREE, "whole").join(ends, list(TREE), "left").select(*TREE, F.greatest("whole", "within").alias("cutoff"))
-    return counts, plan.join(cutoff, list(TREE), "left").select(*TREE, F.col("tokens").alias("leaf_tokens"), "budget", "epochs", "cutoff")
 
 
 def _copies(seed: int) -> Column:
