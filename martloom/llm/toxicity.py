@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 import unicodedata
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 import ahocorasick
 import numpy as np
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.tables import fresh, stored
+from martloom.llm.tables import stored
 
 THRESHOLD = 0.3
 #: Labelled rows that the lexicon and the curve are fitted on, at most.
@@ -242,31 +242,49 @@ def _weighed(rows: DataFrame, lexicon: Lexicon, keep: list[str]) -> DataFrame:
     return rows.select(*keep, "text").mapInArrow(weigh, f"{fields}, weight double, n_words long")
 
 
+def _scores(lexicon: Lexicon, automaton: ahocorasick.Automaton, texts: pa.Array) -> list[float]:
+    out = []
+    for text in texts.to_pylist():
+        plain = folded(text)
+        out.append(score(lexicon.curve, matched_weight(automaton, plain), plain.count(" ") - 1))
+    return out
+
+
 def scored(documents: DataFrame, lexicon: Lexicon, threshold: float = THRESHOLD) -> DataFrame:
-    """Per row: ``doc_id, text_hash, score, predicted``. Only the text is read for a score.
+    """Per row: ``doc_id, score, predicted``. Only the text is read for a score.
 
     Null and empty texts match nothing and get the score of no weight. Whole texts are matched in the
     task that reads them; repeated rows are scored one by one.
     """
-    rows = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    ).withColumn("text_hash", F.xxhash64("text"))
-    b0, b1, b2 = lexicon.curve
-    n = F.col("n_words").cast("double")
-    x = F.log1p(F.col("weight") / F.sqrt(F.greatest(n, F.lit(1.0))) * 5)
-    y = F.log1p(100 * F.col("weight") / F.greatest(n, F.lit(20.0)))
-    logit = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), b0 + b1 * x + b2 * y))
-    return _weighed(rows, lexicon, ["doc_id", "text_hash"]).withColumn("score", 1 / (1 + F.exp(-logit))).select(
-        "doc_id", "text_hash", "score", (F.col("score") >= threshold).cast("int").alias("predicted")
-    )
+    sent = documents.sparkSession.sparkContext.broadcast(astuple(lexicon))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = Lexicon(*sent.value)
+        automaton = lexicon.automaton()
+        for batch in batches:
+            scores = _scores(lexicon, automaton, batch.column("text"))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32())],
+                names=["doc_id", "score", "predicted"],
+            )
+
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, score double, predicted int")
 
 
 def kept_documents(documents: DataFrame, lexicon: Lexicon, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``documents``, with all their columns, that are not predicted toxic."""
-    key, k_doc, k_hash = fresh(documents, "key", "k_doc", "k_hash")
-    bad = scored(documents, lexicon, threshold).filter("predicted = 1").select(
-        F.col("doc_id").alias(k_doc), F.col("text_hash").alias(k_hash)
-    ).distinct()
-    keyed = documents.withColumn(key, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col(k_doc)) & (F.col(key) == F.col(k_hash))
-    return keyed.join(bad, same, "left_anti").drop(key)
+    """The rows of ``documents``, with all their columns, that are not predicted toxic.
+
+    Rows are dropped by the task that reads them, so nothing is shuffled.
+    """
+    sent = documents.sparkSession.sparkContext.broadcast(astuple(lexicon))
+    place = documents.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = Lexicon(*sent.value)
+        automaton = lexicon.automaton()
+        for batch in batches:
+            scores = _scores(lexicon, automaton, batch.column(place))
+            yield batch.filter(pa.array([s < threshold for s in scores], pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)
