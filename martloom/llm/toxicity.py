@@ -8,6 +8,7 @@ by the length of the text and turned into a score by a logistic curve.
 
 from __future__ import annotations
 
+import heapq
 import math
 import unicodedata
 from collections.abc import Iterator
@@ -16,6 +17,7 @@ from dataclasses import astuple, dataclass
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -125,6 +127,21 @@ def _training(documents: DataFrame, labels: DataFrame, held_out, rows: int) -> D
     ).select("text", "toxic")
 
 
+def _sketch(text: str) -> str:
+    """The three least-hashed longer words: equal for copies and most near copies of a text."""
+    words = {w for w in folded(text).split() if len(w) >= 6}
+    return ",".join(f"{h:x}" for h in heapq.nsmallest(3, map(xxhash.xxh64_intdigest, words)))
+
+
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sketches = [_sketch(t) or t for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("text"), batch.column("toxic").cast(pa.int32()), pa.array(sketches, pa.string())],
+            names=["text", "toxic", "sketch"],
+        )
+
+
 def _entries(text: str) -> set[str]:
     out = set()
     for word in set(folded(text).split()):
@@ -176,11 +193,44 @@ def chosen_entries(rows: list[tuple[str, int, int]], n_toxic: int, n_clean: int)
         shorter = max((weights.get(word[:n], 0.0) for n in range(SHORTEST, len(word) + 1)), default=0.0)
         if shorter < weight - 1.5:
             weights[entry] = weight
-    heaviest = sorted(weights.items(), key=lambda x: (-x[1], x[0]))[:LEXICON_SIZE]
+    closed = _closed(weights, {entry: toxic for entry, _, toxic in rows})
+    heaviest = sorted(closed.items(), key=lambda x: (-x[1], x[0]))[:LEXICON_SIZE]
     return dict(heaviest)
 
 
+def _closed(weights: dict[str, float], toxic: dict[str, int]) -> dict[str, float]:
+    """Each entry made as long as it can be while almost as many toxic documents hold it.
+
+    ``' path'`` becomes ``' pathetic '`` where that is the word behind it, and the beginning of a family
+    of words stays what they have in common.
+    """
+    longer: dict[str, list[str]] = {}
+    for entry in toxic:
+        word = entry.rstrip()
+        above = word[: LONGEST + 1] if entry.endswith(" ") else word[:-1]
+        longer.setdefault(above, []).append(entry)
+    out: dict[str, float] = {}
+    for entry, weight in weights.items():
+        while further := [e for e in longer.get(entry, ()) if toxic[e] >= 0.97 * toxic[entry]]:
+            entry = max(further, key=lambda e: (toxic[e], e))
+        out[entry] = max(weight, out.get(entry, 0.0))
+    # a beginning whose toxic documents mostly hold one chosen longer entry adds harmless words only
+    told = lambda e: any(o != e and o.startswith(e.rstrip()) and toxic[o] >= 0.5 * toxic[e] for o in out)
+    return {e: w for e, w in out.items() if not told(e)}
+
+
 def _fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
+    """A logistic curve that rises with both features; one that would fall is left out."""
+    first = _logistic(x, y)
+    for j in (0, 1):
+        if first[j + 1] < 0:
+            other = x.copy()
+            other[:, j] = 0
+            return _logistic(other, y)
+    return first
+
+
+def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
     """Logistic regression by Newton steps with a small ridge; three numbers."""
     design = np.column_stack([np.ones(len(x)), x])
     beta = np.zeros(3)
@@ -203,7 +253,9 @@ def fit(documents: DataFrame, labels: DataFrame, held_out, rows: int = FIT_ROWS)
     toxic documents to pass the test come to the driver, and one pair of numbers per fitted row for the
     curve. Without toxic or clean rows the lexicon is empty and the curve gives the rate of toxic rows.
     """
-    sample = stored(_training(documents, labels, held_out, rows), "toxicity-sample")
+    # copies and near copies are one witness, not many
+    sketched = _training(documents, labels, held_out, rows).mapInArrow(_sketched, "text string, toxic int, sketch string")
+    sample = stored(sketched.dropDuplicates(["sketch", "toxic"]).drop("sketch"), "toxicity-sample")
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_clean:
