@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import decontaminate, mixing, simhash, suffix_dedup, toxicity
+from martloom.llm import decontaminate, mixing, oracle, simhash, suffix_dedup, toxicity
 from martloom.llm.chat_format import conversation_digests, format_conversations
 from martloom.llm.quality_rules import apply_policy, ledger
 from martloom.llm.sharding import sharded_documents
@@ -92,4 +92,7 @@ QUERIES = {
         op8_quality_rules, op9_token_counts, op10_chat_format,
     )
 }
-SQL = {"op5_mixing": mixing.mix_sql(), "op6_decontamination": decontaminate.SQL}
+SQL = {
+    "op5_mixing": mixing.mix_sql(), "op6_decontamination": decontaminate.SQL, "op7_warc": oracle.WARC,
+    "op8_quality_rules": oracle.QUALITY, "op10_chat_format": oracle.CHAT,
+}
