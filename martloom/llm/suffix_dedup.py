@@ -20,7 +20,7 @@ their first ``LENGTH`` bytes are found by refining buckets:
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -93,7 +93,12 @@ def runs(buffer: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     return text[first], grams[at], whole, first, at - first, last - first + 1
 
 
-def _pieces(texts: list[bytes]) -> Iterator[tuple[list[int], list[int], np.ndarray, np.ndarray]]:
+def _utf8(column: pa.Array) -> Iterator[bytes]:
+    """Texts as UTF-8, one at a time: a batch is not held once more as Python strings."""
+    return (t.as_py() for t in column.cast(pa.binary()))
+
+
+def _pieces(texts: Iterable[bytes]) -> Iterator[tuple[list[int], list[int], np.ndarray, np.ndarray]]:
     """Texts joined to buffers of about ``PIECE`` bytes; a longer text is cut into pieces that overlap so
     that each window lies in exactly one. Yields text numbers, offsets in them, the buffer and its ends."""
     numbers, offsets, parts, size = [], [], [], 0
@@ -115,8 +120,7 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``g`` (q-gram), ``c`` (run), ``ref`` (document), ``place``: start << 16 | anchor offset << 8 | windows - 1."""
     for batch in batches:
         refs = batch.column("ref").to_numpy()
-        texts = [t.encode() for t in batch.column("text").to_pylist()]
-        for numbers, offsets, buffer, ends in _pieces(texts):
+        for numbers, offsets, buffer, ends in _pieces(_utf8(batch.column("text"))):
             text, gram, whole, first, offset, count = runs(buffer, ends)
             begins = ends - np.diff(ends, prepend=0)
             start = first - begins[text] + np.array(offsets)[text]
@@ -131,8 +135,11 @@ def _ids(values: np.ndarray) -> np.ndarray:
     """Bucket identifiers, -1 for a bucket of one and for what was dropped before."""
     out = np.full(len(values), -1, np.int64)
     live = np.flatnonzero(values >= 0)
-    _, number, counts = np.unique(values[live], return_inverse=True, return_counts=True)
-    out[live] = np.where(counts[number] > 1, number, -1)
+    live = live[np.argsort(values[live])]
+    ordered = values[live]
+    first = np.append(True, ordered[1:] != ordered[:-1])[: len(ordered)]
+    alone = first & np.append(first[1:], True)[: len(ordered)]
+    out[live] = np.where(alone, -1, np.cumsum(first))
     return out
 
 
@@ -142,22 +149,23 @@ def refined(contexts: list[bytes], windows: list[int]) -> list[np.ndarray]:
     ends = np.cumsum(lengths)
     buffer = np.frombuffer(b"".join(contexts), np.uint8)
     n = len(buffer)
-    power, inverse = _geometric(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[buffer] * power[:n], out=sums[1:])
-    grams = _mixed((sums[STEP:] - sums[:-STEP]) * inverse[: n - STEP + 1]) >> np.uint64(1)
-    owner = np.repeat(np.arange(len(contexts)), lengths)
+    # a gram is short, so its hash is summed byte by byte: no powers as long as the buffer are held
+    grams = np.zeros(max(0, n - STEP + 1), np.uint64)
+    for j in range(STEP):
+        grams *= np.uint64(_BASE)
+        grams += _BYTE[buffer[j : j + len(grams)]]
+    owner = np.repeat(np.arange(len(contexts), dtype=np.int32), lengths)
     ids = np.full(n, -1, np.int64)
-    position = np.arange(len(grams))
-    fits = position + STEP <= ends[owner[: len(grams)]]
-    ids[: len(grams)][fits] = grams[fits].view(np.int64)
+    ids[: len(grams)] = (_mixed(grams) >> np.uint64(1)).view(np.int64)
+    del grams
+    ids[: n - STEP + 1][owner[: n - STEP + 1] != owner[STEP - 1 :]] = -1
     ids = _ids(ids)
     span = STEP
     while span < LENGTH:
-        later = np.full(n, -1, np.int64)
-        later[:-span] = ids[span:]
-        later[:-span][owner[:-span] != owner[span:]] = -1
-        pair = np.where((ids >= 0) & (later >= 0), ids * (n + 1) + later, -1)
+        pair = np.full(n, -1, np.int64)
+        now, later = ids[:-span], ids[span:]
+        live = np.flatnonzero((now >= 0) & (later >= 0) & (owner[:-span] == owner[span:]))
+        pair[live] = now[live] * (n + 1) + later[live]
         ids, span = _ids(pair), 2 * span
     begins = ends - lengths
     return [np.flatnonzero(ids[b : b + w] >= 0) for b, w in zip(begins, windows)]
@@ -231,7 +239,7 @@ def _large_buckets(contexts: DataFrame) -> DataFrame:
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     packer = zstandard.ZstdCompressor(level=3)
     for batch in batches:
-        packed = [packer.compress(t.encode()) for t in batch.column("text").to_pylist()]
+        packed = [packer.compress(t) for t in _utf8(batch.column("text"))]
         columns = [batch.column(i) for i in range(batch.num_columns - 1)]
         yield pa.RecordBatch.from_arrays([*columns, pa.array(packed, pa.binary())], names=[*batch.schema.names[:-1], "z"])
 
