@@ -67,6 +67,7 @@ MEASURES = (
     Measure(
         "Customers Current",
         base=lambda: F.count_distinct(_on("sale", "customer_key")),
+        keys=("customer_key",),
         kind="number",
         label="Clientes Ativos",
         synonyms=("clientes", "customers"),
@@ -114,12 +115,17 @@ MEASURES = (
     Measure(
         "Avg Unit Price",
         base=lambda: exact_avg(_on("sale", "unit_price")),
+        summed=lambda: ratio(F.sum(_on("sale", "unit_price")), F.sum(_on("sale", "priced_lines"))),
         label="Preço Unitário Médio",
         synonyms=("preço médio", "avg price"),
     ),
     Measure(
         "Avg Unit Cost",
         base=lambda: exact_avg(_on("sale", "unit_cost")),
+        summed=lambda: ratio(
+            F.sum(_on("sale", "unit_cost") * F.col("lines")),
+            F.sum(F.when(F.col("unit_cost").isNotNull(), _on("sale", "lines"))),
+        ),
         optional_columns=("unit_cost",),
         label="Custo Unitário Médio",
         synonyms=("custo médio", "avg cost"),
@@ -128,10 +134,11 @@ MEASURES = (
 
 
 def commercial_view(mart: Mart) -> MetricView:
-    """The cost lookup joins in only for measures that read ``unit_cost``."""
+    """The cost lookup joins in only for measures that read ``unit_cost``; lines are summed before it."""
     return MetricView(
         "commercial",
         lambda optional: mart.sales_transactions(with_cost="unit_cost" in optional),
         DIMENSIONS,
         MEASURES,
+        lambda optional, keep: mart.sales_transactions(with_cost="unit_cost" in optional, keep=keep),
     )

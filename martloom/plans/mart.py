@@ -83,8 +83,11 @@ class Mart:
             return gold.fct_sales_details(s("sales_details"), s("sales_header"), at)
         raise KeyError(name)
 
-    def sales_transactions(self, with_cost: bool = True) -> DataFrame:
-        """From the stored sales fact, or composed with buyers joined at order level."""
+    def sales_transactions(self, with_cost: bool = True, keep: frozenset[str] | None = None) -> DataFrame:
+        """From the stored sales fact, or composed with buyers joined at order level.
+
+        With ``keep``, figures are summed over those columns; see ``semantic.transactions``.
+        """
         g, s = self.gold, self.silver
         cost = g("fct_product_cost_history") if with_cost else None
         if self._stored:
@@ -95,6 +98,7 @@ class Mart:
                 g("dim_geography"),
                 g("dim_product"),
                 cost,
+                keep,
             )
         buyers = semantic.located_customers(g("dim_customer"), g("dim_geography"))
         return semantic.transactions(
@@ -102,6 +106,7 @@ class Mart:
             g("fct_sales_returns").join(buyers, "customer_key"),
             g("dim_product"),
             cost,
+            keep,
         )
 
     def income_statement(self, join_calendar: bool = False) -> DataFrame:

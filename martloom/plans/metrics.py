@@ -2,7 +2,8 @@
 
 Base measures are ordinary aggregates and are computed once, whatever number of derived
 measures use them; derived measures are column arithmetic over the aggregated row. The whole
-query is one ``groupBy().agg().select()``.
+query is one ``groupBy().agg().select()``. A view may offer reduced rows besides: figures summed over the
+columns that a question reads, so that facts shrink before they meet their dimensions.
 """
 
 from __future__ import annotations
@@ -26,7 +27,11 @@ class Dimension:
 
 @dataclass(frozen=True)
 class Measure:
-    """``base`` aggregates source rows; ``derived`` combines measures fetched by name."""
+    """``base`` aggregates source rows; ``derived`` combines measures fetched by name.
+
+    ``keys`` are columns that reduced rows must keep for it; ``summed`` replaces ``base`` over reduced rows
+    where the same expression would not do.
+    """
 
     name: str
     base: Callable[[], Column] | None = None
@@ -36,6 +41,8 @@ class Measure:
     kind: str = "currency"
     label: str | None = None
     synonyms: tuple[str, ...] = ()
+    keys: tuple[str, ...] = ()
+    summed: Callable[[], Column] | None = None
 
     def __post_init__(self) -> None:
         if (self.base is None) == (self.derived is None):
@@ -49,10 +56,13 @@ class MetricView:
         source: Callable[[frozenset[str]], DataFrame],
         dimensions: Sequence[Dimension],
         measures: Sequence[Measure],
+        reduced: Callable[[frozenset[str], frozenset[str]], DataFrame] | None = None,
     ) -> None:
-        """``source`` receives the optional source columns the query really reads."""
+        """``source`` receives the optional source columns the query really reads; ``reduced`` also the
+        columns that its rows must keep, and is preferred where given."""
         self.name = name
         self._source = source
+        self._reduced = reduced
         self.dimensions = {d.name: d for d in dimensions}
         self.measures = {m.name: m for m in measures}
 
@@ -104,11 +114,22 @@ class MetricView:
         by = dict(by or {})
         base = sorted(self._base_names(list(measures.values())))
         optional = frozenset(c for n in base for c in self.measures[n].optional_columns)
-        rows = self._source(optional)
-        if where is not None:
-            rows = rows.filter(where(lambda d: F.col(self.dimensions[d].column)))
+        asked = {self.dimensions[d].column for d in by.values()} | {k for n in base for k in self.measures[n].keys}
+
+        def column(dimension: str) -> Column:
+            asked.add(self.dimensions[dimension].column)
+            return F.col(self.dimensions[dimension].column)
+
+        condition = where(column) if where is not None else None
+        rows = self._reduced(optional, frozenset(asked)) if self._reduced else self._source(optional)
+        if condition is not None:
+            rows = rows.filter(condition)
         keys = [F.col(self.dimensions[d].column).alias(out) for out, d in by.items()]
-        grouped = rows.groupBy(*keys).agg(*[self.measures[n].base().alias(n) for n in base])
+
+        def aggregate(measure: Measure) -> Column:
+            return measure.summed() if self._reduced and measure.summed else measure.base()
+
+        grouped = rows.groupBy(*keys).agg(*[aggregate(self.measures[n]).alias(n) for n in base])
         return grouped.select(
             *[F.col(f"`{out}`") for out in by],
             *[self._value(m).alias(out) for out, m in measures.items()],

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,16 +67,30 @@ def sales_transactions(
     geography: DataFrame,
     product: DataFrame,
     cost_history: DataFrame | None,
+    keep: frozenset[str] | None = None,
 ) -> DataFrame:
     """Sale and return lines with customer, place and product names, and the sale's unit cost."""
     buyers = located_customers(customer, geography)
     return transactions(
-        sales.join(buyers, "customer_key"), returns.join(buyers, "customer_key"), product, cost_history
+        sales.join(buyers, "customer_key"), returns.join(buyers, "customer_key"), product, cost_history, keep
+    )
+
+
+def _summed(lines: DataFrame, keys: Iterable[str]) -> DataFrame:
+    """Figures of the lines summed over ``keys``, with the number of lines and of those with a price."""
+    figures = [c for c in ("quantity", "unit_price", "gross_amount", "discount_amount") if c in lines.columns]
+    return lines.groupBy("transaction_type", *keys).agg(
+        *[F.sum(c).alias(c) for c in figures],
+        F.count("unit_price").alias("priced_lines"), F.count(F.lit(1)).alias("lines"),
     )
 
 
 def transactions(
-    sales: DataFrame, returns: DataFrame, product: DataFrame, cost_history: DataFrame | None
+    sales: DataFrame,
+    returns: DataFrame,
+    product: DataFrame,
+    cost_history: DataFrame | None,
+    keep: frozenset[str] | None = None,
 ) -> DataFrame:
     """As ``sales_transactions``, from facts that carry their buyers.
 
@@ -82,11 +98,28 @@ def transactions(
     *name* is the customer's for both. Lines whose customer or product is unknown drop out.
     The cost lookup (product, year, month, country of the buyer) is unique on its key, so it
     never changes the number of rows; pass no history to leave it out when no cost is read.
+
+    With ``keep``, quantities, prices and amounts are summed over those columns and the keys of the joins
+    to come before lines meet costs and products, and ``lines`` and ``priced_lines`` count what went in:
+    only sums are shuffled to the dimensions. (Products stay an inner join where no attribute of theirs is
+    kept: Spark would push a semi join below the sums and shuffle the lines for it.)
     """
-    items = product.select("product_key", "category_name", "subcategory_name", "product_name")
+    names = ("category_name", "subcategory_name", "product_name")
+    columns = TRANSACTION_COLUMNS
+    sum_up = lambda lines, *keys: lines
+    if keep is not None:
+        names = tuple(c for c in names if c in keep)
+        kept = tuple(c for c in TRANSACTION_COLUMNS if c in keep)
+        columns = tuple(dict.fromkeys(
+            ("transaction_type", *kept, "quantity", "unit_price", "gross_amount", "discount_amount", "unit_cost", "lines", "priced_lines")
+        ))
+        own = [c for c in kept if c not in names]
+        sum_up = lambda lines, *keys: _summed(lines, dict.fromkeys((*own, "product_key", *keys)))
+    items = product.select("product_key", *names)
     sold = _lines(sales, "sale", "order_quantity").withColumnRenamed(
         "discount_allocated", "discount_amount"
     )
+    sold = sum_up(sold, *(() if cost_history is None else ("order_year", "order_month", "country_code")))
     if cost_history is None:
         sold = sold.withColumn("unit_cost", F.lit(None).cast(MONEY))
     else:
@@ -98,17 +131,16 @@ def transactions(
             "unit_cost",
         )
         sold = sold.join(cost, ["product_key", "order_year", "order_month", "country_code"], "left")
-    returned = _lines(returns, "return", "return_quantity").withColumns(
+    returned = sum_up(_lines(returns, "return", "return_quantity").withColumn("region_key", F.col("home_region_key"))).withColumns(
         {
-            "region_key": F.col("home_region_key"),
             "discount_amount": F.lit(0).cast(MONEY),
             "unit_cost": F.lit(None).cast(MONEY),
         }
     )
     return (
         sold.join(items, "product_key")
-        .select(*TRANSACTION_COLUMNS)
-        .unionByName(returned.join(items, "product_key").select(*TRANSACTION_COLUMNS))
+        .select(*columns)
+        .unionByName(returned.join(items, "product_key").select(*columns))
     )
 
 

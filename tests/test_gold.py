@@ -3,11 +3,13 @@ from __future__ import annotations
 from datetime import date
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from martloom.operators import checks
-from martloom.plans import gold, semantic
+from martloom.plans import commercial, gold, semantic
 from martloom.plans.contracts import CONTRACTS, tables_for
+from martloom.plans.metrics import MetricView
 
 HEADER = (
     "sales_header_key long, customer_key long, region_key long, order_date date, due_date date, ship_date date,"
@@ -132,3 +134,26 @@ def test_domains():
     assert "dim_calendar" in tables_for("comercial") and "dim_calendar" in tables_for("financeiro")
     assert CONTRACTS["dim_customer"].tags() == {"domain": "comercial", "pii": "true"}
     assert len(CONTRACTS) == 13
+
+
+@pytest.mark.parametrize("by", [(), ("Regiao",), ("Ano", "Mes"), ("Categoria", "Cidade"), ("Produto",), ("Data",), ("Cliente", "Subcategoria")])
+def test_summed_lines_give_the_same_measures(sample, by):
+    mart = sample.mart()
+    lines = MetricView("lines", lambda o: mart.sales_transactions("unit_cost" in o), commercial.DIMENSIONS, commercial.MEASURES)
+    names = {f"m{i}": m.name for i, m in enumerate(commercial.MEASURES)}
+    keys = {f"k{i}": d for i, d in enumerate(by)}
+    where = (lambda d: d("Pais") != "FRANCE") if len(by) % 2 else None
+    want, got = (v.query(names, keys, where).collect() for v in (lines, commercial.commercial_view(mart)))
+    assert sorted(map(str, (tuple(map(float_or_text, r)) for r in got))) == sorted(map(str, (tuple(map(float_or_text, r)) for r in want)))
+    assert want
+
+
+def float_or_text(value):
+    return float(value) if isinstance(value, Decimal) else value
+
+
+def test_lines_are_summed_before_they_meet_the_products(sample):
+    plan = commercial.commercial_view(sample.mart()).query({"n": "Net Sales"}, {"r": "Regiao"})
+    lines = plan._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    above = [i for i, line in enumerate(lines) if "Join Inner, (product_key" in line]
+    assert len(above) == 2 and all("Aggregate [" in lines[i + 1] for i in above)  # sales and returns
