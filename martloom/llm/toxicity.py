@@ -11,8 +11,10 @@ from __future__ import annotations
 import heapq
 import math
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import astuple, dataclass
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -20,6 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from martloom.llm.tables import stored
 
@@ -99,9 +102,12 @@ def matched_weight(automaton: ahocorasick.Automaton, text: str) -> float:
             covered.append((start, end))
         elif weight > by_start.get(start, -math.inf):
             by_start[start] = weight
-    if covered:
-        by_start = {s: w for s, w in by_start.items() if not any(a <= s < b for a, b in covered)}
-    return sum(by_start.values())
+    if not covered:
+        return sum(by_start.values())
+    covered.sort()
+    firsts = [a for a, _ in covered]
+    reach = list(accumulate((b for _, b in covered), max))  # how far the phrases that begin up to here reach
+    return sum(w for s, w in by_start.items() if not (i := bisect_right(firsts, s)) or s >= reach[i - 1])
 
 
 def features(weight: float, n_words: int) -> tuple[float, float]:
@@ -255,7 +261,9 @@ def fit(documents: DataFrame, labels: DataFrame, held_out, rows: int = FIT_ROWS)
     """
     # copies and near copies are one witness, not many
     sketched = _training(documents, labels, held_out, rows).mapInArrow(_sketched, "text string, toxic int, sketch string")
-    sample = stored(sketched.dropDuplicates(["sketch", "toxic"]).drop("sketch"), "toxicity-sample")
+    copies = Window.partitionBy("sketch", "toxic").orderBy(F.xxhash64("text"))
+    first = sketched.withColumn("copy", F.row_number().over(copies)).filter("copy = 1")
+    sample = stored(first.select("text", "toxic"), "toxicity-sample")
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_clean:
@@ -268,7 +276,7 @@ def fit(documents: DataFrame, labels: DataFrame, held_out, rows: int = FIT_ROWS)
     likely = counts.filter((F.col("toxic") >= floor) & (F.col("toxic") * n_clean > 4 * F.col("clean") * n_toxic))
     weights = chosen_entries([(r["entry"], r["clean"], r["toxic"]) for r in likely.collect()], n_toxic, n_clean)
     lexicon = Lexicon(weights)
-    rows_in = _weighed(sample, lexicon, ["toxic"]).collect()
+    rows_in = sorted(_weighed(sample, lexicon, ["toxic"]).collect())  # sums of floats in one order
     x = np.array([features(r["weight"], r["n_words"]) for r in rows_in])
     return Lexicon(weights, curve=_fit_curve(x, np.array([r["toxic"] for r in rows_in], float)))
 

@@ -141,6 +141,20 @@ def test_exceptions_cancel_only_what_they_cover():
     assert X.matched_weight(X.Lexicon({}, ()).automaton(), " trash ") == 0
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["a", "b", "c", "d", "ab"]), max_size=14))
+def test_phrases_cancel_the_words_they_cover(words):
+    """Against every pair of word and phrase; phrases overlap, nest and repeat."""
+    text, phrases = X.folded(" ".join(words)), ("a b", "b c a", "c", "a b c d", "d d")
+    spans = [(i, i + len(p) + 1) for p in phrases for i in range(len(text)) if text.startswith(f" {p} ", i)]
+    weights = {" a ": 1.0, " b ": 2.0, " c ": 4.0, " ab": 8.0, " d": 16.0}
+    want = sum(
+        max((w for e, w in weights.items() if text.startswith(e, i)), default=0.0)
+        for i in range(len(text)) if not any(s <= i < e for s, e in spans)
+    )
+    assert X.matched_weight(X.Lexicon(weights, phrases).automaton(), text) == want
+
+
 def planted(n=900, seed=6):
     """Documents in which one in five holds an insult, some disguised; a third of the labels is held out."""
     rng = random.Random(seed)
