@@ -23,7 +23,8 @@ from martloom.llm.tables import LOWER, UPPER, fresh, stored
 WINDOW, SHINGLE = 13, 3
 #: ASCII that separates words: all but letters and digits.
 _BREAKS = "".join(map(chr, (c for c in range(128) if not chr(c).isalnum())))
-#: Windows up to this number are sent to the tasks whole (some 300 bytes each); beyond it, joins shuffle.
+#: Windows are sent to the tasks whole (some 300 bytes each) while they and the items that hold them are at
+#: most this many together; beyond it, joins shuffle.
 BROADCAST_WINDOWS = 100_000
 
 
@@ -96,14 +97,15 @@ def contamination(
     inputs are not read. ``text_hash`` is returned beside the figures.
 
     Windows are distinct before the join, so a passage that many items share is matched once. The number
-    of windows decides only whether they are broadcast or joined through shuffles.
+    of windows and of items that hold them decides only whether they are broadcast or joined through shuffles.
     """
     docs = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"),
         words_of(F.col("text")).alias("words"),
     ).withColumn("n_words", F.size("words"))
     windows = benchmark_windows(benchmark)
-    kinds = {r["k"]: r["n"] for r in windows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
+    mentions = F.sum(F.size("items") + 1).alias("n")
+    kinds = {r["k"]: r["n"] for r in windows.groupBy("k").agg(mentions).collect()}
     small = sum(kinds.values()) <= broadcast_windows
     found = []
     for k in sorted({SHINGLE, *kinds}, reverse=True):
