@@ -2,9 +2,10 @@
 
 Template, one turn after another:  ``<|im_start|>ROLE\\nTEXT<|im_end|>\\n``
 
-A deterministic parser reads rendered text back. A turn whose recovered role and text differ from the
-source is escaped and rendered anew until they are identical: the escape puts one more backslash between
-``<`` and ``|``, reading takes one away, so escaped text never holds a control string.
+A deterministic parser reads rendered text back; a turn mark inside a role or text is off its grammar, and
+so is a line-break mark inside a text. A turn that is off the grammar, or whose recovered role and text
+differ from the source, is escaped and rendered anew until they are identical: the escape puts one more
+backslash between ``<`` and ``|``, reading takes one away, so escaped text never holds a control string.
 """
 
 from __future__ import annotations
@@ -52,8 +53,10 @@ def turns_of(formatted: str) -> Iterator[tuple[str, str, int, int]]:
         end = formatted.find(CLOSE, line)
         if line < 0 or end < 0 or not formatted.startswith(END, end + len(CLOSE)):
             raise GrammarError(f"the turn at {at} does not close")
-        role = unescape(formatted[at + len(OPEN) : line].replace(LINE, "\n"))
-        yield role, unescape(formatted[line + 1 : end]), line + 1, end
+        head, body = formatted[at + len(OPEN) : line], formatted[line + 1 : end]
+        if OPEN in head or CLOSE in head or OPEN in body or LINE in body:
+            raise GrammarError(f"a control string inside the turn at {at}")
+        yield unescape(head.replace(LINE, "\n")), unescape(body), line + 1, end
         at = end + len(CLOSE) + len(END)
 
 
