@@ -17,6 +17,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 OPEN, CLOSE, END = "<|im_start|>", "<|im_end|>", "\n"
 LINE = "<|n|>"  # a line break inside a role
@@ -67,16 +68,39 @@ def recovered(formatted: str) -> list[tuple[str, str]] | None:
         return None
 
 
-def render_turn(role: str, text: str) -> tuple[str, int]:
-    """The rendered turn and the offset of its text, escaped only as far as the round trip asks for."""
+def _piece(head: str, body: str) -> tuple[str, int]:
+    return f"{OPEN}{head}\n{body}{CLOSE}{END}", len(OPEN) + len(head) + 1
+
+
+def settled(role: str, text: str) -> tuple[str, str]:
+    """Role and text as they go into the template, escaped only as far as the round trip asks for."""
     raw, escaped = (role, text), (escape(role).replace("\n", LINE), escape(text))
     for head, body in (raw, escaped):
-        piece = f"{OPEN}{head}\n{body}{CLOSE}{END}"
-        if recovered(piece) == [(role, text)]:
-            return piece, len(OPEN) + len(head) + 1
+        if recovered(_piece(head, body)[0]) == [(role, text)]:
+            return head, body
     raise GrammarError("an escaped turn does not read back")
 
 
+def render_turn(role: str, text: str) -> tuple[str, int]:
+    """The rendered turn and the offset of its text."""
+    return _piece(*settled(role, text))
+
+
+def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Turns with ``head`` and ``body`` where the escaped form differs from the raw one, null elsewhere."""
+    for batch in batches:
+        pairs = []
+        for role, text in zip(batch.column("role").to_pylist(), batch.column("text").to_pylist()):
+            raw = (role or "", text or "")
+            pair = settled(*raw)
+            pairs.append((None, None) if pair == raw else pair)
+        heads, bodies = zip(*pairs) if pairs else ((), ())
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(heads, pa.string()), pa.array(bodies, pa.string())],
+            names=[*batch.schema.names, "head", "body"],
+        )
+
+
 def _rendered(batches: Iterator[pa.RecordBatch], max_chars: int) -> Iterator[pa.RecordBatch]:
     """Rows sorted by conversation and turn to one row per conversation, or per part of a huge one."""
     schema = pa.schema(
@@ -103,12 +127,13 @@ def _rendered(batches: Iterator[pa.RecordBatch], max_chars: int) -> Iterator[pa.
         return out
 
     for batch in batches:
-        for key, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text"))):
+        columns = ("conv_id", "role", "text", "head", "body")
+        for key, role, text, head, body in zip(*(batch.column(c).to_pylist() for c in columns)):
             if not started or key != conv:
                 if started:
                     close()
                 conv, part, started = key, 0, True
-            piece, offset = render_turn(role or "", text or "")
+            piece, offset = _piece(role or "", text or "") if head is None else _piece(head, body)
             if pieces and length + len(piece) > max_chars:
                 close()
                 part += 1
@@ -129,15 +154,17 @@ def format_conversations(df: DataFrame, max_chars: int = MAX_CHARS) -> DataFrame
     """One row per conversation: its text in the template and the spans under the loss mask.
 
     Rows of a conversation are ordered by turn, ties by role and text, a null turn first; a null role or
-    text is empty; rows without ``conv_id`` form one conversation. The rows of a task are streamed in
-    order, so memory holds one part at a time: a conversation of more than ``max_chars`` is returned in
-    several parts that break between turns, numbered from 0. Other columns of the input are not read.
+    text is empty; rows without ``conv_id`` form one conversation. Turns are rendered, read back and
+    escaped in the tasks that read them; one task per conversation sorts and joins them. Its rows are
+    streamed in order, so memory holds one part at a time: a conversation of more than ``max_chars`` is
+    returned in several parts that break between turns, numbered from 0. Other columns are not read.
     """
     turns = df.select(
         F.col("conv_id").cast("long").alias("conv_id"), "turn", F.col("role").cast("string").alias("role"),
         F.col("text").cast("string").alias("text"),
     )
-    ordered = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    fields = StructType([*turns.schema.fields, StructField("head", StringType()), StructField("body", StringType())])
+    ordered = turns.mapInArrow(_settled, fields).repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
     return ordered.mapInArrow(lambda batches: _rendered(batches, max_chars), FORMAT_SCHEMA)
 
 

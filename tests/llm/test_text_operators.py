@@ -121,6 +121,18 @@ def test_chat_of_an_opening_mark_alone(spark):
     assert got == {(k, *v) for k, v in brute.digests(rows).items()}
 
 
+def test_turns_are_escaped_before_a_conversation_is_gathered(spark):
+    """A hot conversation is rendered by many tasks: the shuffle deals out turns whose form is settled."""
+    rows = [(1, i, "assistant" if i % 2 else "user", f"{C.OPEN} {i}" if i % 3 else f"plain {i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(6)
+    formatted = C.format_conversations(df)
+    plan = formatted._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Exchange hashpartitioning(conv_id", 1)
+    assert "MapInArrow" in above and "MapInArrow _settled" in below
+    whole = "".join(C.render_turn(role, text)[0] for _, _, role, text in rows)
+    assert [r["formatted"] for r in formatted.collect()] == [whole]
+
+
 def chats(spark, sf_dir):
     rows = [tuple(r) for r in table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").collect()]
     return rows + [(-1, 0, "user", CONFLICT), (-1, 1, "assistant", CONFLICT)]
