@@ -30,6 +30,7 @@ THRESHOLD = 0.3
 #: Labelled rows that the lexicon and the curve are fitted on, at most.
 FIT_ROWS = 20_000
 LEXICON_SIZE = 2_000
+SKETCH_WORDS = 16
 SHORTEST, LONGEST = 4, 12
 
 #: Digits and signs read as letters, and letters of other scripts read as Latin ones.
@@ -134,9 +135,14 @@ def _training(documents: DataFrame, labels: DataFrame, held_out, rows: int) -> D
 
 
 def _sketch(text: str) -> str:
-    """The three least-hashed longer words: equal for copies and most near copies of a text."""
-    words = {w for w in folded(text).split() if len(w) >= 6}
-    return ",".join(f"{h:x}" for h in heapq.nsmallest(3, map(xxhash.xxh64_intdigest, words)))
+    """The least-hashed longer words: equal for copies and most near copies of a text.
+
+    Texts of unlike words do not share that many; a text with too few longer words gives words of any length.
+    """
+    words = set(folded(text).split())
+    longer = {w for w in words if len(w) >= 6}
+    chosen = longer if len(longer) >= SKETCH_WORDS else words
+    return ",".join(f"{h:x}" for h in heapq.nsmallest(SKETCH_WORDS, map(xxhash.xxh64_intdigest, chosen)))
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

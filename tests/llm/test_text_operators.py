@@ -220,6 +220,17 @@ def test_lexicon_is_learned_and_held_out_rows_are_caught(spark, rows_of):
     assert kept.count() == sum(1 for r in got.values() if not r["predicted"])
 
 
+def test_unlike_texts_are_not_taken_for_copies():
+    import xxhash
+
+    words = sorted((f"common{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(400)), key=xxhash.xxh64_intdigest)
+    shared, one, other = words[:6], words[6::2], words[7::2]  # the least-hashed words in common, no other
+    assert X._sketch(" ".join(shared + one)) != X._sketch(" ".join(shared + other))
+    assert X._sketch(" ".join(shared + one)) == X._sketch(" ".join(reversed(one + shared)) + " Some SHORT ones")
+    assert X._sketch("you stupid old men") != X._sketch("a stupid idea")
+    assert X._sketch("a stupid idea") == X._sketch("A stupid,  stup1d idea!")
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 0)], [(1, 1)]])
 def test_too_few_labels_give_a_rate(spark, rows_of, labels):
     df = rows_of(ODD_TEXTS)
