@@ -9,7 +9,7 @@ from martloom.llm import decontaminate, mixing, oracle, simhash, suffix_dedup, t
 from martloom.llm.chat_format import conversation_digests, format_conversations
 from martloom.llm.quality_rules import apply_policy, ledger
 from martloom.llm.sharding import sharded_documents
-from martloom.llm.tables import table
+from martloom.llm.tables import stored, table
 from martloom.llm.token_counts import token_counts
 from martloom.llm.warc import read_records, revisits, write_archives
 from martloom.session import scratch_dir
@@ -66,7 +66,8 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return apply_policy(ledger(table(spark, sf_dir, "documents"))).select(
+    bits = stored(ledger(table(spark, sf_dir, "documents")), "quality-ledger")
+    return apply_policy(bits).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "fail_bits", "policy",
     )

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from martloom.llm import chat_format as C
 from martloom.llm import quality_rules as Q
 from martloom.llm import token_counts as T
+from martloom.llm import queries as llm_queries
 from martloom.llm import toxicity as X
 from martloom.llm.queries import CONFLICT, held_out
 from martloom.llm.tables import table
@@ -27,6 +28,11 @@ def test_quality_query_matches_brute_force(documents, result):
 
 
 def test_quality_of_odd_rows(rows_of):
+def test_quality_query_reads_policies_off_a_stored_ledger(spark, sf_dir):
+    plan = llm_queries.op8_quality_rules(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "quality-ledger" in plan and "MapInArrow" not in plan
+
+
     got = Q.apply_policy(Q.ledger(rows_of(ODD_TEXTS))).select(*MEASURED)
     assert Counter(map(tuple, got.collect())) == Counter((i, *brute.quality(t)) for i, t in ODD_TEXTS)
     assert Q.ledger(rows_of([])).collect() == []
