@@ -4,7 +4,9 @@ The tree is domain, language, source; a leaf is one combination of the three. A
 the root down in proportion to the weights of the children. A subtree can use no more than its tokens
 times ``max_epochs``: what a child cannot use goes to its siblings, and only what a whole subtree cannot
 use goes to the siblings of its parent. Each leaf then takes its budget as whole epochs plus a prefix of
-one more epoch, in an order seeded per epoch.
+one more epoch, in an order seeded per epoch. The prefix ends before the first document that would exceed
+the budget, so a very long document early in the order can leave much of it unspent; what a leaf leaves
+goes to no other leaf. ``leaf_shortfalls`` reports it.
 """
 
 from __future__ import annotations
@@ -187,6 +189,14 @@ def mixed_counts(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
     )
 
 
+def leaf_shortfalls(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
+    """Per leaf: its ``documents``, ``budget``, the tokens ``used``, and ``shortfall``, the budget left unspent."""
+    used = F.sum(F.col("tokens") * F.col("copies"))
+    return mixed_counts(documents, mix).groupBy("domain", "lang", "source").agg(
+        F.count(F.lit(1)).alias("documents"), F.max("budget").alias("budget"), used.alias("used")
+    ).withColumn("shortfall", F.col("budget") - F.col("used"))
+
+
 def mixed(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """The selected rows with all their columns, each as often as it is selected."""
     _, plan = mix_plan(documents, mix)

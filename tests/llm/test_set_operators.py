@@ -120,6 +120,16 @@ def test_prefixes_fit_and_could_not_be_longer(spark, sf_dir):
 
 def test_mixed_returns_rows_as_often_as_counted(rows_of, spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumn("domain", F.lit("clash")).withColumn("copies", F.lit("clash"))
+def test_shortfall_of_a_leaf_whose_long_document_ends_the_prefix(rows_of):
+    docs = rows_of([(1, "word " * 50), (2, "word"), (3, "word")])
+    for seed in (7, 8):
+        mix = M.Mix(percent=50, max_epochs=1, seed=seed)
+        used = sum(r["tokens"] * r["copies"] for r in M.mixed_counts(docs, mix).collect())
+        assert [tuple(r) for r in M.leaf_shortfalls(docs, mix).collect()] == [("reference", "en", "src1", 3, 26, used, 26 - used)]
+        assert used <= 2  # the long document never fits
+    assert M.leaf_shortfalls(rows_of([])).collect() == []
+
+
     mix = M.Mix(percent=120, max_epochs=2)
     counted = Counter({r["doc_id"]: r["copies"] for r in M.mixed_counts(docs, mix).collect()})
     got = M.mixed(docs, mix)
