@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import math
 from collections import Counter, defaultdict
+from functools import reduce
 
 import brute
 import pytest
 from conftest import LONG, ODD_TEXTS
 from oracle import compare, duck
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -118,8 +120,6 @@ def test_prefixes_fit_and_could_not_be_longer(spark, sf_dir):
     assert {r["copies"] for r in rows} >= {0, 1} or len(rows) < 50
 
 
-def test_mixed_returns_rows_as_often_as_counted(rows_of, spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").withColumn("domain", F.lit("clash")).withColumn("copies", F.lit("clash"))
 def test_shortfall_of_a_leaf_whose_long_document_ends_the_prefix(rows_of):
     docs = rows_of([(1, "word " * 50), (2, "word"), (3, "word")])
     for seed in (7, 8):
@@ -130,6 +130,8 @@ def test_shortfall_of_a_leaf_whose_long_document_ends_the_prefix(rows_of):
     assert M.leaf_shortfalls(rows_of([])).collect() == []
 
 
+def test_mixed_returns_rows_as_often_as_counted(rows_of, spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn("domain", F.lit("clash")).withColumn("copies", F.lit("clash"))
     mix = M.Mix(percent=120, max_epochs=2)
     counted = Counter({r["doc_id"]: r["copies"] for r in M.mixed_counts(docs, mix).collect()})
     got = M.mixed(docs, mix)
@@ -183,6 +185,17 @@ def test_matrix_has_exact_margins_and_the_law_of_a_shuffle(spark):
     assert 0.2 * variance < sum((c - mean) ** 2 for c in cell) / 16 < 2.8 * variance
 
 
+def test_matrix_has_the_law_of_a_shuffle_over_forty_seeds(spark):
+    """Mean and variance of one cell, closer than above; all seeds are drawn in one job."""
+    blocks, seeds = spark.createDataFrame([(0, 30), (1, 50), (2, 20)], "block long, n long"), range(40)
+    drawn = [S.communication_matrix(blocks, 4, seed).filter("block = 1").withColumn("seed", F.lit(seed)) for seed in seeds]
+    upto = {r["seed"]: r["upto"] for r in reduce(DataFrame.union, drawn).collect()}
+    cell = [upto[s][2] - upto[s][1] for s in seeds]
+    mean, variance = 12.5, 50 * 0.25 * 0.75 * 50 / 99
+    assert abs(sum(cell) / 40 - mean) < 4 * math.sqrt(variance / 40)
+    assert 0.4 * variance < sum((c - mean) ** 2 for c in cell) / 40 < 2.2 * variance
+
+
 @pytest.mark.parametrize("population, good, draws", [(20, 7, 9), (5_000, 100, 300), (12, 12, 5), (10, 0, 4), (9, 3, 9)])
 def test_hypergeometric_draws_have_the_law(spark, population, good, draws):
     n = 4_000

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections import Counter
+from functools import cache
 
 import brute
 import pytest
@@ -92,6 +93,13 @@ def test_token_query_matches_brute_force(documents, result):
         assert got[doc] == (len(words), sum(brute.best_tokens(T.WORD_MARK + w, scores) for w in words))
 
 
+def test_token_query_matches_brute_force_on_all_documents(documents, result):
+    scores = T.rank_scores(T.VOCABULARY)
+    best = cache(lambda word: brute.best_tokens(T.WORD_MARK + word, scores))
+    want = [(doc, len(words), sum(map(best, words))) for doc, text in documents for words in [brute.WORD.findall(text or "")]]
+    assert Counter(result("op9_token_counts")) == Counter(want)
+
+
 TEXT = st.lists(st.sampled_from(["<", "|", "\\", "im_start", "im_end", ">", "\n", "n", "a", C.CLOSE, C.OPEN, C.LINE]), max_size=10).map("".join)
 
 
