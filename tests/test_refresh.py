@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import shutil
+
 import pytest
 from oracle import duck
+from pyspark.sql import functions as F
 
 from martloom.plans.commercial import commercial_view
 from martloom.plans.finance import finance_view
 from martloom.plans.refresh import refresh, register_gold, stored_mart
 from martloom.plans.rfm import customer_rfm
 from martloom.plans.silver import SPECS
+from martloom.registry import QUERIES
 from martloom.registry.conforming import LINE_ID
 from martloom.registry.oracle import compose
 from martloom.sinks.lake import Lake
@@ -24,6 +28,17 @@ def lake(spark, sample, tmp_path_factory):
     return lake
 
 
+def test_stored_queries_see_input_that_changes_within_an_application(spark, sf_dir, tmp_path):
+    folder = str(shutil.copytree(sf_dir, tmp_path / "in"))
+    regions = spark.read.parquet(f"{sf_dir}/region.parquet")
+    for name in ("OLD", "NEW"):
+        regions.withColumn("r_name", F.lit(name)).write.mode("overwrite").parquet(f"{tmp_path}/{name}")
+        target = tmp_path / "in" / "region.parquet"
+        shutil.copy(next((tmp_path / name).glob("part-*")), target)
+        spark.catalog.refreshByPath(str(target))
+        assert {r["region_name"] for r in QUERIES["named_table_scan"].run(spark, folder).collect()} == {name}
+
+
 def test_net_sales_of_the_stored_mart(lake, sf_dir):
     """Stored silver dedups repeated lines and drops customers with negative revenue."""
     got = {
