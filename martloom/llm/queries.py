@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import decontaminate, mixing, oracle, simhash, suffix_dedup, toxicity
+from martloom.llm import centroids, decontaminate, language_id, mixing, oracle, phrases, simhash, suffix_dedup, toxicity
 from martloom.llm.chat_format import conversation_digests, format_conversations
 from martloom.llm.quality_rules import apply_policy, ledger
 from martloom.llm.sharding import sharded_documents
@@ -86,14 +86,30 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(format_conversations(turns.unionByName(conflict)))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return language_id.identified(documents, language_id.fit(documents, held_out)).select(
+        "doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.with_inertia(centroids.clustered(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_suffix_dedup, op2_simhash, op3_toxicity, op4_sharding, op5_mixing, op6_decontamination, op7_warc,
-        op8_quality_rules, op9_token_counts, op10_chat_format,
+        op8_quality_rules, op9_token_counts, op10_chat_format, op11_language_id, op12_collocations, op13_clusters,
     )
 }
 SQL = {
     "op5_mixing": mixing.mix_sql(), "op6_decontamination": decontaminate.SQL, "op7_warc": oracle.WARC,
     "op8_quality_rules": oracle.QUALITY, "op10_chat_format": oracle.CHAT,
+    "op12_collocations": phrases.SQL, "op13_clusters": centroids.clusters_sql(),
 }

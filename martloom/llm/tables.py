@@ -22,11 +22,20 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 
     Unlike cached blocks, the files outlive the executors that wrote them.
     """
-    path = scratch_dir(df.sparkSession, purpose)
+    return stored_at(df, scratch_dir(df.sparkSession, purpose))
+
+
+def stored_at(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import xxhash
@@ -137,3 +139,85 @@ def digests(rows):
         sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
         out[conv] = (len(parts), sha(said), len(loss), sha(loss))
     return out
+
+
+def letter_grams(text, n=3):
+    """Every run of n symbols of the lower-cased letters, words parted and framed by one blank."""
+    words = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+    line = [ord(c) for c in f" {' '.join(words)} "] if words else []
+    return [tuple(line[i : i + n]) for i in range(len(line) - n + 1)]
+
+
+def bundle(text, vector, dims):
+    total = [0] * dims
+    for a, b, c in letter_grams(text):
+        x, y, z = vector(a), vector(b), vector(c)
+        for i in range(dims):
+            total[i] += x[(i - 2) % dims] * y[(i - 1) % dims] * z[i]
+    return total
+
+
+def languages(rows, vector, dims):
+    """(doc_id, text, lang) to (doc_id, language at the least angle, cosine)."""
+    made = [bundle(t, vector, dims) for _, t, _ in rows]
+    profiles = {}
+    for (doc, t, lang), v in zip(rows, made):
+        if lang is not None and letter_grams(t) and zlib.crc32(str(doc).encode()) % 4 != 2:
+            profiles[lang] = [a + b for a, b in zip(profiles.get(lang, [0] * dims), v)]
+    cosine = lambda a, b: sum(x * y for x, y in zip(a, b)) / math.sqrt(sum(x * x for x in a) * sum(y * y for y in b))
+    out = []
+    for (doc, t, _), v in zip(rows, made):
+        near = {g: cosine(v, p) for g, p in sorted(profiles.items())} if letter_grams(t) else {}
+        best = max(near, key=near.get, default="und")
+        out.append((doc, best, max(0.0, near.get(best, 0.0))))
+    return out
+
+
+def collocations(rows, least, top):
+    """(text, lang) to the ranked phrases of each language, every phrase counted."""
+    counts, n = defaultdict(Counter), Counter()
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(words)
+            counts[lang].update(tuple(words[i : i + k]) for k in range(1, 5) for i in range(len(words) - k + 1))
+    out = []
+    for lang, f in sorted(counts.items()):
+        found = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        rows = []
+        for p, a in found.items():
+            score, k = min((2_000_000 * a // (f[p[:k]] + f[p[k:]]), k) for k in range(1, len(p)))
+            inside = any(
+                100 * b >= 80 * a and any(q[i : i + len(p)] == p for i in range(len(q) - len(p) + 1))
+                for q, b in found.items() if len(q) > len(p)
+            )
+            if not inside:
+                rows.append((" ".join(p), a, f[p[:k]], f[p[k:]], n[lang], score))
+        rows.sort(key=lambda r: (-r[5], -r[1], r[0].encode()))
+        out += [(lang, i, *r) for i, r in enumerate(rows[:top], 1)]
+    return out
+
+
+def clusters(rows, dims, k=8, rounds=10):
+    """Rows of plain k-means over integers, every distance computed."""
+    kept = [
+        (i, [math.floor(1024 * x) for x in v]) for i, v in rows
+        if v is not None and len(v) == dims and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    drawn = sorted(kept, key=lambda r: (r[0] is None, hashlib.sha256(f"3:{r[0]}".encode()).hexdigest() if r[0] is not None else "", r[1]))
+    middles = [v for _, v in drawn[:k]]
+    far = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b))
+    for t in range(rounds + 1):
+        of = [min(range(len(middles)), key=lambda c: (far(v, middles[c]), c)) for _, v in kept]
+        if t < rounds:
+            for c in range(len(middles)):
+                mine = [v for (_, v), m in zip(kept, of) if m == c]
+                if mine:
+                    middles[c] = [sum(x) // len(mine) for x in zip(*mine)]
+    d = [far(v, middles[c]) for (_, v), c in zip(kept, of)]
+    per = Counter()
+    for c, x in zip(of, d):
+        per[c] += x
+    digest = [hashlib.sha256(",".join(map(str, m)).encode()).hexdigest() for m in middles]
+    return Counter((i, c, x, per[c], sum(d), digest[c]) for (i, _), c, x in zip(kept, of, d))
