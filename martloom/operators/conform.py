@@ -57,6 +57,36 @@ def keep_latest(df: DataFrame, key: tuple[str, ...], version: str, *tiebreak: st
     return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
 
 
+def _key_fields(spec: ConformSpec) -> list[Field]:
+    return [f for f in spec.fields if f.source in spec.dedup_key]
+
+
+def key_columns(spec: ConformSpec) -> tuple[str, ...]:
+    """Columns that tell the rows of ``conform_keyed`` apart: keys, and the raw text of unreadable ones."""
+    keys = _key_fields(spec)
+    return (*(f.name for f in keys), *(f"_raw_{f.name}" for f in keys))
+
+
+def conform_keyed(bronze: DataFrame, spec: ConformSpec, loaded_at: Column | None = None) -> DataFrame:
+    """As ``conform``, still with the raw text of keys that could not be read (``_raw_*``, else NULL).
+
+    Only keys and versions are read before rows are ranked; the other fields are parsed on the rows that are left.
+    """
+    keys = _key_fields(spec)
+    raw = {f"_raw_{f.name}": F.when(f.column().isNull(), F.col(f"`{f.source}`")).cast("string") for f in keys}
+    named = {f"_key_{f.name}": f.column() for f in keys}
+    others = [f for f in spec.fields if f not in keys]
+    rows = bronze.select(
+        *[F.col(f"`{s}`") for s in dict.fromkeys(f.source for f in others)],
+        F.col(spec.version).try_cast("bigint").alias("_source_id"),
+        *[c.alias(n) for n, c in (named | raw).items()],
+    )
+    latest = keep_latest(rows, (*named, *raw), "_source_id").select(
+        *[F.col(f"_key_{f.name}").alias(f.name) if f in keys else f.column() for f in spec.fields], "_source_id", *raw
+    )
+    return latest if loaded_at is None else latest.withColumn("_silver_loaded_at", loaded_at)
+
+
 def conform(bronze: DataFrame, spec: ConformSpec, loaded_at: Column | None = None) -> DataFrame:
     """Typed silver rows before the rules are applied, one per key as silver holds it.
 
@@ -64,15 +94,7 @@ def conform(bronze: DataFrame, spec: ConformSpec, loaded_at: Column | None = Non
     beats 9 when they arrive as text. A key that cannot be read stays apart by its raw text, for the
     rules to drop and count.
     """
-    keys = [f for f in spec.fields if f.source in spec.dedup_key]
-    unread = {f"_raw_{f.name}": F.when(f.column().isNull(), F.col(f"`{f.source}`")) for f in keys}
-    rows = bronze.select(
-        *[f.column() for f in spec.fields],
-        F.col(spec.version).try_cast("bigint").alias("_source_id"),
-        *[c.alias(n) for n, c in unread.items()],
-    )
-    latest = keep_latest(rows, (*(f.name for f in keys), *unread), "_source_id").drop(*unread)
-    return latest if loaded_at is None else latest.withColumn("_silver_loaded_at", loaded_at)
+    return conform_keyed(bronze, spec, loaded_at).drop(*[f"_raw_{f.name}" for f in _key_fields(spec)])
 
 
 def to_silver(bronze: DataFrame, spec: ConformSpec, loaded_at: Column | None = None) -> DataFrame:
@@ -89,10 +111,10 @@ def _unreadable(spec: ConformSpec) -> dict[str, Column]:
 def observed_silver(
     bronze: DataFrame, spec: ConformSpec, loaded_at: Column | None = None
 ) -> tuple[DataFrame, Observation, Observation]:
-    """``to_silver``, with unreadable values per field and rule outcomes counted while it is written."""
+    """Keyed rows marked by the rules, with unreadable values per field and rule outcomes counted while they are written."""
     read = Observation(f"read_{spec.table}_{uuid4().hex}")
     watched = bronze.observe(read, F.count(F.lit(1)).alias("_rows"), *[c.alias(n) for n, c in _unreadable(spec).items()])
-    rows, checked = observed(conform(watched, spec, loaded_at), spec.table, spec.rules)
+    rows, checked = observed(conform_keyed(watched, spec, loaded_at), spec.table, spec.rules)
     return rows, read, checked
 
 

@@ -45,6 +45,13 @@ def enforce(df: DataFrame, rules: tuple[Expectation, ...]) -> DataFrame:
     return df.filter(reduce(Column.__and__, checks)) if checks else df
 
 
+def marked(df: DataFrame, rules: tuple[Expectation, ...], name: str = "_kept") -> DataFrame:
+    """As ``enforce``, but rows that a drop rule breaks stay, told apart by one boolean column."""
+    held = [r.holds() for r in rules if r.action == "drop"]
+    kept = reduce(Column.__and__, held) if held else F.lit(True)
+    return enforce(df, tuple(r for r in rules if r.action == "fail")).withColumn(name, kept)
+
+
 def flag(df: DataFrame, rules: tuple[Expectation, ...]) -> DataFrame:
     """Keep every row and add one boolean column per rule (true = passes)."""
     return df.withColumns({f"_ok_{r.name}": r.holds() for r in rules})
@@ -74,11 +81,11 @@ def quality_report(df: DataFrame, table: str, rules: tuple[Expectation, ...]) ->
 def observed(
     df: DataFrame, table: str, rules: tuple[Expectation, ...]
 ) -> tuple[DataFrame, Observation]:
-    """Enforced rows plus counts gathered while they are written, without another pass."""
+    """Marked rows plus counts gathered while they are written, without another pass."""
     observation = Observation(f"quality_{table}_{uuid4().hex}")
     watched = df.observe(
         observation,
         F.count(F.lit(1)).alias("rows"),
         *[F.count_if(~r.holds()).alias(r.name) for r in rules],
     )
-    return enforce(watched, rules), observation
+    return marked(watched, rules), observation

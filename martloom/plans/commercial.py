@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +12,23 @@ from martloom.plans.mart import Mart
 from martloom.plans.metrics import Dimension, Measure, MetricView
 
 
+def _sum(column: Callable[[], Column], name: str) -> dict[str, object]:
+    """A measure that is one sum: its base, its only part, and the sum of the parts."""
+    return {
+        "base": lambda: F.sum(column()), "parts": {name: lambda: F.sum(column())}, "whole": lambda part: F.sum(part(name)),
+    }
+
+
+def _average(column: Callable[[], Column], name: str) -> dict[str, object]:
+    """An exact average, from a sum and a count."""
+    total, n = f"{name}_sum", f"{name}_count"
+    return {
+        "base": lambda: exact_avg(column()),
+        "parts": {total: lambda: F.sum(column()), n: lambda: F.count(column())},
+        "whole": lambda part: ratio(F.sum(part(total)), F.sum(part(n))),
+    }
+
+
 def _on(kind: str, column: str) -> Column:
     return F.when(F.col("transaction_type") == kind, F.col(column))
 
@@ -32,26 +51,26 @@ DIMENSIONS = (
 MEASURES = (
     Measure(
         "Gross Sales",
-        base=lambda: F.sum(_on("sale", "gross_amount")),
+        **_sum(lambda: _on("sale", "gross_amount"), "gross_sales"),
         label="Vendas Brutas",
         synonyms=("vendas brutas", "revenue bruto"),
     ),
     Measure(
         "Returns",
-        base=lambda: F.sum(_on("return", "gross_amount")),
+        **_sum(lambda: _on("return", "gross_amount"), "returns"),
         label="Devoluções",
         synonyms=("devoluções", "returns"),
     ),
     Measure(
         "Discounts",
-        base=lambda: F.sum("discount_amount"),
+        **_sum(lambda: F.col("discount_amount"), "discounts"),
         label="Descontos",
         synonyms=("descontos",),
     ),
     Measure(
         "Cost of Sales",
-        base=lambda: F.sum(
-            F.when(F.col("transaction_type") == "sale", F.col("quantity") * F.col("unit_cost"))
+        **_sum(
+            lambda: F.when(F.col("transaction_type") == "sale", F.col("quantity") * F.col("unit_cost")), "cost_of_sales"
         ),
         optional_columns=("unit_cost",),
         label="Custo das Vendas",
@@ -59,7 +78,7 @@ MEASURES = (
     ),
     Measure(
         "Quantity",
-        base=lambda: F.sum(_on("sale", "quantity")),
+        **_sum(lambda: _on("sale", "quantity"), "quantity"),
         kind="number",
         label="Quantidade",
         synonyms=("quantidade", "qty"),
@@ -67,7 +86,7 @@ MEASURES = (
     Measure(
         "Customers Current",
         base=lambda: F.count_distinct(_on("sale", "customer_key")),
-        keys=("customer_key",),
+        distinct="customer_key",
         kind="number",
         label="Clientes Ativos",
         synonyms=("clientes", "customers"),
@@ -114,18 +133,14 @@ MEASURES = (
     ),
     Measure(
         "Avg Unit Price",
-        base=lambda: exact_avg(_on("sale", "unit_price")),
+        **_average(lambda: _on("sale", "unit_price"), "unit_price"),
         summed=lambda: ratio(F.sum(_on("sale", "unit_price")), F.sum(_on("sale", "priced_lines"))),
         label="Preço Unitário Médio",
         synonyms=("preço médio", "avg price"),
     ),
     Measure(
         "Avg Unit Cost",
-        base=lambda: exact_avg(_on("sale", "unit_cost")),
-        summed=lambda: ratio(
-            F.sum(_on("sale", "unit_cost") * F.col("lines")),
-            F.sum(F.when(F.col("unit_cost").isNotNull(), _on("sale", "lines"))),
-        ),
+        **_average(lambda: _on("sale", "unit_cost"), "unit_cost"),
         optional_columns=("unit_cost",),
         label="Custo Unitário Médio",
         synonyms=("custo médio", "avg cost"),
@@ -134,7 +149,7 @@ MEASURES = (
 
 
 def commercial_view(mart: Mart) -> MetricView:
-    """The cost lookup joins in only for measures that read ``unit_cost``; lines are summed before it."""
+    """The cost lookup joins in only for measures that read ``unit_cost``."""
     return MetricView(
         "commercial",
         lambda optional: mart.sales_transactions(with_cost="unit_cost" in optional),

@@ -22,6 +22,15 @@ PROJECTIONS = {
 }
 
 
+#: Silver tables that the other gold tables are composed from.
+COMPOSED = {
+    "dim_geography": ("geography", "region"),
+    "dim_product": ("product", "product_sub_category"),
+    "dim_calendar": ("finance", "sales_header", "sales_returns"),
+    "fct_sales_details": ("sales_details", "sales_header"),
+}
+
+
 class Mart:
     """``silver`` and ``gold`` map a table name to a DataFrame.
 
@@ -69,6 +78,11 @@ class Mart:
     def gold(self, name: str) -> DataFrame:
         return self._once("gold", name, self._gold_source)
 
+    @staticmethod
+    def sources(name: str) -> tuple[str, ...]:
+        """The silver tables that a gold table is made of."""
+        return (PROJECTIONS[name],) if name in PROJECTIONS else COMPOSED[name]
+
     def _compose(self, name: str) -> DataFrame:
         s, at = self.silver, self._loaded_at
         if name in PROJECTIONS:

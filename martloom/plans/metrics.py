@@ -3,7 +3,9 @@
 Base measures are ordinary aggregates and are computed once, whatever number of derived
 measures use them; derived measures are column arithmetic over the aggregated row. The whole
 query is one ``groupBy().agg().select()``. A view may offer reduced rows besides: figures summed over the
-columns that a question reads, so that facts shrink before they meet their dimensions.
+columns that a question reads, so that facts shrink before they meet their dimensions. They serve questions
+that need neither a lookup by more columns nor a distinct count: with those kept in the keys, sums hardly
+shrink the facts and cost a shuffle.
 """
 
 from __future__ import annotations
@@ -29,8 +31,9 @@ class Dimension:
 class Measure:
     """``base`` aggregates source rows; ``derived`` combines measures fetched by name.
 
-    ``keys`` are columns that reduced rows must keep for it; ``summed`` replaces ``base`` over reduced rows
-    where the same expression would not do.
+    ``distinct`` names the column of a distinct count. ``parts`` are the sums that ``base`` follows from, by name:
+    they add up over any rows, so stored roll-ups hold them, and ``whole`` puts them together again.
+    ``summed`` replaces ``base`` over reduced rows where the same expression would not do.
     """
 
     name: str
@@ -41,7 +44,9 @@ class Measure:
     kind: str = "currency"
     label: str | None = None
     synonyms: tuple[str, ...] = ()
-    keys: tuple[str, ...] = ()
+    distinct: str | None = None
+    parts: Mapping[str, Callable[[], Column]] | None = None
+    whole: Callable[[Lookup], Column] | None = None
     summed: Callable[[], Column] | None = None
 
     def __post_init__(self) -> None:
@@ -80,7 +85,7 @@ class MetricView:
                     return member.name
         raise KeyError(f"{self.name} knows nothing called {term!r}")
 
-    def _base_names(self, names: Sequence[str], path: tuple[str, ...] = ()) -> set[str]:
+    def base_names(self, names: Sequence[str], path: tuple[str, ...] = ()) -> set[str]:
         found: set[str] = set()
         for name in names:
             if name in path:
@@ -89,10 +94,10 @@ class MetricView:
             if measure.base is not None:
                 found.add(name)
             else:
-                found |= self._base_names(measure.uses, (*path, name))
+                found |= self.base_names(measure.uses, (*path, name))
         return found
 
-    def _value(self, name: str) -> Column:
+    def value(self, name: str) -> Column:
         measure = self.measures[name]
         if measure.base is not None:
             return F.col(f"`{name}`")
@@ -100,7 +105,7 @@ class MetricView:
         def fetch(other: str) -> Column:
             if other not in measure.uses:
                 raise ValueError(f"{name!r} does not declare its use of {other!r}")
-            return self._value(other)
+            return self.value(other)
 
         return measure.derived(fetch)
 
@@ -112,27 +117,39 @@ class MetricView:
     ) -> DataFrame:
         """``measures`` and ``by`` map an output column to a measure or dimension name."""
         by = dict(by or {})
-        base = sorted(self._base_names(list(measures.values())))
+        base = sorted(self.base_names(list(measures.values())))
         optional = frozenset(c for n in base for c in self.measures[n].optional_columns)
-        asked = {self.dimensions[d].column for d in by.values()} | {k for n in base for k in self.measures[n].keys}
-
-        def column(dimension: str) -> Column:
-            asked.add(self.dimensions[dimension].column)
-            return F.col(self.dimensions[dimension].column)
-
-        condition = where(column) if where is not None else None
-        rows = self._reduced(optional, frozenset(asked)) if self._reduced else self._source(optional)
+        asked, condition = self.asked(by, where)
+        shrink = self._reduced is not None and not optional and not any(self.measures[n].distinct for n in base)
+        rows = self._reduced(optional, asked) if shrink else self._source(optional)
         if condition is not None:
             rows = rows.filter(condition)
         keys = [F.col(self.dimensions[d].column).alias(out) for out, d in by.items()]
 
         def aggregate(measure: Measure) -> Column:
-            return measure.summed() if self._reduced and measure.summed else measure.base()
+            return measure.summed() if shrink and measure.summed else measure.base()
 
         grouped = rows.groupBy(*keys).agg(*[aggregate(self.measures[n]).alias(n) for n in base])
+        return self.presented(grouped, measures, by)
+
+    def asked(
+        self, by: Mapping[str, str], where: Callable[[Lookup], Column] | None
+    ) -> tuple[frozenset[str], Column | None]:
+        """The dimension columns a question reads, and its condition."""
+        columns = {self.dimensions[d].column for d in by.values()}
+
+        def column(dimension: str) -> Column:
+            columns.add(self.dimensions[dimension].column)
+            return F.col(self.dimensions[dimension].column)
+
+        condition = where(column) if where is not None else None
+        return frozenset(columns), condition
+
+    def presented(self, grouped: DataFrame, measures: Mapping[str, str], by: Mapping[str, str]) -> DataFrame:
+        """The asked columns from rows that have the base measures by name."""
         return grouped.select(
             *[F.col(f"`{out}`") for out in by],
-            *[self._value(m).alias(out) for out, m in measures.items()],
+            *[self.value(m).alias(out) for out, m in measures.items()],
         )
 
     def formatted(self, df: DataFrame, measures: Mapping[str, str]) -> DataFrame:

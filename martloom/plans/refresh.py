@@ -4,23 +4,49 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.operators.conform import observed_silver
+from martloom.operators.conform import key_columns, observed_silver
 from martloom.plans import forecast, growth, rfm
 from martloom.plans.contracts import CONTRACTS
 from martloom.plans.mart import Mart
 from martloom.plans.silver import SPECS
 from martloom.sinks.lake import Lake
 
+@dataclass(frozen=True)
+class FactLayout:
+    """A stored fact: its folder column and how a row gives it, the key whose range each folder knows, and the
+    columns by which a refresh tells what changed."""
+
+    folder: str
+    value: Callable[[], Column]
+    range_of: str
+    key: tuple[str, ...]
+
+
 # Facts are stored by the year that questions name: of the order for sales and returns, of the entry for
 # the ledger. The flat views take the year from this column, so a filter on it reads one folder.
-FACT_YEARS = {
-    "fct_sales_details": ("order_year", "order_date"),
-    "fct_sales_returns": ("order_year", "order_date"),
-    "fct_finance": ("transaction_year", "transaction_date"),
+FACTS = {
+    "fct_sales_details": FactLayout("order_year", lambda: F.year("order_date"), "sales_header_key", ("sales_header_key",)),
+    "fct_sales_returns": FactLayout("order_year", lambda: F.year("order_date"), "return_key", ("return_key",)),
+    "fct_finance": FactLayout("transaction_year", lambda: F.year("transaction_date"), "finance_key", ("finance_key",)),
+    "fct_product_cost_history": FactLayout(
+        "cost_year", lambda: F.col("year"), "product_key", ("product_key", "country_code", "year", "month_no")
+    ),
+}
+#: Orders whose lines share a silver folder.
+ORDERS_PER_FOLDER = 1 << 22
+FOLDER = "_folder"
+#: How silver facts are laid out: a folder number from the row, and the key whose range each folder knows.
+SILVER_FOLDERS: dict[str, tuple[Callable[[], Column], str]] = {
+    "sales_header": (lambda: F.year("order_date"), "sales_header_key"),
+    "sales_details": (lambda: F.floor(F.col("sales_header_key") / ORDERS_PER_FOLDER), "sales_details_key"),
+    "sales_returns": (lambda: F.year("order_date"), "return_key"),
+    "finance": (lambda: F.year("transaction_date"), "finance_key"),
+    "product_cost_history": (lambda: F.col("year"), "product_key"),
 }
 PARALLEL_TABLES = 4
 
@@ -34,15 +60,34 @@ def _each(tables: Iterable[str], refresh_one: Callable[[str], object]) -> None:
 SILVER_REPORT = "table_name string, kind string, name string, action string, n long"
 
 
+def silver_layout(table: str, rows: DataFrame) -> tuple[DataFrame, str | None, str | None]:
+    """Rows with their folder, and the names of the folder and range columns (None for small tables)."""
+    if table not in SILVER_FOLDERS:
+        return rows, None, None
+    folder, range_of = SILVER_FOLDERS[table]
+    return rows.withColumn(FOLDER, folder().cast("int")), FOLDER, range_of
+
+
+def silver_note(table: str, bronze_parts: Iterable[str]) -> dict:
+    """What a silver version remembers: the bronze folders it covers, and which of its rows and columns are shown.
+
+    Rows that a rule drops stay in the table, not shown: a later load may bring an older version of them.
+    """
+    raw = [c for c in key_columns(SPECS[table]) if c.startswith("_raw_")]
+    return {"bronze": list(bronze_parts), "shown": "_kept", "hidden": ["_kept", FOLDER, *raw]}
+
+
 def refresh_silver(lake: Lake) -> DataFrame:
     """Store silver, and return and store what was counted on the way: rows read and conformed, values
     that could not be read, rows that break each rule."""
     counted: list[tuple[str, str, str, str | None, int]] = []
 
     def one(table: str) -> None:
-        spec = SPECS[table]
-        rows, read, checked = observed_silver(lake.read("bronze", table), spec, F.current_timestamp())
-        lake.replace(rows, "silver", table)
+        spec, bronze = SPECS[table], lake.table("bronze", table)
+        version = bronze.version()
+        rows, read, checked = observed_silver(bronze.frame(version), spec, F.current_timestamp())
+        rows, folder, range_of = silver_layout(table, rows)
+        lake.table("silver", table).replace(rows, folder, range_of, silver_note(table, version.parts))
         actions = {r.name: r.action for r in spec.rules}
         seen, outcome = dict(read.get), dict(checked.get)
         counted.append((table, "rows", "read", None, seen.pop("_rows")))
@@ -55,18 +100,27 @@ def refresh_silver(lake: Lake) -> DataFrame:
     return lake.replace(report, "_ops", "silver_report")
 
 
-def refresh_gold(lake: Lake) -> None:
-    mart = Mart(lambda t: lake.read("silver", t), loaded_at=F.current_timestamp())
+def silver_versions(lake: Lake) -> dict[str, int]:
+    return {t: lake.table("silver", t).version().number for t in SPECS}
+
+
+def gold_layout(table: str, rows: DataFrame) -> tuple[DataFrame, str | None, str | None]:
+    if table not in FACTS:
+        return rows, None, None
+    layout = FACTS[table]
+    return rows.withColumn(layout.folder, layout.value().cast("int")), layout.folder, layout.range_of
+
+
+def refresh_gold(lake: Lake, tables: Iterable[str] = tuple(CONTRACTS)) -> None:
+    """Store gold tables as a whole, each from one version of silver that it remembers."""
+    versions = silver_versions(lake)
+    mart = Mart(lambda t: lake.read("silver", t, versions[t]), loaded_at=F.current_timestamp())
 
     def one(table: str) -> None:
-        df = mart.gold(table)
-        if table not in FACT_YEARS:
-            lake.replace(df, "gold", table)
-        else:
-            year, date = FACT_YEARS[table]
-            lake.replace(df.withColumn(year, F.year(date)), "gold", table, [year])
+        rows, year, range_of = gold_layout(table, mart.gold(table))
+        lake.table("gold", table).replace(rows, year, range_of, {"silver": {t: versions[t] for t in mart.sources(table)}})
 
-    _each(CONTRACTS, one)
+    _each(tables, one)
 
 
 def register_gold(lake: Lake) -> None:
@@ -77,8 +131,8 @@ def register_gold(lake: Lake) -> None:
 
 def stored_mart(lake: Lake) -> Mart:
     return Mart(
-        lambda t: lake.spark.read.parquet(lake.path("silver", t)),
-        gold=lambda t: lake.spark.read.parquet(lake.path("gold", t)),
+        lambda t: lake.read("silver", t),
+        gold=lambda t: lake.read("gold", t),
     )
 
 

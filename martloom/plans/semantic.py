@@ -99,14 +99,17 @@ def transactions(
     The cost lookup (product, year, month, country of the buyer) is unique on its key, so it
     never changes the number of rows; pass no history to leave it out when no cost is read.
 
-    With ``keep``, quantities, prices and amounts are summed over those columns and the keys of the joins
-    to come before lines meet costs and products, and ``lines`` and ``priced_lines`` count what went in:
-    only sums are shuffled to the dimensions. (Products stay an inner join where no attribute of theirs is
-    kept: Spark would push a semi join below the sums and shuffle the lines for it.)
+    With ``keep``, quantities, prices and amounts are summed over those columns and the product before
+    lines meet products, and ``lines`` and ``priced_lines`` count what went in: only sums are shuffled to
+    the dimension. Costs are looked up by month and country, over which lines hardly add up, so they come with
+    whole lines only. (Products stay an inner join where no attribute of theirs is kept: Spark would push
+    a semi join below the sums and shuffle the lines for it.)
     """
+    if keep is not None and cost_history is not None:
+        raise ValueError("lines that were summed cannot meet their costs")
     names = ("category_name", "subcategory_name", "product_name")
     columns = TRANSACTION_COLUMNS
-    sum_up = lambda lines, *keys: lines
+    sum_up = lambda lines: lines
     if keep is not None:
         names = tuple(c for c in names if c in keep)
         kept = tuple(c for c in TRANSACTION_COLUMNS if c in keep)
@@ -114,12 +117,12 @@ def transactions(
             ("transaction_type", *kept, "quantity", "unit_price", "gross_amount", "discount_amount", "unit_cost", "lines", "priced_lines")
         ))
         own = [c for c in kept if c not in names]
-        sum_up = lambda lines, *keys: _summed(lines, dict.fromkeys((*own, "product_key", *keys)))
+        sum_up = lambda lines: _summed(lines, dict.fromkeys((*own, "product_key")))
     items = product.select("product_key", *names)
     sold = _lines(sales, "sale", "order_quantity").withColumnRenamed(
         "discount_allocated", "discount_amount"
     )
-    sold = sum_up(sold, *(() if cost_history is None else ("order_year", "order_month", "country_code")))
+    sold = sum_up(sold)
     if cost_history is None:
         sold = sold.withColumn("unit_cost", F.lit(None).cast(MONEY))
     else:

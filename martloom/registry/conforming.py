@@ -161,7 +161,7 @@ def _report_sql(table: str, relation: str, rules: list[tuple[str, str, str]]) ->
     )
 
 
-def _all_reports_sql() -> str:
+def all_reports_sql() -> str:
     """Every rule of every silver table. Where a rule drops rows of the sample, the source stands in."""
     sources = {
         "customer": ("customer", {"customer_key": "c_custkey", "annual_revenue": "c_acctbal"}),
@@ -195,7 +195,7 @@ def _all_reports_sql() -> str:
 
 @query(
     "dq_report",
-    _all_reports_sql() + " UNION ALL SELECT * FROM (" + compose(_report_sql("orders_shipping", "s_header", [
+    all_reports_sql() + " UNION ALL SELECT * FROM (" + compose(_report_sql("orders_shipping", "s_header", [
         ("ships_after_order", "track", "ship_date >= order_date"), ("ships_in_time", "track", "ship_date <= due_date"),
     ]), ("s_header",)) + ")",
 )

@@ -1,16 +1,14 @@
-"""Lake tables: Parquet folders by layer and name, optionally registered in the catalog."""
+"""Lake tables by layer and name, each a table with versions, optionally registered in the catalog."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from martloom.streaming.file_stream import stored_schema
+from martloom.sinks.versions import COMMIT, VersionedTable, value_of
 
-LOAD = "_load"  # folder per load of an appended table; not a column of it
+BRONZE = "bronze"
 
 
 class Lake:
@@ -21,92 +19,88 @@ class Lake:
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
+    def table(self, layer: str, table: str) -> VersionedTable:
+        return VersionedTable(self.spark, self.path(layer, table))
+
+    def _generation(self, table: str) -> str:
+        """The full load that a bronze table goes back to; what is remembered about files starts with it."""
+        version = self.table(BRONZE, table).version()
+        return version.note.get("generation", "0") if version else "0"
+
     def checkpoint(self, table: str) -> str:
-        return f"{self.root}/_ops/{table}/checkpoint"
+        return f"{self.root}/_ops/{table}/checkpoint-{self._generation(table)}"
 
     def schema_location(self, table: str) -> str:
         return f"{self.root}/_ops/{table}/schema"
 
     def ledger(self, table: str) -> str:
-        """Landed files that are in a bronze table, by the load that brought them."""
+        """Landed files by the load that took them. Only loads that the table's version names count."""
         return f"{self.root}/_ops/{table}/ledger"
 
-    def read(self, layer: str, table: str) -> DataFrame:
-        """A stored table; for one appended to over time, in the schema remembered for it."""
-        reader = self.spark.read
-        schema = stored_schema(self.spark, self.schema_location(table)) if layer == "bronze" else None
-        if schema is not None:
-            reader = reader.schema(schema)
-        return reader.parquet(self.path(layer, table)).drop(LOAD)
+    def read(self, layer: str, table: str, version: int | None = None) -> DataFrame:
+        """A stored table as of a version, by default the newest; later writes do not change the frame.
 
-    def _located(self, folder: str):
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
-
-    def _there(self, folder: str) -> bool:
-        fs, path = self._located(folder)
-        return fs.exists(path)
+        Rows and columns that a table keeps for its own upkeep (``shown``, ``hidden`` in its note) are left out.
+        """
+        stored = self.table(layer, table)
+        found = stored.version(version)
+        if found is None:
+            raise LookupError(f"{layer}.{table} is not stored")
+        rows = stored.frame(found)
+        if found.note.get("shown"):
+            rows = rows.filter(found.note["shown"])
+        return rows.drop(*found.note.get("hidden", ()))
 
     def exists(self, layer: str, table: str) -> bool:
-        return self._there(self.path(layer, table))
+        return self.table(layer, table).version() is not None
 
     def has_load_history(self, table: str) -> bool:
         """Whether it is known which landed files the table holds."""
-        return self._there(self.ledger(table)) or self._there(self.checkpoint(table))
-
-    def forget_loads(self, table: str) -> None:
-        """Drop what is remembered about the files of a table that was replaced as a whole."""
-        for folder in (self.checkpoint(table), self.ledger(table), self.schema_location(table)):
-            fs, path = self._located(folder)
-            fs.delete(path, True)
-
-    def switch(self, written: str, table_path: str) -> None:
-        """Put a finished folder in the place of a table. The old one goes last; a failed move puts it back."""
-        fs, new = self._located(written)
-        _, current = self._located(table_path)
-        _, old = self._located(f"{self.root}/_old/{uuid.uuid4().hex}")
-        had = fs.exists(current)
-        fs.mkdirs(old.getParent())
-        fs.mkdirs(current.getParent())
-        if had and not fs.rename(current, old):
-            raise OSError(f"{table_path} cannot be moved aside")
-        if not fs.rename(new, current):
-            if had:
-                fs.rename(old, current)
-            raise OSError(f"{written} cannot be moved to {table_path}")
-        if had:
-            fs.delete(old, True)
+        version = self.table(BRONZE, table).version()
+        return version is not None and bool(version.note.get("loads"))
+
+    def loads(self, table: str) -> tuple[str, ...]:
+        """Names of the loads whose rows a bronze table holds, in order."""
+        version = self.table(BRONZE, table).version()
+        return tuple(p.removeprefix(f"{COMMIT}=") for p in version.parts) if version else ()
 
     def replace(
-        self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = ()
+        self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = (), range_of: str | None = None,
+        note: dict | None = None,
     ) -> DataFrame:
-        """Replace rows and schema. Rerunning gives the same table.
+        """Replace rows and schema, by a new version of the table. Rerunning gives the same table.
 
-        The new table is written beside the old one, then they switch, so a write that fails leaves
-        the old one as it was. A partitioned table is rebalanced first: each folder gets few well-sized
-        files, and a folder that holds much of the data is still written by many tasks.
+        A write that fails leaves the old version; readers of it keep their rows until it expires. A
+        table is partitioned by one column at most.
         """
-        if partition_by:
-            df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-        written = f"{self.root}/_new/{layer}-{table}-{uuid.uuid4().hex}"
-        df.write.partitionBy(*partition_by).parquet(written)
-        self.switch(written, self.path(layer, table))
-        return self.spark.read.parquet(self.path(layer, table))
+        (column,) = partition_by or (None,)
+        stored = self.table(layer, table)
+        return stored.frame(stored.replace(df, column, range_of, note))
 
     def named(self, layer: str, table: str) -> DataFrame:
         """A registered table by its name in the catalog."""
         return self.spark.table(f"{layer}.{table}")
 
     def register(self, layer: str, table: str, comment: str = "", tags: dict[str, str] | None = None) -> None:
-        """Name a stored table in the catalog with its comment and tags."""
+        """Name the newest version of a stored table in the catalog, with its comment and tags.
+
+        Its folders become the partitions of an external table, so filters on the partition column prune.
+        """
+        stored = self.table(layer, table)
+        version = stored.version()
+        name, by = f"{layer}.{table}", version.partition_by
+        data = f"{stored.path}/data"
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
-        self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{table}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         properties = ", ".join(f"'{k}' = '{v}'" for k, v in sorted((tags or {}).items()))
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in version.schema.fields)
         self.spark.sql(
-            f"CREATE TABLE {layer}.{table} USING parquet LOCATION '{self.path(layer, table)}'"
+            f"CREATE TABLE {name} ({columns}) USING parquet"
+            + (f" PARTITIONED BY (`{by}`) LOCATION '{data}'" if by else f" LOCATION '{data}/{version.parts[0]}'")
             + (" COMMENT '" + comment.replace("'", "\\'") + "'" if comment else "")
             + (f" TBLPROPERTIES ({properties})" if properties else "")
         )
-        name = f"{layer}.{table}"
-        if any(c.isPartition for c in self.spark.catalog.listColumns(name)):
-            self.spark.catalog.recoverPartitions(name)
+        for part in version.parts if by else ():
+            value = value_of(part)
+            literal = "NULL" if value is None else "'" + value.replace("'", "\\'") + "'"
+            self.spark.sql(f"ALTER TABLE {name} ADD PARTITION (`{by}` = {literal}) LOCATION '{data}/{part}'")

@@ -88,7 +88,7 @@ class LakeTarget:
 
     def read(self, destination: str) -> DataFrame:
         schema, table = destination.split(".")
-        return self.lake.spark.read.parquet(self.lake.path(schema, table))
+        return self.lake.read(schema, table)
 
 
 def publish(

@@ -4,18 +4,15 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martloom.sinks.versions import VersionedTable
+from martloom.streaming.drift import RESCUED, alike, landed_rows
+
 FILE = "_landed_file"
-#: Types a column may grow from and to without losing a value.
-WIDER = {
-    (T.ByteType, T.ShortType), (T.ByteType, T.IntegerType), (T.ByteType, T.LongType), (T.ShortType, T.IntegerType),
-    (T.ShortType, T.LongType), (T.IntegerType, T.LongType), (T.FloatType, T.DoubleType),
-}
 
 
 def one_form(path: Column) -> Column:
@@ -23,27 +20,6 @@ def one_form(path: Column) -> Column:
     return F.regexp_replace(path, "^file:/+", "file:///")
 
 
-def merged_schema(old: T.StructType, new: T.StructType) -> T.StructType:
-    """Old columns in place, the wider of two types, unseen columns appended.
-
-    A type that fits neither way is an error that names the column.
-    """
-    incoming = {f.name: f for f in new.fields}
-
-    def one(field: T.StructField) -> T.StructField:
-        other = incoming.get(field.name, field)
-        if type(other.dataType) is type(field.dataType) or (type(other.dataType), type(field.dataType)) in WIDER:
-            return field
-        if (type(field.dataType), type(other.dataType)) in WIDER:
-            return other
-        raise ValueError(
-            f"column {field.name} was {field.dataType.simpleString()} and arrives as {other.dataType.simpleString()}"
-        )
-
-    known = set(old.fieldNames())
-    return T.StructType([*map(one, old.fields), *(f for f in new.fields if f.name not in known)])
-
-
 def stored_schema(spark: SparkSession, location: str) -> T.StructType | None:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(location)
@@ -56,11 +32,6 @@ def store_schema(spark: SparkSession, location: str, schema: T.StructType) -> No
     spark.createDataFrame([(schema.json(),)], "schema string").coalesce(1).write.mode("overwrite").text(location)
 
 
-def footers_schema(spark: SparkSession, files: Sequence[str]) -> T.StructType:
-    """One schema for the given files, read from their footers alone."""
-    return spark.read.option("mergeSchema", "true").parquet(*files).schema
-
-
 def file_stream(
     spark: SparkSession, source: str, schema: T.StructType, max_files: int | None = None
 ) -> DataFrame:
@@ -89,32 +60,47 @@ def append_available(stream: DataFrame, target: str, checkpoint: str) -> None:
 def load_new_files(
     spark: SparkSession,
     source: str,
-    target: str,
+    table: VersionedTable,
     checkpoint: str,
     ledger: str,
     schema: T.StructType,
     max_files: int | None = None,
-) -> int:
-    """Add the files that neither the checkpoint nor the ledger knows; returns the rows added.
-
-    A batch writes a folder of its own below ``target`` and then its files to the ledger. A batch that
-    runs again overwrites both, so a failure at any point neither loses nor doubles a row, and a lost
-    checkpoint costs one more look at the files that the ledger lists.
+) -> tuple[int, int]:
+    """Add the files that neither the checkpoint nor the ledger knows; returns the rows added and those of
+    them with a rescued value.
+
+    A batch writes its rows to a folder of its own, then its files to the ledger, then a version of the table
+    that holds both. A batch that runs again replaces all three, and entries of the ledger count only with
+    a version that names their load: a failure at any point neither loses nor doubles a row, and a lost checkpoint
+    costs one more look at the files that the ledger lists. Names of one batch's files come to the driver.
     """
-    added = []
+    added, rescued = [], []
     generation = _generation(spark, checkpoint)
-    stream = file_stream(spark, source, schema, max_files).withColumn(FILE, one_form(F.col("_metadata.file_path")))
+    stream = file_stream(spark, source, schema, max_files).select(one_form(F.col("_metadata.file_path")).alias(FILE))
 
     def load(batch: DataFrame, number: int) -> None:
         session, name = batch.sparkSession, f"{generation}-{number}"
-        known = session.read.schema("file string, load string").parquet(ledger) if _exists(session, ledger) else None
-        rows = batch
-        if known is not None:
-            rows = batch.join(known.filter(F.col("load") != name).select(F.col("file").alias(FILE)), FILE, "left_anti")
+        files = [r[FILE] for r in batch.distinct().collect()]
+        version = table.version()
+        loads = [p.rpartition("=")[2] for p in version.parts] if version else []
+        if _exists(session, ledger):
+            known = session.read.schema("file string, load string").parquet(ledger)
+            known = known.filter(F.col("load").isin(*loads) & (F.col("load") != name) & F.col("file").isin(*files))
+            taken = {r["file"] for r in known.collect()}
+            files = [f for f in files if f not in taken]
+        if not files:
+            return
+        rows = landed_rows(session, alike(session, sorted(files)), schema)
         count = Observation(f"load_{uuid.uuid4().hex}")
-        rows.drop(FILE).observe(count, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{target}/_load={name}")
-        batch.select(F.col(FILE).alias("file")).distinct().write.mode("overwrite").parquet(f"{ledger}/load={name}")
+        figures = [F.count(F.lit(1)).alias("rows")]
+        if RESCUED in schema.fieldNames():
+            figures.append(F.count(RESCUED).alias("rescued"))
+        listed = session.createDataFrame([(f,) for f in files], "file string").coalesce(1)
+        listed.write.mode("overwrite").parquet(f"{ledger}/load={name}")
+        note = {"loads": True} if version is None or version.note.get("loads") else {}
+        table.append(rows.observe(count, *figures), schema, name, note)
         added.append(count.get["rows"])
+        rescued.append(count.get.get("rescued", 0))
 
     (
         stream.writeStream.foreachBatch(load)
@@ -123,7 +109,7 @@ def load_new_files(
         .start()
         .awaitTermination()
     )
-    return sum(added)
+    return sum(added), sum(rescued)
 
 
 def _exists(spark: SparkSession, folder: str) -> bool:

@@ -8,9 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from martloom.sinks.lake import Lake
+from martloom.sinks.versions import VersionedTable
 from martloom.sources import jdbc, landing
-from martloom.sources.ingest import BRONZE, UnknownHistory, auto_load, copy_into, full_load, ingest, reload, stored_rows
-from martloom.streaming.file_stream import append_available, file_stream, merged_schema, stored_schema
+from martloom.sources.ingest import BRONZE, UnknownHistory, auto_load, copy_into, full_load, ingest, reload, rescued_rows, stored_rows
+from martloom.streaming.drift import merged_schema
+from martloom.streaming.file_stream import append_available, file_stream, stored_schema
 
 
 def _land(spark, folder, rows, schema="id int, name string"):
@@ -123,10 +125,61 @@ def test_widened_and_clashing_types(spark, tmp_path):
     auto_load(lake, "t", src)
     assert stored_schema(spark, lake.schema_location("t"))["id"].dataType.simpleString() == "bigint"
     assert sorted(r.id for r in lake.read(BRONZE, "t").collect()) == [1, 1 << 40]
-    _land(spark, src, [("x", "c")], "id string, name string")
-    with pytest.raises(Exception, match="(?i)id|merge"):
-        auto_load(lake, "t", src)
-    assert lake.read(BRONZE, "t").count() == 2
+    _land(spark, src, [("x", "c"), ("7", "d")], "id string, name string")
+    assert auto_load(lake, "t", src) == 2
+    rows = {r.name: (r.id, r["_rescued"]) for r in lake.read(BRONZE, "t").collect()}
+    assert rows["a"] == (1, None) and rows["b"] == (1 << 40, None) and rows["d"] == (7, None)
+    assert rows["c"][0] is None and rows["c"][1]["id"] == "x" and rows["c"][1]["_file"].endswith(".parquet")
+    assert stored_schema(spark, lake.schema_location("t"))["id"].dataType.simpleString() == "bigint"
+
+
+def test_no_value_is_lost_whatever_arrives(spark, tmp_path):
+    """One load of files that disagree: fractions for whole numbers, text, arrays, and a column that only one has."""
+    lake, src = Lake(spark, str(tmp_path / "lake")), str(tmp_path / "landing")
+    for i, (rows, schema) in enumerate([
+        ([(1, 10, "2024-01-31")], "id int, n int, day string"),
+        ([(2, 2.0, "x"), (3, 2.5, None)], "id int, n double, day string"),
+        ([(4, "4", "y"), (5, "four", "z"), (6, None, "z")], "id int, n string, day string"),
+        ([(7, [1, 2], "z")], "id int, n array<int>, day string"),
+        ([(8, 1 << 40, "z", "more")], "id int, n long, day string, extra string"),
+    ]):
+        _land(spark, f"{src}/{i}", rows, schema)
+    for load in (copy_into, full_load, copy_into):
+        load(lake, "t", f"{src}/*")
+        rows = {r.id: r for r in lake.read(BRONZE, "t").collect()}
+        assert {i: r.n for i, r in rows.items()} == {1: 10, 2: 2, 3: None, 4: 4, 5: None, 6: None, 7: None, 8: 1 << 40}
+        lost = {i: r["_rescued"]["n"] for i, r in rows.items() if r["_rescued"] is not None}
+        assert lost == {3: "2.5", 5: "four", 7: "[1,2]"} and rows[8].extra == "more"
+    assert rescued_rows(lake, "t") == 3
+
+
+def test_rescued_rows_are_reported(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    control = spark.createDataFrame(
+        [("t", "t", "incremental", "autoloader", True)],
+        "source_table string, target_folder string, load_type string, ingestion_mode string, is_active boolean",
+    )
+    for rows, schema, rescued in (([(1, "a")], "id int, name string", 0), ([("?", "b"), ("2", "c")], "id string, name string", 1)):
+        _land(spark, str(tmp_path / "landing" / "t"), rows, schema)
+        row = ingest(lake, control, lambda f: str(tmp_path / "landing" / f)).first()
+        assert (row.status, row.rescued_rows) == ("loaded", rescued)
+    assert row.rows_after == 3
+
+
+def test_a_load_cut_short_before_its_version_is_done_again(spark, tmp_path, monkeypatch):
+    """Rows and ledger are written, the version is not: neither counts, and the next run brings every row once."""
+    lake, src = Lake(spark, str(tmp_path / "lake")), str(tmp_path / "landing")
+    _land(spark, src, [(1, "a")])
+    copy_into(lake, "t", src)
+    _land(spark, src, [(2, "b")])
+    with monkeypatch.context() as m:
+        m.setattr(VersionedTable, "commit", lambda *_: (_ for _ in ()).throw(OSError("no")))
+        for load in (copy_into, full_load):
+            with pytest.raises(Exception):
+                load(lake, "t", src)
+            assert lake.read(BRONZE, "t").count() == 1
+    assert copy_into(lake, "t", src) == 1
+    assert sorted(r.id for r in lake.read(BRONZE, "t").collect()) == [1, 2]
 
 
 def test_one_failing_table_stops_no_other(spark, tmp_path):

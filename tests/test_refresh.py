@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import shutil
 
 import pytest
@@ -29,12 +30,13 @@ def lake(spark, sample, tmp_path_factory):
 
 
 def test_stored_queries_see_input_that_changes_within_an_application(spark, sf_dir, tmp_path):
-    folder = str(shutil.copytree(sf_dir, tmp_path / "in"))
+    folder = str(shutil.copytree(sf_dir, tmp_path / "in", copy_function=shutil.copyfile))
+    os.chmod(folder, 0o755)
     regions = spark.read.parquet(f"{sf_dir}/region.parquet")
     for name in ("OLD", "NEW"):
         regions.withColumn("r_name", F.lit(name)).write.mode("overwrite").parquet(f"{tmp_path}/{name}")
         target = tmp_path / "in" / "region.parquet"
-        shutil.copy(next((tmp_path / name).glob("part-*")), target)
+        os.replace(next((tmp_path / name).glob("part-*")), target)  # the copied data may be read-only
         spark.catalog.refreshByPath(str(target))
         assert {r["region_name"] for r in QUERIES["named_table_scan"].run(spark, folder).collect()} == {name}
 
