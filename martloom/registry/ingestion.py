@@ -200,15 +200,15 @@ LOADS = (
     "ingest_report",
     " UNION ALL ".join(
         f"SELECT '{t}' AS source_table, '{load}' AS load_type, '{mode}' AS ingestion_mode, '{status}' AS status,"
-        f" CAST(0 AS BIGINT) AS rows_before, {rows} AS rows_after, false AS has_message FROM {t}"
-        for t, load, mode, status, rows in (
-            ("nation", "full", "copy_into", "loaded", "count(*)"),
-            ("orders", "incremental", "copy_into", "loaded", "count(*)"),
-            ("customer", "incremental", "autoloader", "loaded", "count(*)"),
-            ("part", "snapshot", "copy_into", "skipped", "count(*) * 0"),
-            ("supplier", "incremental", "ftp", "skipped", "count(*) * 0"),
+        f" CAST(0 AS BIGINT) AS rows_before, {rows} AS rows_after, false AS has_message, CAST({rescued} AS BIGINT) AS rescued_rows FROM {t}"
+        for t, load, mode, status, rows, rescued in (
+            ("nation", "full", "copy_into", "loaded", "count(*)", "0"),
+            ("orders", "incremental", "copy_into", "loaded", "count(*)", "0"),
+            ("customer", "incremental", "autoloader", "loaded", "count(*)", "0"),
+            ("part", "snapshot", "copy_into", "skipped", "count(*) * 0", "NULL"),
+            ("supplier", "incremental", "ftp", "skipped", "count(*) * 0", "NULL"),
         )
-    ) + " UNION ALL SELECT 'unlanded', 'full', 'copy_into', 'failed', 0, 0, true",
+    ) + " UNION ALL SELECT 'unlanded', 'full', 'copy_into', 'failed', 0, 0, true, NULL",
 )
 def ingest_report(c: Context):
     control = c.spark.createDataFrame(
@@ -217,3 +217,25 @@ def ingest_report(c: Context):
     )
     report = ingest(Lake(c.spark, scratch_dir(c.spark, "ingest")), control, c.sample.landing)
     return report.withColumn("message", F.col("message").isNotNull()).withColumnRenamed("message", "has_message")
+
+
+@query(
+    "rescued_drift",
+    "SELECT o_orderstatus, count(*) AS n, sum(CASE WHEN o_orderpriority LIKE '1%' THEN NULL ELSE o_custkey END)::BIGINT AS customers,"
+    " count(*) FILTER (WHERE o_orderpriority LIKE '1%') AS rescued,"
+    " min(CASE WHEN o_orderpriority LIKE '1%' THEN 'C' || o_custkey END) AS first_rescued FROM orders GROUP BY 1",
+)
+def rescued_drift(c: Context):
+    """All orders land twice: with whole customer numbers, then the urgent ones with a letter before theirs."""
+    root = scratch_dir(c.spark, "drift")
+    orders = c.sample.read("orders").select("o_orderkey", "o_orderstatus", "o_custkey", "o_orderpriority")
+    urgent = F.col("o_orderpriority").startswith("1")
+    lettered = orders.withColumn("o_custkey", F.concat(F.lit("C"), F.col("o_custkey").cast("string")))
+    lake = Lake(c.spark, f"{root}/lake")
+    for day, landed in enumerate((orders.filter(~urgent), lettered.filter(urgent))):
+        landed.write.parquet(f"{root}/landing/{day}")
+        copy_into(lake, "orders", f"{root}/landing/*")
+    return lake.read(BRONZE, "orders").groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("o_custkey").alias("customers"), F.count("_rescued").alias("rescued"),
+        F.min(F.col("_rescued")["o_custkey"]).alias("first_rescued"),
+    )
