@@ -32,13 +32,20 @@ class Mix:
     domains: Mapping[str, int] = field(default_factory=lambda: {"web": 5, "reference": 3, "forum": 2})
     languages: Mapping[str, int] = field(default_factory=lambda: {"en": 6, "de": 2, "fr": 2, "es": 1})
     sources: Mapping[str, int] = field(default_factory=dict)
+    #: Domain by source, ``other`` for a source that is not listed; None: by the number at the end of a source.
+    domain_map: Mapping[str, str] | None = None
     percent: int = 60
     max_epochs: int = 2
     seed: int = 7
 
 
-def domain_of(source: Column) -> Column:
-    """The domain of a source by the number at its end; sources without a number are ``other``."""
+def domain_of(source: Column, domain_map: Mapping[str, str] | None = None) -> Column:
+    """The domain of a source by a map, or by the number at its end; other sources are ``other``."""
+    if domain_map is not None:
+        if not domain_map:
+            return F.lit("other")
+        listed = F.create_map(*[F.lit(x) for pair in sorted(domain_map.items()) for x in pair])
+        return F.coalesce(F.try_element_at(listed, source), F.lit("other"))
     number = F.regexp_extract(source, r"(\d{1,9})$", 1)
     names = F.array(F.lit("web"), F.lit("reference"), F.lit("forum"))
     return F.when(number == "", "other").otherwise(F.get(names, (number.cast("int") % 3).cast("int")))
@@ -50,10 +57,10 @@ def word_count(text: Column) -> Column:
     return F.size(F.array_remove(F.split(plain, " "), "")).cast("long")
 
 
-def _leaf(df: DataFrame) -> dict[str, Column]:
+def _leaf(mix: Mix) -> dict[str, Column]:
     source = F.coalesce(F.col("source").cast("string"), F.lit(_NONE))
     return {
-        "domain": domain_of(source), "language": F.coalesce(F.col("lang").cast("string"), F.lit(_NONE)), "origin": source,
+        "domain": domain_of(source, mix.domain_map), "language": F.coalesce(F.col("lang").cast("string"), F.lit(_NONE)), "origin": source,
     }
 
 
@@ -131,7 +138,7 @@ def mix_plan(documents: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame]:
     """
     counts = stored(
         documents.select("doc_id", word_count(F.col("text").cast("string")).alias("tokens"), _identity().alias("identity"),
-                         *[c.alias(n) for n, c in _leaf(documents).items()]),
+                         *[c.alias(n) for n, c in _leaf(mix).items()]),
         "mixing-counts",
     )
     leaves = counts.groupBy(*TREE).agg(F.sum("tokens").alias("tokens"))
@@ -202,7 +209,7 @@ def mixed(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
     _, plan = mix_plan(documents, mix)
     names = dict(zip((*TREE, "identity"), fresh(documents, *TREE, "identity")))
     packed = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"),
-                              *[c.alias(n) for n, c in _leaf(documents).items()], _identity().alias("identity"))
+                              *[c.alias(n) for n, c in _leaf(mix).items()], _identity().alias("identity"))
     chosen = packed.join(plan.select(*TREE, "epochs", "cutoff"), list(TREE)).withColumn("copies", _copies(mix.seed))
     return chosen.filter("copies > 0").withColumn(
         "copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))

@@ -37,12 +37,28 @@ WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
   UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
-e AS (SELECT *, contains(text, '<|im_end|>') OR regexp_matches(text, '<\\+\|') AS conflict FROM c)
+e AS (SELECT *, contains(role, chr(10)) OR regexp_matches(role, '<\|(im_start|im_end|n)\|>|<\\+\|')
+             OR regexp_matches(text, '<\|(im_start|im_end|n)\|>|<\\+\|') AS conflict FROM c)
 SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
        CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(12 + length(role) + 1 + length(text) + 10 + 1
-                + CASE WHEN conflict THEN len(regexp_extract_all(text, '<\\*\|')) ELSE 0 END) AS BIGINT) AS formatted_chars
+                + CASE WHEN conflict THEN len(regexp_extract_all(text, '<\\*\|')) + len(regexp_extract_all(role, '<\\*\|'))
+                       + 4 * (length(role) - length(replace(role, chr(10), ''))) ELSE 0 END) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
 """
+
+
+#: The ablations of both policies: what a policy keeps, and what it would keep without each of its rules.
+ABLATIONS = f"""
+WITH ledger AS (SELECT fail_bits FROM ({QUALITY})),
+rules(rule, bit, policies) AS (VALUES ('few_words', 1, [1, 2]), ('repeated_words', 2, [1, 2]), ('symbols', 4, [1, 2]),
+  ('short_words', 8, [2]), ('long_words', 16, [2]), ('duplicate_lines', 32, [2]), ('capitals', 64, [2])),
+masks AS (SELECT p AS policy, CAST(sum(bit) AS BIGINT) AS mask FROM (SELECT unnest(policies) AS p, bit FROM rules) GROUP BY p),
+each AS (SELECT policy, rule, bit, fail_bits & mask AS bits FROM masks JOIN rules ON list_contains(policies, policy), ledger)
+SELECT CAST(policy AS INTEGER) AS policy, rule, count(*) FILTER (WHERE bits & bit <> 0) AS n_failed,
+       count(*) FILTER (WHERE bits = bit) AS n_only, count(*) FILTER (WHERE bits = 0) AS n_kept,
+       count(*) FILTER (WHERE bits = 0 OR bits = bit) AS n_kept_without
+FROM each GROUP BY ALL
+"""

@@ -7,6 +7,7 @@ does within a policy is computed from the bits alone.
 
 from __future__ import annotations
 
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,7 +41,7 @@ def measured(text: str | None) -> tuple[int, ...]:
             if counts[gram] > 1:
                 repeated += i + 3 - max(i, upto)
                 upto = i + 3
-    upper = sum(text.count(c) for c in set(text) if c.isupper())
+    upper = sum(text.count(c) for c in set(text) if unicodedata.category(c) == "Lu")
     return n, chars, symbols, len(lines), len(lines) - len(set(lines)), repeated, upper
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.llm import centroids, decontaminate, language_id, mixing, oracle, phrases, simhash, suffix_dedup, toxicity
 from martloom.llm.chat_format import conversation_digests, format_conversations
-from martloom.llm.quality_rules import apply_policy, ledger
+from martloom.llm.quality_rules import POLICIES, ablations, apply_policy, ledger
 from martloom.llm.sharding import sharded_documents
 from martloom.llm.tables import stored, table
 from martloom.llm.token_counts import token_counts
@@ -73,6 +75,13 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every rule does within each policy, from the bits of one stored ledger."""
+    bits = stored(ledger(table(spark, sf_dir, "documents")).select("fail_bits"), "quality-bits")
+    both = [ablations(bits, version).withColumn("policy", F.lit(version)) for version in sorted(POLICIES)]
+    return reduce(DataFrame.unionByName, both)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
@@ -105,11 +114,12 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_suffix_dedup, op2_simhash, op3_toxicity, op4_sharding, op5_mixing, op6_decontamination, op7_warc,
-        op8_quality_rules, op9_token_counts, op10_chat_format, op11_language_id, op12_collocations, op13_clusters,
+        op8_quality_rules, quality_ablations, op9_token_counts, op10_chat_format, op11_language_id, op12_collocations, op13_clusters,
     )
 }
 SQL = {
     "op5_mixing": mixing.mix_sql(), "op6_decontamination": decontaminate.SQL, "op7_warc": oracle.WARC,
-    "op8_quality_rules": oracle.QUALITY, "op10_chat_format": oracle.CHAT,
+    "op8_quality_rules": oracle.QUALITY, "quality_ablations": oracle.ABLATIONS,
+    "op10_chat_format": oracle.CHAT,
     "op12_collocations": phrases.SQL, "op13_clusters": centroids.clusters_sql(),
 }

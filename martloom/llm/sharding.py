@@ -83,7 +83,7 @@ def hypergeometric(population: Column, good: Column, draws: Column, *key: Column
         found = F.aggregate(
             tries, F.lit(None).cast("long"), lambda a, t: F.when(a.isNotNull(), a).otherwise(attempt(t))
         )
-        return F.coalesce(found, m)
+        return F.coalesce(found, F.raise_error(F.lit(f"no draw was accepted in {_TRIES} tries")).cast("long"))
 
     drawn = _let(mode, lambda m: _let(logp(m), lambda top: _let(F.exp(scale + top), lambda p: sampled(m, top, p))))
     return F.when(low == high, low).otherwise(drawn)
@@ -124,8 +124,9 @@ def communication_matrix(blocks: DataFrame, shards: int, seed: int = SEED) -> Da
     )
     rows = F.aggregate("blocks", begin, deal)["rows"]
     pairs = one.select(F.explode(F.arrays_zip(F.col("blocks").alias("b"), rows.alias("counts"))).alias("x"))
-    upto = F.transform(
-        ids, lambda j: F.aggregate(F.slice("counts", 1, j + 1), F.lit(0).cast("long"), lambda a, x: a + x)
+    upto = F.aggregate(
+        "counts", F.lit([]).cast("array<bigint>"),
+        lambda a, x: F.concat(a, F.array(F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0)) + x)),
     )
     return pairs.select(F.col("x.b.block").alias("block"), F.col("x.counts").alias("counts")).select(
         "block", upto.alias("upto")

@@ -29,7 +29,6 @@ from martloom.llm.tables import stored
 THRESHOLD = 0.3
 #: Labelled rows that the lexicon and the curve are fitted on, at most.
 FIT_ROWS = 20_000
-LEXICON_SIZE = 2_000
 SKETCH_WORDS = 16
 SHORTEST, LONGEST = 4, 12
 
@@ -206,8 +205,7 @@ def chosen_entries(rows: list[tuple[str, int, int]], n_toxic: int, n_clean: int)
         if shorter < weight - 1.5:
             weights[entry] = weight
     closed = _closed(weights, {entry: toxic for entry, _, toxic in rows})
-    heaviest = sorted(closed.items(), key=lambda x: (-x[1], x[0]))[:LEXICON_SIZE]
-    return dict(heaviest)
+    return dict(sorted(closed.items(), key=lambda x: (-x[1], x[0])))
 
 
 def _closed(weights: dict[str, float], toxic: dict[str, int]) -> dict[str, float]:

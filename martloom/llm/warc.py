@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 INDEX_SCHEMA = "file string, offset long, length long, url string, record_id string, record_type string, digest string"
@@ -64,12 +64,15 @@ def _urn(page_id: int | None) -> str:
 
 
 def _line(value: str | None) -> str:
-    """A header value on one line: control characters and '%' are percent-encoded."""
-    return re.sub(r"[%\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", value or "")
+    """A header value on one line: control characters and spaces, which no URI holds, are percent-encoded."""
+    return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", value or "")
 
 
-def _unline(value: str) -> str:
-    return re.sub(r"%([0-9A-F]{2})", lambda m: chr(int(m[1], 16)), value)
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its scheme: without one it belongs to the cluster's default file system, as Spark has it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    whole = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return re.sub(r"^file:/+", "file:///", whole)
 
 
 def record(page_id: int | None, url: str | None, html: str, digest: str, refers_to: int | None) -> bytes:
@@ -122,7 +125,7 @@ def write_archives(rows: DataFrame, folder: str, max_bytes: int = 256_000_000) -
     unlisted file behind. A file that reaches ``max_bytes`` is closed and the next one begun.
     """
     names = [x.split()[0] for x in INDEX_SCHEMA.split(", ")]
-    archives = f"{folder}/archives"
+    archives = _qualified(rows.sparkSession, f"{folder}/archives")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filesystem, path = _filesystem(archives)
@@ -161,7 +164,7 @@ def read_records(
     the payload read and checked against its header and index row; those of a revisit come from its
     headers. ``payloads=False`` leaves the payload out of the result.
     """
-    archives = f"{folder}/archives"
+    archives = _qualified(index.sparkSession, f"{folder}/archives")
     names = [x.split()[0] for x in RECORD_SCHEMA.split(", ")]
 
     def blocks(ranges: Iterator[tuple[str, int, int, str]]) -> Iterator[list[tuple[str, int, int, str]]]:
@@ -185,9 +188,9 @@ def read_records(
             size, seen = len(found["payload"]), hashlib.sha1(found["payload"]).hexdigest()
             if not seen == stated == digest:
                 raise ValueError(f"{name}: the payload at {offset} differs from its digest")
-        uri = fields.get("warc-target-uri")
+        uri = fields.get("warc-target-uri")  # as every reader finds it
         return (
-            name, offset, fields["warc-record-id"], fields["warc-type"], None if uri is None else _unline(uri),
+            name, offset, fields["warc-record-id"], fields["warc-type"], uri,
             fields.get("warc-refers-to"), stated, size,
             found["payload"].decode() if payloads and fields["warc-type"] == "response" else None,
         )

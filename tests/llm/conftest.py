@@ -15,7 +15,7 @@ LONG = "word " * 30_000
 ODD_TEXTS = [
     (1, None), (2, ""), (3, " \t\n\x0b\x0c\r "), (4, LONG), (4, LONG), (None, "orphan text of no id"), (None, None),
     (7, "Same Words Here"), (7, "same words here"), (8, "\x00 nul   and   noél \U0001f600 Á"), (9, "x" * 700),
-    (10, "x" * 450 + "tail"), (11, "one"), (12, "!!! ### $$$"), (-5, "same words here"),
+    (10, "x" * 450 + "tail"), (11, "one"), (12, "!!! ### $$$"), (-5, "same words here"), (13, "ⒶⒷⒸ ⒹⒺⒻ " * 30),
 ]
 
 

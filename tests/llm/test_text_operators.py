@@ -7,6 +7,7 @@ from collections import Counter
 from functools import cache
 
 import brute
+import duckdb
 import pytest
 from conftest import LONG, ODD_TEXTS
 from hypothesis import given, settings
@@ -14,6 +15,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from martloom.llm import chat_format as C
+from martloom.llm import oracle
 from martloom.llm import quality_rules as Q
 from martloom.llm import queries as llm_queries
 from martloom.llm import token_counts as T
@@ -39,6 +41,28 @@ def test_quality_of_odd_rows(rows_of):
     assert Q.ledger(rows_of([])).collect() == []
 
 
+def test_quality_sql_agrees_on_odd_rows(rows_of):
+    con = duckdb.connect()
+    odd = [(i, None if t is None else t.replace("\x00", "\x01")) for i, t in ODD_TEXTS]
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", odd)
+    got = Q.apply_policy(Q.ledger(rows_of(odd))).select(*MEASURED, "kept", "fail_bits")
+    want = con.execute(f"SELECT {', '.join(MEASURED)}, kept, fail_bits FROM ({oracle.QUALITY})").fetchall()
+    assert Counter(map(tuple, got.collect())) == Counter(want)
+
+
+def test_chat_sql_agrees_on_control_strings(spark):
+    marks = [C.OPEN, C.CLOSE, C.LINE, "<\\|", "<|", "|>", "\n", "plain"]
+    rows = [(i, 0, "user", f"a {m} b") for i, m in enumerate(marks)] + [(i + 50, 0, f"r{m}", f"{m}{m}") for i, m in enumerate(marks)]
+    rows += [(-1, 0, "user", CONFLICT), (-1, 1, "assistant", CONFLICT)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows[:-2])
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {tuple(r) for r in C.conversation_digests(C.format_conversations(df)).collect()}
+    assert got == set(con.execute(oracle.CHAT).fetchall())
+
+
 def test_rules_have_their_own_bits():
     assert [r.name for r in Q.rules()] == list(Q.BITS) and sorted(Q.BITS.values()) == list(range(len(Q.BITS)))
 
