@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.operators.intervals import interval_join
+from martloom.operators.intervals import aligned, interval_join
 
 WINDOW_DAYS = 30
 
@@ -39,6 +39,20 @@ def cost_by_product(
     )
 
 
+def aligned_cost_by_product(
+    usage: DataFrame, prices: DataFrame, as_of: Column, prorate: bool = False, bucket_days: int = 7, salts: int = 1
+) -> DataFrame:
+    """``cost_by_product`` by one sort of usage and prices; ``prorate`` splits usage at price changes."""
+    recent = usage.filter(since(F.col("usage_date"), as_of))
+    priced = aligned(
+        recent, prices, "sku_name", ("usage_start_time", "usage_end_time"), ("price_start_time", "price_end_time"),
+        "usage_quantity" if prorate else None, bucket_days, salts,
+    )
+    return priced.groupBy("billing_origin_product").agg(
+        F.round(F.sum(F.col("usage_quantity") * F.col("pricing.default")), 2).alias("custo_usd")
+    )
+
+
 def usage_by_tag(usage: DataFrame, tag: str, as_of: Column) -> DataFrame:
     return (
         usage.filter(since(F.col("usage_date"), as_of))

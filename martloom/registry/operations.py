@@ -358,6 +358,12 @@ def usage_cost_bucketed(c: Context):
     return usage.cost_by_product(_usage(c), _prices(c), _as_of(), bucket_days=7)
 
 
+@query("usage_cost_aligned", COST_SQL, ("bill",))
+def usage_cost_aligned(c: Context):
+    """The same costs by one sort of usage and prices, without range conditions."""
+    return usage.aligned_cost_by_product(_usage(c), _prices(c), _as_of(), salts=4)
+
+
 @query(
     "usage_by_tag",
     f"SELECT tag AS dominio, CAST(round(sum(usage_quantity), 4) AS DOUBLE) AS qtd FROM bill WHERE usage_date >= {SINCE_SQL} GROUP BY 1",
