@@ -19,7 +19,7 @@ from martloom.registry.core import QUERIES, Context, query
 from martloom.registry.oracle import GROSS, NET, RETURNS, as_double
 from martloom.session import scratch_dir
 from martloom.sinks.lake import Lake
-from martloom.sinks.relational import ANALYTIC_TABLES, MANIFEST, LakeTarget, publish, reconcile
+from martloom.sinks.relational import ANALYTIC_TABLES, MANIFEST, LakeTarget, publish, reconcile, reconcile_content
 
 def _grain_sql(table: str, relation: str, key: str) -> str:
     return (
@@ -401,6 +401,10 @@ def query_latency(c: Context):
     return usage.latency_by_user(_query_history(c), _as_of()).orderBy(F.desc("queries"), "executed_by")
 
 
+#: Gold tables with a key that is unique in the sample; its order lines repeat theirs.
+CONTENT_CHECKED = tuple(t for t in CONTRACTS if t not in ("fct_sales_details", "fct_sales_returns"))
+
+
 def _publish_all(c: Context, target: LakeTarget) -> dict[str, int]:
     """Gold first, each table composed once; the analytic tables read the gold just published."""
     analytic_names = {m.source for m in ANALYTIC_TABLES}
@@ -443,6 +447,27 @@ def export_reconcile(c: Context):
     return reconcile(c.spark, _publish_all(c, target), target)
 
 
+@query(
+    "export_content",
+    "SELECT 'gold.fct_finance' AS table_name, '{\"finance_key\":' || max(o_orderkey) || '}' AS key, 'changed' AS kind, CAST(1 AS BIGINT) AS source_rows,"
+    " CAST(1 AS BIGINT) AS target_rows FROM orders WHERE o_orderstatus IN ('F', 'O')"
+    " UNION ALL SELECT 'gold.dim_customer', '{\"customer_key\":' || max(c_custkey) || '}', 'missing', 1, 0 FROM customer"
+    " UNION ALL SELECT 'gold.dim_region', '{\"region_key\":99}', 'extra', 0, 1",
+)
+def export_content(c: Context):
+    """Gold is published, then a cent, a row and a stranger are slipped into the target; comparing content names all three."""
+    lake = Lake(c.spark, scratch_dir(c.spark, "content"))
+    target, entries = LakeTarget(lake), [m for m in MANIFEST if m.source in CONTENT_CHECKED]
+    publish(c.gold, target, entries)
+    ledger, customers, regions = (lake.read("gold", t) for t in ("fct_finance", "dim_customer", "dim_region"))
+    newest = ledger.agg(F.max("finance_key")).scalar()
+    cent = F.when(F.col("finance_key") == newest, F.lit("0.01").cast("decimal(18,4)")).otherwise(F.lit(0).cast("decimal(18,4)"))
+    lake.replace(ledger.withColumn("amount", (F.col("amount") + cent).cast("decimal(18,4)")), "gold", "fct_finance")
+    lake.replace(customers.filter(F.col("customer_key") < customers.agg(F.max("customer_key")).scalar()), "gold", "dim_customer")
+    lake.replace(regions.unionByName(regions.limit(1).withColumn("region_key", F.lit(99).cast("long"))), "gold", "dim_region")
+    return reconcile_content(c.gold, target, entries)
+
+
 DOMAIN_TABLES = {
     "comercial": "dim_calendar dim_customer dim_geography dim_product dim_region fct_product_cost_history fct_sales_details fct_sales_returns",
     "financeiro": "dim_account dim_account_header dim_calendar dim_department_group dim_geography dim_organization dim_region fct_finance"

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 from typing import Protocol
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from martloom.operators.digests import content_differences
 from martloom.plans.contracts import CONTRACTS
 from martloom.sinks.lake import Lake
 from martloom.sources.jdbc import read_table
@@ -123,6 +125,21 @@ def reconcile(spark: SparkSession, written: Mapping[str, int], target: Target) -
     return result.withColumn("status", status).orderBy("status", "table_name")
 
 
+def reconcile_content(
+    table: Callable[[str], DataFrame], target: Target, manifest: Iterable[Publication] = MANIFEST
+) -> DataFrame:
+    """Every key whose published rows differ from the source: table, key as JSON, kind, and rows on either side."""
+    parts = []
+    for entry in manifest:
+        found = content_differences(table(entry.source), target.read(entry.destination), entry.primary_key)
+        parts.append(found.select(
+            F.lit(entry.destination).alias("table_name"),
+            F.to_json(F.struct(*entry.primary_key), {"ignoreNullFields": "false"}).alias("key"),
+            "kind", "source_rows", "target_rows",
+        ))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def manifest_rows(
     spark: SparkSession, manifest: Iterable[Publication] = MANIFEST
 ) -> DataFrame:
