@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from martloom.operators.conform import conform_keyed, keep_latest, key_columns
 from martloom.operators.quality import marked
@@ -20,14 +21,15 @@ from martloom.plans import gold
 from martloom.plans.contracts import CONTRACTS
 from martloom.plans.mart import Mart
 from martloom.plans.refresh import (
-    FACTS, FOLDER, ORDERS_PER_FOLDER, _each, gold_layout, refresh_analytics, refresh_gold, silver_layout, silver_note,
+    ANALYTICS, FACTS, FOLDER, ORDERS_PER_FOLDER, HeldBack, gold_layout, refresh_analytic, refresh_gold, run_when_ready,
+    silver_layout, silver_note,
 )
 from martloom.plans.silver import SPECS
 from martloom.sinks.lake import Lake
 from martloom.sinks.versions import Version, VersionedTable, value_of
 
 STAMPS = ("_silver_loaded_at", "_gold_loaded_at")
-REPORT = "layer string, table_name string, outcome string, folders long, rewritten long"
+REPORT = "layer string, table_name string, outcome string, folders long, rewritten long, message string"
 
 
 @dataclass(frozen=True)
@@ -189,15 +191,38 @@ def merge_gold(lake: Lake, table: str) -> Outcome:
 
 
 def refresh_incrementally(lake: Lake, analytics: bool = True) -> DataFrame:
-    """Silver, gold and analytic tables up to what bronze holds now; returns a row per silver and gold table.
+    """Silver, gold and analytic tables up to what bronze holds now; returns a row per table.
 
     The result equals ``refresh``, the times of loading aside. A table whose bronze rows were replaced, or whose
-    marks name a version that has expired, is rebuilt.
+    marks name a version that has expired, is rebuilt. A table begins as soon as those it reads are done. One that
+    fails stops only the tables made of it: the report has it as ``failed`` with the message and these as ``held back``;
+    the next run takes up what is missing, since every table knows what it covers.
     """
-    outcomes: list[Outcome] = []
-    _each(SPECS, lambda t: outcomes.append(merge_silver(lake, t)))
-    _each(CONTRACTS, lambda t: outcomes.append(merge_gold(lake, t)))
-    if analytics and any(o.outcome != "unchanged" for o in outcomes):
-        refresh_analytics(lake)
-    rows = sorted((o.layer, o.table, o.outcome, o.folders, o.rewritten) for o in outcomes)
-    return lake.spark.createDataFrame(rows, REPORT)
+    steps: dict[str, tuple[list[str], object]] = {f"silver.{t}": ([], lambda t=t: merge_silver(lake, t)) for t in SPECS}
+    for t in CONTRACTS:
+        steps[f"gold.{t}"] = ([f"silver.{s}" for s in Mart.sources(t)], lambda t=t: merge_gold(lake, t))
+    for t, sources in ANALYTICS.items() if analytics else ():
+        after = [f"ml.{s}" if s in ANALYTICS else f"gold.{s}" for s in sources]
+        steps[f"ml.{t}"] = (after, lambda t=t: _merge_analytic(lake, t))
+    rows = []
+    for name, result in run_when_ready(steps).items():
+        layer, table = name.split(".")
+        if isinstance(result, Exception):
+            outcome = "held back" if isinstance(result, HeldBack) else "failed"
+            rows.append((layer, table, outcome, None, None, f"{type(result).__name__}: {result}".splitlines()[0][:500]))
+        else:
+            rows.append((layer, table, result.outcome, result.folders, result.rewritten, None))
+    return lake.spark.createDataFrame(sorted(rows, key=lambda r: r[:2]), REPORT)
+
+
+def _merge_analytic(lake: Lake, name: str) -> Outcome:
+    """An analytic table made anew if what it reads has changed since."""
+    read = {t: lake.table("semantic" if t in ANALYTICS else "gold", t).version().number for t in ANALYTICS[name]}
+    layer = "semantic" if name == "dim_customer_rfm" else "ml"
+    mark = lake.table("_ops", f"analytic_{name}")
+    seen = mark.version()
+    if seen is not None and seen.note.get("read") == read and lake.exists(layer, name):
+        return Outcome("ml", name, "unchanged", 1, 0)
+    refresh_analytic(lake, name)
+    mark.commit(seen, Version(-1, StructType([]), None, (), {}, {"read": read}))
+    return Outcome("ml", name, "rebuilt", 1, 1)

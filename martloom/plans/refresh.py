@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -57,6 +57,41 @@ def _each(tables: Iterable[str], refresh_one: Callable[[str], object]) -> None:
         list(pool.map(refresh_one, tables))
 
 
+def run_when_ready(
+    steps: Mapping[str, tuple[Iterable[str], Callable[[], object]]], parallel: int = PARALLEL_TABLES
+) -> dict[str, object]:
+    """Run each step once those it names are done, several side by side; results by name.
+
+    A step that fails has its exception as its result, and so has every step after it, which never runs;
+    all others finish.
+    """
+    results: dict[str, object] = {}
+    waiting = {name: set(after) for name, (after, _) in steps.items()}
+    unknown = set().union(*waiting.values()) - set(steps) if waiting else set()
+    if unknown:
+        raise ValueError(f"no step is called {', '.join(sorted(unknown))}")
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        running: dict[Future, str] = {}
+        while waiting or running:
+            for name in [n for n, after in waiting.items() if after <= set(results)]:
+                faults = [results[a] for a in sorted(waiting.pop(name)) if isinstance(results[a], Exception)]
+                if faults:
+                    results[name] = HeldBack(str(faults[0]))
+                else:
+                    running[pool.submit(steps[name][1])] = name
+            if not running and waiting and not any(after <= set(results) for after in waiting.values()):
+                raise ValueError(f"steps wait for each other: {', '.join(sorted(waiting))}")
+            done, _ = wait(running, return_when=FIRST_COMPLETED) if running else ((), ())
+            for future in done:
+                fault = future.exception()
+                results[running.pop(future)] = future.result() if fault is None else fault
+    return results
+
+
+class HeldBack(RuntimeError):
+    """A step that did not run because one before it failed."""
+
+
 SILVER_REPORT = "table_name string, kind string, name string, action string, n long"
 
 
@@ -100,10 +135,6 @@ def refresh_silver(lake: Lake) -> DataFrame:
     return lake.replace(report, "_ops", "silver_report")
 
 
-def silver_versions(lake: Lake) -> dict[str, int]:
-    return {t: lake.table("silver", t).version().number for t in SPECS}
-
-
 def gold_layout(table: str, rows: DataFrame) -> tuple[DataFrame, str | None, str | None]:
     if table not in FACTS:
         return rows, None, None
@@ -113,7 +144,8 @@ def gold_layout(table: str, rows: DataFrame) -> tuple[DataFrame, str | None, str
 
 def refresh_gold(lake: Lake, tables: Iterable[str] = tuple(CONTRACTS)) -> None:
     """Store gold tables as a whole, each from one version of silver that it remembers."""
-    versions = silver_versions(lake)
+    tables = list(tables)
+    versions = {s: lake.table("silver", s).version().number for s in {s for t in tables for s in Mart.sources(t)}}
     mart = Mart(lambda t: lake.read("silver", t, versions[t]), loaded_at=F.current_timestamp())
 
     def one(table: str) -> None:
@@ -136,6 +168,15 @@ def stored_mart(lake: Lake) -> Mart:
     )
 
 
+#: What each analytic table is made of.
+ANALYTICS = {
+    "dim_customer_rfm": ("fct_sales_details",),
+    "reco_customer_actions": ("dim_customer_rfm",),
+    "pvm_drivers": ("fct_sales_details", "dim_product"),
+    "forecast_sales": ("fct_sales_details",),
+}
+
+
 def analytic_tables(mart: Mart) -> dict[str, DataFrame]:
     """The analytic tables by name, composed from gold."""
     sales = mart.gold("fct_sales_details")
@@ -148,14 +189,24 @@ def analytic_tables(mart: Mart) -> dict[str, DataFrame]:
     }
 
 
+def refresh_analytic(lake: Lake, name: str) -> None:
+    """Store one analytic table; the actions read the stored scores."""
+    if name == "dim_customer_rfm":
+        lake.replace(rfm.customer_rfm(stored_mart(lake).gold("fct_sales_details")), "semantic", name)
+        return
+    if name == "reco_customer_actions":
+        rows = rfm.customer_actions(lake.read("semantic", "dim_customer_rfm"))
+    else:
+        rows = analytic_tables(stored_mart(lake))[name]
+    lake.replace(rows.withColumn("_generated_at", F.current_timestamp()), "ml", name)
+
+
 def refresh_analytics(lake: Lake) -> None:
-    """RFM is stored first and the actions read the stored scores."""
-    mart = stored_mart(lake)
-    tables = analytic_tables(mart)
-    scores = lake.replace(tables.pop("dim_customer_rfm"), "semantic", "dim_customer_rfm")
-    tables["reco_customer_actions"] = rfm.customer_actions(scores)
-    for name, df in tables.items():
-        lake.replace(df.withColumn("_generated_at", F.current_timestamp()), "ml", name)
+    """Every analytic table once what it reads is stored."""
+    steps = {n: ([a for a in after if a in ANALYTICS], lambda n=n: refresh_analytic(lake, n)) for n, after in ANALYTICS.items()}
+    for fault in run_when_ready(steps).values():
+        if isinstance(fault, Exception):
+            raise fault
 
 
 def refresh(lake: Lake) -> DataFrame:

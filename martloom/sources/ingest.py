@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from martloom.sinks.lake import BRONZE, Lake
 from martloom.sinks.versions import Version
+from martloom.sources.landing import listed_files
 from martloom.streaming.drift import RESCUED, alike, landed_rows, remembered
-from martloom.streaming.file_stream import load_new_files, one_form, store_schema, stored_schema
+from martloom.streaming.file_stream import load_new_files, store_schema, stored_schema
 
 REPORT_SCHEMA = (
     "source_table string, load_type string, ingestion_mode string, status string, "
@@ -30,7 +31,9 @@ def full_load(lake: Lake, table: str, source: str) -> None:
     The rows and the list of their files are written first; the new version then makes both count at once. An
     incremental load that follows adds only files that land later.
     """
-    names = _landed_files(lake, source)
+    names = [r["file"] for r in listed_files(lake.spark, source).orderBy("file").collect()]
+    if not names:
+        raise FileNotFoundError(f"no Parquet file in {source}")
     runs = alike(lake.spark, names)
     schema = remembered(None, runs)
     landed = landed_rows(lake.spark, runs, schema)
@@ -38,7 +41,7 @@ def full_load(lake: Lake, table: str, source: str) -> None:
     parent = stored.version()
     made = stored.write(landed, folder=load)
     files = lake.spark.createDataFrame([(f,) for f in names], "file string")
-    files.select(one_form("file").alias("file")).coalesce(1).write.mode("overwrite").parquet(f"{lake.ledger(table)}/load={load}")
+    files.coalesce(1).write.mode("overwrite").parquet(f"{lake.ledger(table)}/load={load}")
     store_schema(lake.spark, lake.schema_location(table), schema)
     stored.commit(parent, Version(-1, schema, None, made.parts, {}, {"loads": True, "generation": load}))
 
@@ -49,20 +52,13 @@ def reload(lake: Lake, table: str, source: str) -> int:
     return stored_rows(lake, table)
 
 
-def _landed_files(lake: Lake, source: str) -> list[str]:
-    """Names from the listing of the folder; no file is opened."""
-    return list(lake.spark.read.schema("_none int").parquet(source).inputFiles())
-
-
 def _unseen_files(lake: Lake, table: str, source: str) -> list[str]:
-    """Landed files that no load of the table's version lists."""
-    landed = _landed_files(lake, source)
-    if not lake.has_load_history(table):
-        return landed
-    known = lake.spark.read.schema("file string, load string").parquet(lake.ledger(table))
-    known = known.filter(F.col("load").isin(*lake.loads(table))).select("file")
-    names = lake.spark.createDataFrame([(f,) for f in landed], "file string")
-    return [r["file"] for r in names.join(known, one_form(names["file"]) == known["file"], "left_anti").collect()]
+    """Landed files that no load of the table's version lists. Only their names come to the driver."""
+    landed = listed_files(lake.spark, source).select("file")
+    if lake.has_load_history(table):
+        known = lake.spark.read.schema("file string, load string").parquet(lake.ledger(table))
+        landed = landed.join(known.filter(F.col("load").isin(*lake.loads(table))), "file", "left_anti")
+    return [r["file"] for r in landed.orderBy("file").collect()]
 
 
 def _incremental(lake: Lake, table: str, source: str, reset: bool) -> tuple[int, int]:

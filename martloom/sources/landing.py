@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from datetime import date
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,19 +51,32 @@ def _listed(spark: SparkSession, pattern: str, recursive: bool) -> list[tuple[st
     return found
 
 
+def listed_files(spark: SparkSession, path: str) -> DataFrame:
+    """``file, file_bytes`` of the Parquet files below a folder or pattern, from Spark's own listing.
+
+    Many folders are listed by tasks side by side, no file is opened, and no name passes through Python.
+    """
+    try:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
+    except AnalysisException as fault:
+        if fault.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "file string, file_bytes long")
+    return files.select(one_form(F.col("path")).alias("file"), F.col("length").alias("file_bytes"))
+
+
 def landing_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per Parquet file below a folder: path, name, bytes, rows. A file without rows counts 0."""
-    listed = [(p, p.rsplit("/", 1)[-1], n) for p, n in _listed(spark, path, True) if p.endswith(".parquet")]
-    files = spark.createDataFrame(listed, "file_path string, file_name string, file_bytes long")
-    if not listed:
-        return files.withColumn("file_rows", F.lit(0).cast("long"))
-    rows = (
-        spark.read.parquet(*[p for p, _, _ in listed])
-        .groupBy(one_form(F.col("_metadata.file_path")).alias("_path"))
-        .agg(F.count(F.lit(1)).alias("file_rows"))
-    )
-    return files.join(rows, one_form(F.col("file_path")) == F.col("_path"), "left").select(
-        "file_path", "file_name", "file_bytes", F.coalesce("file_rows", F.lit(0)).alias("file_rows")
+    files = listed_files(spark, path)
+    if files.isEmpty():
+        rows = spark.createDataFrame([], "file string, file_rows long")
+    else:
+        reader = spark.read.schema("_none int").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+        found = reader.parquet(path).groupBy(one_form(F.col("_metadata.file_path")).alias("file"))
+        rows = found.agg(F.count(F.lit(1)).alias("file_rows"))
+    return files.join(rows, "file", "left").select(
+        F.col("file").alias("file_path"), F.element_at(F.split("file", "/"), -1).alias("file_name"), "file_bytes",
+        F.coalesce("file_rows", F.lit(0)).alias("file_rows"),
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from martloom.plans import incremental, refresh
 from martloom.plans.contracts import CONTRACTS
 from martloom.plans.incremental import STAMPS, changed_keys, merge_silver, refresh_incrementally, replace_keys
+from martloom.plans.refresh import HeldBack, run_when_ready
 from martloom.plans.silver import SPECS
 from martloom.sinks.lake import Lake
 from martloom.sinks.versions import VersionedTable
@@ -115,11 +116,22 @@ def test_a_refresh_cut_short_is_continued(spark, sample, tmp_path, monkeypatch):
     report_of(lake)
     for table in SPECS:
         land(lake, table, sample.bronze(table).filter("id % 4 = 3"), "load-1")
+    merge = incremental.merge_gold
+
+    def failing(lake, table):
+        if table == "fct_sales_details":
+            raise OSError("power")
+        return merge(lake, table)
+
     with monkeypatch.context() as m:
-        m.setattr(incremental, "merge_gold", lambda *_: (_ for _ in ()).throw(OSError("power")))
-        with pytest.raises(OSError):
-            refresh_incrementally(lake)
+        m.setattr(incremental, "merge_gold", failing)
+        report = {(r.layer, r.table_name): r for r in refresh_incrementally(lake).collect()}
+    failed = report["gold", "fct_sales_details"]
+    assert failed.outcome == "failed" and "power" in failed.message
+    assert report["gold", "fct_finance"].outcome == "merged" and report["gold", "dim_customer"].outcome == "rebuilt"
+    assert {report["ml", t].outcome for t in refresh.ANALYTICS} == {"held back"}
     report = report_of(lake)
+    assert {t for (layer, t), r in report.items() if r.outcome != "unchanged"} == {"fct_sales_details"}
     assert {r.outcome for (layer, _), r in report.items() if layer == "silver"} == {"unchanged"}
     whole = Lake(spark, str(tmp_path / "whole"))
     for table in SPECS:
@@ -147,3 +159,18 @@ def test_changed_keys_of_two_versions(spark, tmp_path):
     assert {r.k for r in changed_keys(table, first, second, ["k"]).collect()} == {2, None}
     assert sorted(map(str, table.read().collect())) == sorted(map(str, spark.createDataFrame(
         [(1, "a", 0), (2, "B", 1), (3, "c", 1), (None, "e", 0)], "k long, v string, _folder int").collect()))
+
+
+def test_steps_run_once_those_before_them_are_done():
+    done = []
+    step = lambda name, *after: (name, (after, lambda: done.append(name) or name))
+    results = run_when_ready(dict([step("d", "b", "c"), step("b", "a"), step("c", "a"), step("a"), step("e")]))
+    assert set(results) == set(done) == set("abcde") and done.index("a") < min(done.index("b"), done.index("c")) and done.index("d") > max(done.index("b"), done.index("c"))
+    failing = {"a": ((), lambda: 1 / 0), "b": (("a",), lambda: 1), "c": (("b",), lambda: 1), "d": ((), lambda: 2)}
+    results = run_when_ready(failing)
+    assert results["d"] == 2 and isinstance(results["a"], ZeroDivisionError)
+    assert isinstance(results["b"], HeldBack) and isinstance(results["c"], HeldBack)
+    with pytest.raises(ValueError, match="each other"):
+        run_when_ready({"a": (("b",), lambda: 1), "b": (("a",), lambda: 1)})
+    with pytest.raises(ValueError, match="no step"):
+        run_when_ready({"a": (("x",), lambda: 1)})
