@@ -93,14 +93,16 @@ class Lake:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         properties = ", ".join(f"'{k}' = '{v}'" for k, v in sorted((tags or {}).items()))
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in version.schema.fields)
+        quoted = lambda text: "'" + text.replace("'", "\\'") + "'"
+        about = lambda f: f" COMMENT {quoted(f.metadata['comment'])}" if f.metadata.get("comment") else ""
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}{about(f)}" for f in version.schema.fields)
         self.spark.sql(
             f"CREATE TABLE {name} ({columns}) USING parquet"
             + (f" PARTITIONED BY (`{by}`) LOCATION '{data}'" if by else f" LOCATION '{data}/{version.parts[0]}'")
-            + (" COMMENT '" + comment.replace("'", "\\'") + "'" if comment else "")
+            + (f" COMMENT {quoted(comment)}" if comment else "")
             + (f" TBLPROPERTIES ({properties})" if properties else "")
         )
         for part in version.parts if by else ():
             value = value_of(part)
-            literal = "NULL" if value is None else "'" + value.replace("'", "\\'") + "'"
+            literal = "NULL" if value is None else quoted(value)
             self.spark.sql(f"ALTER TABLE {name} ADD PARTITION (`{by}` = {literal}) LOCATION '{data}/{part}'")
