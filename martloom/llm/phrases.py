@@ -1,37 +1,44 @@
-"""Collocations by Toivonen's mining: a sample proposes, a full pass counts proposals and their border.
-
-A sample of the pieces (every fourth by hash, so it grows with the corpus) is mined level by level at a
-lowered support. One pass over everything then counts, exactly, each phrase whose two parts one word shorter
-were both proposed: these are the proposals and their negative border. A border phrase that turns out
-frequent is a failure of the sample; it joins the proposals, and a further pass counts only what thereby came
-into reach, until no failure is left. Then every frequent phrase has been counted, whatever the sample held.
-
-Proposals are held in a bit filter of fixed size, so what travels to the tasks does not grow with the corpus.
-A phrase the filter takes for proposed by mistake is merely counted too; results do not depend on it.
+"""Collocations by Toivonen's mining: a sample proposes, full passes count proposals and their border.
+
+A sample of the pieces (every eighth by hash, so it grows with the corpus) is mined level by level at a
+lowered support. The full count then covers each phrase whose two parts one word shorter were both proposed:
+these are the proposals and their negative border. A border phrase that turns out frequent is a failure of the
+sample; it joins the proposals, and a further pass counts only what thereby came into reach, until no failure is
+left. Then every frequent phrase has been counted, whatever the sample held.
+
+Most of the border is rare, so the full count first adds up 64-bit hashes in place of spelled phrases. A hash
+that stays below the support proves its phrases infrequent (phrases that share a hash only raise its sum); all
+others are counted exactly, as spelled, over the whole corpus. Proposals and such hashes are held in bit filters of
+fixed size, so what travels to the tasks does not grow with the corpus. A phrase that a filter holds by mistake is
+merely counted too; no result depends on it.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martloom.llm.tables import LOWER, UPPER, stored
 
 LEAST, LONGEST, TOP = 30, 4, 2000
 #: One piece in so many is sampled, and mined at this part of the support expected there.
-SAMPLE, SLACK = 4, 0.5
+SAMPLE, SLACK = 8, 0.5
 #: Bits of the filter (16 MB).
 FILTER_BITS = 1 << 27
+#: Rows sent at once to the JVM, which holds a batch as a whole.
+BATCH = 20_000
+#: Rows that a task adds up before it sends them.
+PACKED = 1 << 20
 #: Bytes of text counted at once; longer stretches are cut between pieces.
-CHUNK = 4 << 20
+CHUNK = 1 << 19
 
 ROWS = "lang string, n int, phrase string, h long, known boolean, f long"
 
@@ -74,6 +81,17 @@ def _cuts(breaks: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
         low = high
 
 
+def _slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """Consecutive texts of about ``CHUNK`` bytes together (or one longer text), each slice with its first index."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    low = 0
+    while low < len(texts):
+        limit = (ends[low - 1] if low else 0) + CHUNK
+        high = max(low + 1, int(np.searchsorted(ends, limit, "right")))
+        yield low, texts.slice(low, high - low)
+        low = high
+
+
 def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The texts one after the other, each followed by a line break; and where each ends."""
     texts = texts.cast(pa.large_string())
@@ -92,7 +110,21 @@ def _words(text: np.ndarray, kind: np.ndarray) -> tuple[pa.Array, np.ndarray, np
     lengths = np.flatnonzero(edge == -1) - starts
     ends = np.concatenate([[0], np.cumsum(lengths)])
     words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(text[inside]))
-    return words, starts, np.cumsum(kind == 2)[starts]
+    return words, starts, np.searchsorted(np.flatnonzero(kind == 2), starts)
+
+
+def _hashes(words: pa.Array, seeds: np.ndarray) -> np.ndarray:
+    """64 bits per word: its bytes as digits of a polynomial, mixed with a seed per word."""
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    words = words.cast(pa.large_binary())
+    _, ends, values = words.buffers()
+    ends = np.frombuffer(ends, np.int64)[words.offset : words.offset + len(words) + 1]
+    digits = np.frombuffer(values, np.uint8)[ends[0] : ends[-1]].astype(np.uint64) + np.uint64(1)
+    starts, lengths = ends[:-1] - ends[0], np.diff(ends)
+    powers = np.cumprod(np.full(int(lengths.max()), _MIX1, np.uint64))
+    digits *= powers[np.arange(len(digits)) - np.repeat(starts, lengths)]
+    return _mixed(np.add.reduceat(digits, starts) + seeds)
 
 
 def _distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -101,32 +133,44 @@ def _distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return encoded.dictionary.to_numpy(), encoded.indices.to_numpy().astype(np.int64)
 
 
-def _counted(
+def _unpacked(sent: Broadcast) -> Filter:
+    return Filter(np.frombuffer(zlib.decompress(sent.value), np.uint8))
+
+
+@dataclass
+class Level:
+    """The distinct phrases of ``n`` words in a stretch: language, indexes of the words, hash, whether the filter
+    has it, occurrences, and whether it came into reach."""
+
+    n: int
+    lang: np.ndarray
+    spelling: np.ndarray
+    h: np.ndarray
+    known: np.ndarray
+    count: np.ndarray
+    wanted: np.ndarray
+
+
+def _levels(
     words: pa.Array, langs: np.ndarray, piece: np.ndarray, names: list[str], new: Filter, old: Filter | None
-) -> Iterator[pa.RecordBatch]:
-    """Counts in one stretch of the phrases within reach of ``new`` but not of ``old``.
+) -> Iterator[tuple[pa.Array, Level]]:
+    """Phrases by length within reach of ``new``, with the distinct words that their indexes mean.
 
-    Words are within reach of any filter, longer phrases where it has both parts one word shorter. ``old``
-    None: nothing was. ``langs`` numbers ``names`` per word. Codes of phrases are exact within a stretch.
+    Words are within reach of any filter, longer phrases where it has both parts one word shorter; wanted are those
+    that were not within reach of ``old`` (None: nothing was). Codes of phrases are exact within a stretch.
     """
     encoded = words.dictionary_encode()
     spelled = encoded.dictionary
     codes, gram = _distinct(langs * len(spelled) + encoded.indices.to_numpy())
     lang, word = codes // max(1, len(spelled)), codes % max(1, len(spelled))
-    seeds = [xxhash.xxh64_intdigest(x) for x in names]
-    as_bytes = spelled.cast(pa.large_binary()).to_pylist()
-    h = np.array([xxhash.xxh64_intdigest(as_bytes[w], seeds[i]) for i, w in zip(lang.tolist(), word.tolist())], np.uint64)
+    seeds = _hashes(pa.array([f"{name}/" for name in names], pa.large_string()), np.zeros(len(names), np.uint64))
+    h = _hashes(spelled, np.zeros(len(spelled), np.uint64))[word]
+    h = _mixed(h + seeds[lang])
     spelling, last, at = word[:, None], h, np.arange(len(gram))
     wanted = np.full(len(codes), old is None)
     for n in range(1, LONGEST + 1):
-        known, count = new.has(h), np.bincount(gram, minlength=len(codes))
-        if wanted.any():
-            parts = [spelled.take(pa.array(spelling[wanted, j])) for j in range(n)]
-            phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if n > 1 else parts[0]
-            yield _rows(
-                pa.array(names).take(pa.array(lang[wanted])), n, phrase.cast(pa.string()), h[wanted], known[wanted],
-                count[wanted],
-            )
+        known = new.has(h)
+        yield spelled, Level(n, lang, spelling, h, known, np.bincount(gram, minlength=len(codes)), wanted)
         if n == LONGEST:
             return
         before = old.has(h) if old else np.zeros(len(h), bool)
@@ -143,6 +187,60 @@ def _counted(
         at, gram = at[on], joined
 
 
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, list[str]]]:
+    """Stretches of text that hold a word: their words, language and piece of each, and language names."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        encoded = batch.column("lang").dictionary_encode()
+        names, of_text = encoded.dictionary.to_pylist(), encoded.indices.to_numpy().astype(np.int64)
+        for first, some in _slices(batch.column("text")):
+            text, ends = _bytes(some)
+            for low, high in _cuts(np.flatnonzero(_KIND[text] == 2), len(text)):
+                part = _LOWERED[text[low:high]]
+                words, starts, piece = _words(part, _KIND[part])
+                if len(words):
+                    yield words, of_text[first + np.searchsorted(ends, starts + low)], piece, names
+
+
+def _added_up(h: np.ndarray, f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes in order, and the sum of each."""
+    order = np.argsort(h)
+    h, f = h[order], f[order]
+    starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+    return h[starts], np.add.reduceat(f, starts) if len(h) else f
+
+
+def _hash_counts(batches: Iterator[pa.RecordBatch], new: Broadcast, old: Broadcast | None) -> Iterator[pa.RecordBatch]:
+    """Hashes within reach and their counts, added up over many stretches."""
+    now, before = _unpacked(new), _unpacked(old) if old else None
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def added() -> Iterator[pa.RecordBatch]:
+        h, f = _added_up(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]))
+        rows = pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(f)], names=["h", "f"])
+        for first in range(0, rows.num_rows, BATCH):
+            yield rows.slice(first, BATCH)
+
+    size = 0
+    for words, langs, piece, names in _stretches(batches):
+        for _, level in _levels(words, langs, piece, names, now, before):
+            if level.wanted.any():
+                held.append((level.h[level.wanted], level.count[level.wanted]))
+                size += len(held[-1][0])
+        if size >= PACKED:
+            yield from added()
+            held, size = [], 0
+    if held:
+        yield from added()
+
+
+def _likely_hashes(texts: DataFrame, new: Broadcast, old: Broadcast | None, least: int) -> DataFrame:
+    """``h``: hashes of all phrases that came into reach and occur ``least`` times, and few others."""
+    counts = texts.mapInArrow(lambda b: _hash_counts(b, new, old), "h long, f long")
+    return counts.groupBy("h").agg(F.sum("f").alias("f")).filter(F.col("f") >= least).select("h")
+
+
 def _rows(langs: pa.Array, n: int, phrases: pa.Array, h: np.ndarray, known: np.ndarray, f: np.ndarray) -> pa.RecordBatch:
     columns = [
         langs, pa.array(np.full(len(f), n, np.int32)), phrases, pa.array(h.view(np.int64)), pa.array(known),
@@ -151,26 +249,47 @@ def _rows(langs: pa.Array, n: int, phrases: pa.Array, h: np.ndarray, known: np.n
     return pa.RecordBatch.from_arrays(columns, names=["lang", "n", "phrase", "h", "known", "f"])
 
 
-def _count_pass(batches: Iterator[pa.RecordBatch], new: Broadcast, old: Broadcast | None) -> Iterator[pa.RecordBatch]:
-    """The counts of every stretch; with the first pass, rows of no words hold the number of words."""
-    now, before = Filter(new.value), Filter(old.value) if old else None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        encoded = batch.column("lang").dictionary_encode()
-        names, of_text = encoded.dictionary.to_pylist(), encoded.indices.to_numpy().astype(np.int64)
-        text, ends = _bytes(batch.column("text"))
-        for low, high in _cuts(np.flatnonzero(_KIND[text] == 2), len(text)):
-            part = _LOWERED[text[low:high]]
-            words, starts, piece = _words(part, _KIND[part])
-            if not len(words):
+def _sent(spark: SparkSession, bits: np.ndarray) -> Broadcast:
+    """The filter to every task: its fixed size at most, far less while it is sparse."""
+    return spark.sparkContext.broadcast(zlib.compress(bits, 1))
+
+
+def _rows_added_up(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of the same phrase added up, in batches of bounded size."""
+    keys = ["lang", "n", "phrase", "h", "known"]
+    total = pa.Table.from_batches(held).group_by(keys).aggregate([("f", "sum")])
+    yield from total.select([*keys, "f_sum"]).rename_columns([*keys, "f"]).combine_chunks().to_batches(BATCH)
+
+
+def _count_pass(
+    batches: Iterator[pa.RecordBatch], new: Broadcast, old: Broadcast | None, likely: Broadcast | None
+) -> Iterator[pa.RecordBatch]:
+    """Counts of every stretch as spelled; with the first pass, rows of no words hold the number of words.
+
+    ``likely`` (None: all) has the hashes of phrases that may be frequent.
+    """
+    now, before, some = _unpacked(new), _unpacked(old) if old else None, _unpacked(likely) if likely else None
+    held, size = [], 0
+    for words, langs, piece, names in _stretches(batches):
+        if before is None:
+            total, none = np.bincount(langs, minlength=len(names)), np.zeros(len(names), np.int64)
+            held.append(_rows(pa.array(names), 0, pa.array([""] * len(names)), none, none == 1, total))
+        for spelled, level in _levels(words, langs, piece, names, now, before):
+            mine = level.wanted & some.has(level.h) if some else level.wanted
+            if not mine.any():
                 continue
-            langs = of_text[np.searchsorted(ends, starts + low)]
-            if before is None:
-                total = np.bincount(langs, minlength=len(names))
-                none = np.zeros(len(names))
-                yield _rows(pa.array(names), 0, pa.array([""] * len(names)), none.astype(np.int64), none.astype(bool), total)
-            yield from _counted(words, langs, piece, names, now, before)
+            parts = [spelled.take(pa.array(level.spelling[mine, j])) for j in range(level.n)]
+            phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if level.n > 1 else parts[0]
+            held.append(_rows(
+                pa.array(names).take(pa.array(level.lang[mine])), level.n, phrase.cast(pa.string()), level.h[mine],
+                level.known[mine], level.count[mine],
+            ))
+            size += held[-1].num_rows
+        if size >= PACKED // 4:
+            yield from _rows_added_up(held)
+            held, size = [], 0
+    if held:
+        yield from _rows_added_up(held)
 
 
 def _sampled(batches: Iterator[pa.RecordBatch], one_in: int) -> Iterator[pa.RecordBatch]:
@@ -178,18 +297,20 @@ def _sampled(batches: Iterator[pa.RecordBatch], one_in: int) -> Iterator[pa.Reco
     for batch in batches:
         if not batch.num_rows:
             continue
-        text, ends = _bytes(batch.column("text"))
-        closes = np.flatnonzero(_KIND[text] == 2)  # ends of pieces; the last of a text is its added line break
-        of_text = np.searchsorted(ends, closes)
-        first = np.searchsorted(closes, np.concatenate([[0], ends[:-1] + 1]))
-        number = (np.arange(len(closes)) - first[of_text]).astype(np.uint64)
-        key = batch.column("key").to_numpy().view(np.uint64)[of_text]
-        drawn = _mixed(key + number * _GOLDEN) % np.uint64(one_in) == 0
-        lengths = np.diff(np.concatenate([[-1], closes]))
-        kept = text[np.repeat(drawn, lengths)].tobytes()
-        taken = np.concatenate([[0], np.cumsum(np.bincount(of_text, np.where(drawn, lengths, 0), len(ends)))]).astype(np.int64)
-        out = pa.LargeStringArray.from_buffers(len(ends), pa.py_buffer(taken), pa.py_buffer(kept)).cast(pa.string())
-        yield pa.RecordBatch.from_arrays([batch.column("lang"), out], names=["lang", "text"])
+        keys = batch.column("key").to_numpy().view(np.uint64)
+        for first, some in _slices(batch.column("text")):
+            text, ends = _bytes(some)
+            closes = np.flatnonzero(_KIND[text] == 2)  # ends of pieces; the last of a text is its added line break
+            of_text = np.searchsorted(ends, closes)
+            begin = np.searchsorted(closes, np.concatenate([[0], ends[:-1] + 1]))
+            number = (np.arange(len(closes)) - begin[of_text]).astype(np.uint64)
+            drawn = _mixed(keys[first + of_text] + number * _GOLDEN) % np.uint64(one_in) == 0
+            lengths = np.diff(np.concatenate([[-1], closes]))
+            kept = text[np.repeat(drawn, lengths)].tobytes()
+            sizes = np.bincount(of_text, np.where(drawn, lengths, 0), len(ends))
+            taken = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+            out = pa.LargeStringArray.from_buffers(len(ends), pa.py_buffer(taken), pa.py_buffer(kept)).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column("lang").slice(first, len(ends)), out], names=["lang", "text"])
 
 
 def _added(bits: np.ndarray, phrases: DataFrame) -> np.ndarray:
@@ -208,21 +329,41 @@ def _added(bits: np.ndarray, phrases: DataFrame) -> np.ndarray:
     return out
 
 
+def _proposed(sample: DataFrame, least: int, bits: np.ndarray) -> np.ndarray:
+    """The filter of the sample's frequent phrases of up to ``LONGEST - 1`` words, mined a length at a time."""
+    spark, old = sample.sparkSession, None
+    for _ in range(LONGEST - 1):
+        new = _sent(spark, bits)
+        found = stored(_likely_hashes(sample, new, old, least), "phrase-proposals")
+        if old is not None:
+            old.destroy()
+        old, bits = new, _added(bits, found)
+    old.destroy()
+    return bits
+
+
 def _mined(texts: DataFrame, least: int, bits: np.ndarray) -> DataFrame:
-    """``lang, n, phrase, h, f`` of every phrase found ``least`` times, and rows ``n = 0`` with the word counts.
+    """``lang, n, phrase, f`` of every phrase found ``least`` times, and rows ``n = 0`` with the word counts.
 
     ``bits`` proposes. Every pass counts what came into reach by the failures of the last; a
     failure has more words in each pass, so there are at most ``LONGEST`` passes.
     """
     spark, found, old = texts.sparkSession, [], None
     while True:
-        new = spark.sparkContext.broadcast(bits)
-        rows = texts.mapInArrow(lambda b, n=new, o=old: _count_pass(b, n, o), ROWS)
+        new, likely = _sent(spark, bits), None
+        if old is None:  # later passes have few phrases in reach
+            hashes = stored(_likely_hashes(texts, new, None, least), "phrase-hashes")
+            likely = _sent(spark, _added(np.zeros_like(bits), hashes))
+        rows = texts.mapInArrow(lambda b, n=new, o=old, k=likely: _count_pass(b, n, o, k), ROWS)
         counts = rows.groupBy("lang", "n", "phrase", "h", "known").agg(F.sum("f").alias("f"))
         frequent = stored(counts.filter((F.col("f") >= least) | (F.col("n") == 0)), "phrase-counts")
-        found.append(frequent.drop("known"))
+        found.append(frequent.drop("known", "h"))
+        for sent in (old, likely):
+            if sent is not None:
+                sent.destroy()
         failures = frequent.filter(~F.col("known") & F.col("n").between(1, LONGEST - 1))
         if failures.isEmpty():
+            new.destroy()
             break
         old, bits = new, _added(bits, failures)
     out = found[0]
@@ -243,8 +384,7 @@ def frequent_phrases(documents: DataFrame, least: int = LEAST, filter_bits: int
     sample = stored(keyed.mapInArrow(lambda b: _sampled(b, SAMPLE), "lang string, text string"), "phrase-sample")
     none = np.zeros(filter_bits // 8, np.uint8)
     lowered = max(2, int(SLACK * least / SAMPLE))
-    proposed = _mined(sample, lowered, none).filter(F.col("n").between(1, LONGEST - 1))
-    return _mined(texts, least, _added(none, proposed)).drop("h")
+    return _mined(texts, least, _proposed(sample, lowered, none))
 
 
 def scored_phrases(counts: DataFrame) -> DataFrame:

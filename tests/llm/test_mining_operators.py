@@ -122,7 +122,8 @@ def test_failures_of_the_sample_are_found(spark, monkeypatch):
     assert mined(frame, least=5) == want
     monkeypatch.setattr(P, "SAMPLE", 1 << 40)  # a sample of nothing proposes nothing: every level is a failure
     passes.clear()
-    assert mined(frame, least=5) == want and len(passes) == 1 + 3
+    # three lengths of the sample, the hashes of the first pass, and failures of one, two and three words
+    assert mined(frame, least=5) == want and len(passes) == 3 + 1 + 3
 
 
 def test_stretches_and_a_full_filter_change_nothing(spark, monkeypatch):
@@ -130,6 +131,8 @@ def test_stretches_and_a_full_filter_change_nothing(spark, monkeypatch):
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     want = brute.collocations([(t, g) for _, t, g in rows], 10, 50)
     monkeypatch.setattr(P, "CHUNK", 64)
+    monkeypatch.setattr(P, "PACKED", 40)
+    monkeypatch.setattr(P, "BATCH", 7)
     assert mined(frame, least=10, top=50) == want
     got = P.collocations(frame, least=10, top=50, filter_bits=1 << 15)
     assert sorted(map(tuple, got.collect()), key=lambda r: (r[0], r[1])) == want
