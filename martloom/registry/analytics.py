@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions.intent import intent_pattern_sql, question_intent
 from martloom.operators.checks import missing_values
-from martloom.plans import forecast, growth, rfm
+from martloom.plans import backtest, changepoints, forecast, growth, rfm
 from martloom.registry.core import Context, query
 
 PERIOD = 199806
@@ -189,14 +189,15 @@ def forecast_history(c: Context):
     return _history(c)
 
 
-def _forecast_sql(series: str, joined: str) -> tuple[str, str]:
+def _forecast_sql(series: str, joined: str, history: str = "") -> tuple[str, str]:
     """The model restated: ordinary least squares in closed form, ratios to trend, residual spread."""
     key = f"{series}, " if series else ""
     part = f"PARTITION BY {series}" if series else ""
     on = "USING (" + series + ")" if series else "ON true"
     group = f"GROUP BY {series}" if series else ""
-    model = f"""h AS (SELECT {key}CAST(date_trunc('month', order_date) AS DATE) AS ds, CAST(sum(gross_sales) AS DOUBLE) AS y
-          FROM {joined} GROUP BY ALL),
+    monthly = f"""SELECT {key}CAST(date_trunc('month', order_date) AS DATE) AS ds, CAST(sum(gross_sales) AS DOUBLE) AS y
+          FROM {joined} GROUP BY ALL"""
+    model = f"""h AS ({history or monthly}),
         p AS (SELECT *, month(ds) AS moy, CAST(year(ds) * 12 + month(ds) - min(year(ds) * 12 + month(ds)) OVER ({part}) AS DOUBLE) AS t FROM h),
         q AS (SELECT {key}count(*) AS n, avg(t) AS mt, avg(y) AS my, sum(t * t) - count(*) * avg(t) * avg(t) AS sxx,
                 sum(t * y) - count(*) * avg(t) * avg(y) AS sxy, max(ds) AS last_ds, max(t) AS last_t FROM p {group}),
@@ -242,6 +243,53 @@ def forecast_mae(c: Context):
     return forecast.in_sample_mae(predicted, "category_name").withColumn("mae", F.round("mae", 2))
 
 
+# Held-out months of the plain model: the history up to each of four cut-offs is one more series.
+CUT, _ = _forecast_sql("category_name, cutoff", "", "SELECT category_name, cutoff, ds, y FROM laid WHERE ds <= cutoff")
+CUTOFFS = f"""mh AS (SELECT category_name, CAST(date_trunc('month', order_date) AS DATE) AS ds, CAST(sum(gross_sales) AS DOUBLE) AS y
+      FROM fct JOIN item USING (product_key) GROUP BY ALL),
+    cuts AS (SELECT category_name, CAST(max(ds) - to_months(CAST(6 + 3 * o AS INTEGER)) AS DATE) AS cutoff
+      FROM mh CROSS JOIN range(0, 4) t(o) GROUP BY category_name, o),
+    laid AS (SELECT mh.*, cutoff FROM mh JOIN cuts USING (category_name)
+      QUALIFY count(*) FILTER (ds <= cutoff) OVER (PARTITION BY category_name, cutoff) >= 24), {CUT},
+    met AS (SELECT category_name, cutoff, a.yhat - mh.y AS err, mh.y, abs(a.yhat - mh.y) <= 1.2816 * spread AS inside
+      FROM a JOIN e USING (category_name, cutoff) JOIN mh USING (category_name, ds)
+      WHERE a.y IS NULL AND ds <= cutoff + to_months(6))"""
+
+
+def _rounded_errors(df):
+    return df.withColumns(
+        {"mae": F.round("mae", 2), "bias": F.round("bias", 2), "weighted_error": F.round("weighted_error", 6), "covered": F.round("covered", 6)}
+    )
+
+
+@query(
+    "forecast_held_out",
+    f""", {CUTOFFS} SELECT category_name, CAST(cutoff AS VARCHAR) AS cutoff, count(*) AS months, round(avg(abs(err)), 2) AS mae,
+      round(avg(err), 2) AS bias, round(sum(abs(err)) / nullif(sum(abs(y)), 0), 6) AS weighted_error,
+      round(avg(CAST(inside AS INTEGER)), 6) AS covered FROM met GROUP BY ALL""",
+    ("fct", "item"),
+)
+def forecast_held_out(c: Context):
+    return _rounded_errors(backtest.rolling_origin(_history(c, "category_name"), "category_name", model=forecast.forecast))
+
+
+@query("forecast_models_compared")
+def forecast_models_compared(c: Context):
+    return _rounded_errors(backtest.compared(_history(c, "category_name"), "category_name"))
+
+
+@query("forecast_bends")
+def forecast_bends(c: Context):
+    return _rounded_forecast(changepoints.forecast(_history(c, "category_name"), "category_name"))
+
+
+@query("forecast_best_model")
+def forecast_best_model(c: Context):
+    best = backtest.best_forecast(_history(c, "category_name"), "category_name")
+    version = F.col("model_version").alias("served_by")
+    return _rounded_forecast(best.select("*", version)).withColumn("held_out_mae", F.round("held_out_mae", 2))
+
+
 @query(
     "serve_forecast",
     f", {TOTAL} SELECT ds, forecast, forecast_lower, forecast_upper FROM ({TOTAL_ROWS})",
