@@ -50,6 +50,17 @@ def test_large_buckets_give_the_same(rows_of):
     same(S.deduplicated(rows_of(rows), bucket_classes=3), rows)
 
 
+def test_one_bucket_with_most_of_the_rows_refined_by_joins(rows_of):
+    """A passage in very many surroundings, all buckets taken by the joins; no window is grouped as a whole."""
+    rng = random.Random(7)
+    core = "".join(rng.choice("abcdef") for _ in range(230))
+    word = lambda n: "".join(rng.choice("ghijkl") for _ in range(n))
+    rows = [(i, word(rng.randrange(40)) + core[rng.randrange(4) : 230 - rng.randrange(40)] + word(rng.randrange(40))) for i in range(150)]
+    rows += [(1000 + i, word(300)) for i in range(20)] + [(2000, None), (2001, core), (2001, core)]
+    same(S.deduplicated(rows_of(rows), bucket_classes=0), rows)
+    same(S.deduplicated(rows_of(rows)), rows)
+
+
 def test_pieces_of_long_texts(monkeypatch, rows_of):
     rng = random.Random(3)
     block = "".join(rng.choice("abcde") for _ in range(900))
