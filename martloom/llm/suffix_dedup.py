@@ -14,7 +14,7 @@ their first ``LENGTH`` bytes are found by refining buckets:
    of its first 25 bytes, then the bucket of (its bucket, the bucket 25 bytes later), then 50 and 100
    bytes later, each step using the identifiers of the last: after three steps equal identifiers mean
    200 equal bytes. A start whose bucket or later bucket holds nothing else drops out at once. Buckets
-   small enough for a task are refined in it, larger ones by the same steps as joins over many tasks.
+   small enough for a task are refined in it; in larger ones the steps run in the rows and Spark counts the last buckets.
 5. The windows found become spans of their documents, and the bytes outside the spans are kept.
 """
 
@@ -36,7 +36,7 @@ _PER_WINDOW = LENGTH - GRAM + 1
 _POSITION_BITS = np.uint64(28)
 _POSITION = np.uint64((1 << 28) - 1)
 PIECE = 1 << 20  # bytes hashed at once
-#: Classes of one bucket that are refined in one task; a larger bucket takes the same steps as Spark joins.
+#: Classes of one bucket that are refined in one task; a larger bucket takes the same steps, counted by Spark.
 BUCKET_CLASSES = 8_000
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
@@ -205,46 +205,35 @@ def _refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush()
 
 
-def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per position of a class that has ``STEP`` bytes ahead: the position and the hash of those bytes."""
+def _pointed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per window of a class: its number and the identifier of its bucket after the last step.
+
+    The steps are those of ``refined``, with a hash of (bucket, later bucket) as the identifier of the refined one.
+    """
     for batch in batches:
         for g, c, shape, context in zip(*(batch.column(x).to_pylist() for x in ("g", "c", "shape", "bytes"))):
             buffer = np.frombuffer(context, np.uint8)
-            count = len(buffer) - STEP + 1
             power, inverse = _geometric(len(buffer) + 1)
             sums = np.zeros(len(buffer) + 1, np.uint64)
             np.cumsum(_BYTE[buffer] * power[: len(buffer)], out=sums[1:])
-            at = np.arange(count)
-            bucket = _mixed((sums[at + STEP] - sums[at]) * inverse[at])
-            full = lambda x: pa.array(np.full(count, x, np.int64))
+            at = np.arange(len(buffer) - STEP + 1)
+            bucket, span = _mixed((sums[at + STEP] - sums[at]) * inverse[at]), STEP
+            while span < LENGTH:
+                bucket, span = _mixed(_mixed(bucket[:-span]) * np.uint64(_BASE) + bucket[span:]), 2 * span
+            full = lambda x: pa.array(np.full(len(bucket), x, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [full(g), full(c), full(shape), pa.array(at.astype(np.int32)), pa.array(bucket.view(np.int64))],
-                names=["g", "c", "shape", "at", "bucket"],
+                [full(g), full(c), full(shape), pa.array(np.arange(len(bucket), dtype=np.int32)), pa.array(bucket.view(np.int64))],
+                names=["g", "c", "shape", "number", "bucket"],
             )
 
 
-def _shared(positions: DataFrame) -> DataFrame:
-    """Positions whose bucket holds another position of the same initial bucket; the others drop out."""
-    several = positions.groupBy("g", "bucket").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("g", "bucket")
-    return positions.join(several, ["g", "bucket"], "left_semi").select("g", "c", "shape", "at", "bucket")
-
-
 def _large_buckets(contexts: DataFrame) -> DataFrame:
-    """The steps of ``refined`` as joins, for buckets of any size: a position meets the one ``span`` bytes later.
-
-    The identifier of a refined bucket is a 64-bit hash of the two it was made of. A position whose later one has
-    dropped out drops out as well. Every step is stored, so the next does not compute it twice.
-    """
+    """The result of ``_refine`` for buckets of any size: identifiers by the same steps, counted by Spark."""
     owner = ["g", "c", "shape"]
     classes = contexts.select(*owner, "bytes").dropDuplicates(owner)
-    live, span = stored(classes.mapInArrow(_grams, "g long, c long, shape long, at int, bucket long"), "suffix-grams"), STEP
-    while span < LENGTH:
-        live = stored(_shared(live), "suffix-live")
-        later = live.select(*owner, (F.col("at") - span).alias("at"), F.col("bucket").alias("later"))
-        pairs = live.join(later, [*owner, "at"]).select(*owner, "at", F.xxhash64("bucket", "later").alias("bucket"))
-        live, span = stored(pairs, "suffix-pairs"), 2 * span
-    windows = live.filter(F.col("at") <= F.col("shape").bitwiseAND(F.lit(255)))
-    found = _shared(windows).groupBy(*owner).agg(F.sort_array(F.collect_list("at")).alias("found"))
+    windows = classes.mapInArrow(_pointed, "g long, c long, shape long, number int, bucket long")
+    repeated = windows.groupBy("g", "bucket").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("g", "bucket")
+    found = windows.join(repeated, ["g", "bucket"]).groupBy(*owner).agg(F.sort_array(F.collect_list("number")).alias("found"))
     single = contexts.filter("n = 1").select(*owner).distinct()
     spans = F.transform("found", lambda x: F.shiftleft(x, 8).bitwiseOR(x).cast("int"))
     return found.join(single, owner).select(*owner, spans.alias("spans"))

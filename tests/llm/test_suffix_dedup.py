@@ -50,8 +50,8 @@ def test_large_buckets_give_the_same(rows_of):
     same(S.deduplicated(rows_of(rows), bucket_classes=3), rows)
 
 
-def test_one_bucket_with_most_of_the_rows_refined_by_joins(rows_of):
-    """A passage in very many surroundings, all buckets taken by the joins; no window is grouped as a whole."""
+def test_one_bucket_with_most_of_the_rows(rows_of):
+    """A passage in very many surroundings, all buckets counted by Spark."""
     rng = random.Random(7)
     core = "".join(rng.choice("abcdef") for _ in range(230))
     word = lambda n: "".join(rng.choice("ghijkl") for _ in range(n))
