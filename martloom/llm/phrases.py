@@ -36,7 +36,7 @@ FILTER_BITS = 1 << 27
 #: Rows sent at once to the JVM, which holds a batch as a whole.
 BATCH = 20_000
 #: Rows that a task adds up before it sends them.
-PACKED = 1 << 20
+PACKED = 1 << 19
 #: Bytes of text counted at once; longer stretches are cut between pieces.
 CHUNK = 1 << 19
 
@@ -156,8 +156,9 @@ def _levels(
 ) -> Iterator[tuple[pa.Array, Level]]:
     """Phrases by length within reach of ``new``, with the distinct words that their indexes mean.
 
-    Words are within reach of any filter, longer phrases where it has both parts one word shorter; wanted are those
-    that were not within reach of ``old`` (None: nothing was). Codes of phrases are exact within a stretch.
+    Words are within reach of any filter, longer phrases where both parts one word shorter are and the filter has them;
+    wanted are those that were not within reach of ``old`` (None: nothing was). That ``old`` has a part by mistake does
+    not mean it was reached. Codes of phrases are exact within a stretch.
     """
     encoded = words.dictionary_encode()
     spelled = encoded.dictionary
@@ -167,13 +168,13 @@ def _levels(
     h = _hashes(spelled, np.zeros(len(spelled), np.uint64))[word]
     h = _mixed(h + seeds[lang])
     spelling, last, at = word[:, None], h, np.arange(len(gram))
-    wanted = np.full(len(codes), old is None)
+    reached = np.full(len(codes), old is not None)
     for n in range(1, LONGEST + 1):
         known = new.has(h)
-        yield spelled, Level(n, lang, spelling, h, known, np.bincount(gram, minlength=len(codes)), wanted)
+        yield spelled, Level(n, lang, spelling, h, known, np.bincount(gram, minlength=len(codes)), ~reached)
         if n == LONGEST:
             return
-        before = old.has(h) if old else np.zeros(len(h), bool)
+        before = reached & old.has(h) if old else reached
         stay = known[gram]
         at, gram = at[stay], gram[stay]
         on = np.flatnonzero((at[1:] == at[:-1] + 1) & (piece[at[1:]] == piece[at[:-1]]))
@@ -181,7 +182,7 @@ def _levels(
         if not len(codes):
             return
         head, tail = codes // len(h), codes % len(h)
-        wanted = ~(before[head] & before[tail])
+        reached = before[head] & before[tail]
         h = _mixed(h[head] * _GOLDEN + last[tail] + np.uint64(n))
         spelling, last, lang = np.hstack([spelling[head], spelling[tail, -1:]]), last[tail], lang[head]
         at, gram = at[on], joined
@@ -217,7 +218,9 @@ def _hash_counts(batches: Iterator[pa.RecordBatch], new: Broadcast, old: Broadca
     held: list[tuple[np.ndarray, np.ndarray]] = []
 
     def added() -> Iterator[pa.RecordBatch]:
-        h, f = _added_up(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]))
+        h, f = (np.concatenate(x) for x in zip(*held))
+        held.clear()
+        h, f = _added_up(h, f)
         rows = pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(f)], names=["h", "f"])
         for first in range(0, rows.num_rows, BATCH):
             yield rows.slice(first, BATCH)
@@ -230,7 +233,7 @@ def _hash_counts(batches: Iterator[pa.RecordBatch], new: Broadcast, old: Broadca
                 size += len(held[-1][0])
         if size >= PACKED:
             yield from added()
-            held, size = [], 0
+            size = 0
     if held:
         yield from added()
 
@@ -255,9 +258,10 @@ def _sent(spark: SparkSession, bits: np.ndarray) -> Broadcast:
 
 
 def _rows_added_up(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of the same phrase added up, in batches of bounded size."""
+    """Rows of the same phrase added up, in batches of bounded size. More threads would each hold groups of their own."""
     keys = ["lang", "n", "phrase", "h", "known"]
-    total = pa.Table.from_batches(held).group_by(keys).aggregate([("f", "sum")])
+    total = pa.Table.from_batches(held).group_by(keys, use_threads=False).aggregate([("f", "sum")])
+    held.clear()
     yield from total.select([*keys, "f_sum"]).rename_columns([*keys, "f"]).combine_chunks().to_batches(BATCH)
 
 
@@ -287,7 +291,7 @@ def _count_pass(
             size += held[-1].num_rows
         if size >= PACKED // 4:
             yield from _rows_added_up(held)
-            held, size = [], 0
+            size = 0
     if held:
         yield from _rows_added_up(held)
 

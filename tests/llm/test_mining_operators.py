@@ -126,6 +126,17 @@ def test_failures_of_the_sample_are_found(spark, monkeypatch):
     assert mined(frame, least=5) == want and len(passes) == 3 + 1 + 3
 
 
+@pytest.mark.parametrize("bits,one_in", [(1 << 8, 1 << 40), (1 << 9, 8), (1 << 10, 1 << 40)])
+def test_phrases_that_a_crowded_filter_has_by_mistake_are_still_extended(spark, monkeypatch, bits, one_in):
+    """A pair that an earlier filter held, but whose words it did not, was never reached then."""
+    rows = [(i, " ".join([f"u{i} v{i} w{i} z{i}"] * 9), "en") for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(P, "SAMPLE", one_in)
+    got = P.collocations(frame, least=5, filter_bits=bits)
+    want = brute.collocations([(t, g) for _, t, g in rows], 5, 2000)
+    assert sorted(map(tuple, got.collect()), key=lambda r: (r[0], r[1])) == want
+
+
 def test_stretches_and_a_full_filter_change_nothing(spark, monkeypatch):
     rows = texts_with_phrases(4)
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
