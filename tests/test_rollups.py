@@ -111,3 +111,23 @@ def test_bitmaps_count_exactly_at_any_grain(spark):
         assert got == {k: len(v) for k, v in want.items()}
     again = united(united(fine, ["g"]), ["g"])
     assert {r.g: r.n for r in distinct_counts(again, ["g"], ["g"], "n").collect()} == {r.g: r.n for r in distinct_counts(fine, ["g"], ["g"], "n").collect()}
+
+
+def test_all_rollups_of_the_same_years_are_made_of_lines_read_once(lake):
+    mart, calls = stored_mart(lake), []
+    grains = tuple(g for g in COMMERCIAL_GRAINS if g.name == "sales_year_category_region")
+    other = Lake(lake.spark, lake.root)
+    other.table = lambda layer, t: Lake.table(lake, layer, f"again_{t}" if layer == LAYER else t)
+    done = refresh_rollups(
+        other, commercial_view(mart), lambda: calls.append(1) or mart.sales_transactions().filter("order_year = 1996"), grains
+    )
+    assert done == {"sales_year_category_region": None} and len(calls) == 1
+
+
+def test_no_bitmap_is_shuffled_before_its_numbers_are_together(spark):
+    rows = spark.range(1000).selectExpr("id", "id % 900 AS g")
+    made = distinct_bitmaps(rows, ["g"], F.col("id"))
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1
+    exchange = plan[plan.index("Exchange "):]
+    assert "bitmap_construct_agg" not in exchange and distinct_counts(made, [], [], "n").first()[0] == 1000
