@@ -174,3 +174,12 @@ def test_steps_run_once_those_before_them_are_done():
         run_when_ready({"a": (("b",), lambda: 1), "b": (("a",), lambda: 1)})
     with pytest.raises(ValueError, match="no step"):
         run_when_ready({"a": (("x",), lambda: 1)})
+
+
+def test_tables_loaded_in_parts_lie_on_disk_once(spark, sf_dir):
+    from martloom.registry.core import Context
+    from martloom.registry.stored import _loaded_in_parts
+
+    loaded = _loaded_in_parts(Context(spark, sf_dir))
+    for layer, table in (("silver", "sales_details"), ("gold", "fct_sales_details")):
+        assert len(loaded.table(layer, table).versions()) == 1
