@@ -24,7 +24,7 @@ SEGMENT = "Champions"
     ("tx",),
 )
 def v_sales_transactions(c: Context):
-    return c.mart.sales_transactions()
+    return c.mart.transactions_view()
 
 
 @query(

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from collections import Counter
 from datetime import date
 from decimal import Decimal
 
@@ -157,3 +158,31 @@ def test_lines_are_summed_before_they_meet_the_products(sample):
     lines = plan._jdf.queryExecution().optimizedPlan().toString().splitlines()
     above = [i for i, line in enumerate(lines) if "Join Inner, (product_key" in line]
     assert len(above) == 2 and all("Aggregate [" in lines[i + 1] for i in above)  # sales and returns
+
+
+def test_costs_are_found_as_by_a_left_join(spark):
+    """Repeated costs repeat the sale, a cost without a value is one, and a key without a value finds none."""
+    sold = spark.createDataFrame(
+        [(1, 2024, 1, "A", 7), (1, 2024, 2, "A", 8), (2, 2024, 1, None, 9), (None, 2024, 1, "A", 10), (3, 2024, 1, "A", 11), (1, 2024, 1, "A", 7)],
+        "product_key long, order_year int, order_month int, country_code string, quantity int",
+    )
+    history = spark.createDataFrame(
+        [(1, 2024, 1, "A", 1), (1, 2024, 1, "A", 2), (2, 2024, 1, None, 3), (None, 2024, 1, "A", 4), (3, 2024, 1, "A", None), (9, 2024, 1, "A", 5)],
+        "product_key long, year int, month_no int, country_code string, unit_cost int",
+    )
+    joined = sold.join(
+        history.withColumnsRenamed({"year": "order_year", "month_no": "order_month"}),
+        ["product_key", "order_year", "order_month", "country_code"], "left",
+    )
+    got = semantic._costed(sold, history).select(joined.columns)
+    assert Counter(got.collect()) == Counter(joined.collect()) and got.count() == 8
+
+
+def test_places_found_at_the_end_are_those_found_at_first(spark):
+    returns, customer, geography, product, cost = _dimensions(spark)
+    places = geography.unionByName(geography).unionByName(geography.withColumn("city_name", F.lit("Other")))
+    args = (_facts(spark), returns, customer, places, product, cost)
+    early = semantic.sales_transactions(*args)
+    late = semantic.with_places(semantic.sales_transactions(*args, brief=True), places)
+    assert late.schema == early.schema and early.count() == 3 * 5
+    assert Counter(late.collect()) == Counter(early.collect())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,3 +122,24 @@ def test_the_sample_header_joins_through_plain_shuffles(spark, sf_dir, small_ske
     df.count()
     top = [line for line in _plan(df).splitlines() if "Exchange hashpartitioning(sales_header_key" in line]
     assert len(top) >= 2
+
+
+def test_lines_are_shuffled_by_product_once_for_costs_and_products(spark, sf_dir, small_skew_limits):
+    for name in ("v_sales_transactions", "measures_composed"):
+        plan = _plan(QUERIES[name].run(spark, sf_dir))
+        assert not re.search(r"hashpartitioning\(product_key#\w+, order_year", plan), name
+        assert plan.count("REPARTITION_BY_COL") >= 1
+
+
+def test_distinct_customers_do_not_carry_the_other_sums(spark, sf_dir):
+    assert "Expand" in _plan(QUERIES["measures_composed"].run(spark, sf_dir))
+
+
+def test_lines_of_known_products_are_not_summed_by_product(spark, sf_dir, small_skew_limits):
+    plan = _plan(QUERIES["measures_by_customer"].run(spark, sf_dir))
+    assert not re.search(r"city_name#\w+, product_key#\w+, \d+\)", plan)
+
+
+def test_costs_stay_with_their_product_for_the_grain(spark, sf_dir, small_skew_limits):
+    plan = _plan(QUERIES["grain_summary"].run(spark, sf_dir))
+    assert not re.search(r"hashpartitioning\(p_partkey#\w+, year", plan)
