@@ -8,9 +8,14 @@ left. Then every frequent phrase has been counted, whatever the sample held.
 
 Most of the border is rare, so the full count first adds up 64-bit hashes in place of spelled phrases. A hash
 that stays below the support proves its phrases infrequent (phrases that share a hash only raise its sum); all
-others are counted exactly, as spelled, over the whole corpus. Proposals and such hashes are held in bit filters of
-fixed size, so what travels to the tasks does not grow with the corpus. A phrase that a filter holds by mistake is
-merely counted too; no result depends on it.
+others are counted exactly, as spelled, over the whole corpus. These other hashes then stand in for the proposals:
+they have all that is frequent among them and the failures of the border, so the pass that counts as spelled also
+counts what those failures bring into reach, and extends nothing that is known to be rare. Later passes read only
+pieces that hold a failure.
+
+Proposals and hashes are held in bit filters of fixed size, so what travels to the tasks does not grow with the corpus.
+A phrase that a filter holds by mistake is merely counted too; no result depends on it. Counts go through the shuffle in
+arrays, one for each value of the first bits of the hash, and not as a row each.
 """
 
 from __future__ import annotations
@@ -35,11 +40,15 @@ SAMPLE, SLACK = 8, 0.5
 FILTER_BITS = 1 << 27
 #: Rows sent at once to the JVM, which holds a batch as a whole.
 BATCH = 20_000
-#: Rows that a task adds up before it sends them.
-PACKED = 1 << 19
+#: Hashes that a task adds up before it sends them; of spelled phrases the bytes that as many hashes and counts take.
+PACKED = 1 << 21
 #: Bytes of text counted at once; longer stretches are cut between pieces.
 CHUNK = 1 << 19
 
+#: Counts by hash: its first 16 bits, the 6 bytes of each one's other bits, and the count of each.
+PACKS = "first int, rest binary, counts binary"
+#: Counts as spelled: the first 12 bits of the hash, the phrases with a line break after each, their hashes and counts.
+SPELLED = "lang string, first int, phrases binary, hashes binary, counts binary"
 ROWS = "lang string, n int, phrase string, h long, known boolean, f long"
 
 _GOLDEN, _MIX1, _MIX2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -70,6 +79,14 @@ class Filter:
             out &= (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
         return out
 
+    def has_any(self, h: np.ndarray) -> np.ndarray:
+        """Whether one of the two bits of a hash is there."""
+        out = np.zeros(len(h), bool)
+        for part in (h, h >> np.uint64(32)):
+            at = (part & np.uint64(len(self.bits) * 8 - 1)).astype(np.int64)
+            out |= (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+        return out
+
 
 def _cuts(breaks: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
     """Stretches of about ``CHUNK`` bytes that end after the end of a piece."""
@@ -212,7 +229,61 @@ def _added_up(h: np.ndarray, f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h[starts], np.add.reduceat(f, starts) if len(h) else f
 
 
-def _hash_counts(batches: Iterator[pa.RecordBatch], new: Broadcast, old: Broadcast | None) -> Iterator[pa.RecordBatch]:
+def _binaries(values: np.ndarray, starts: np.ndarray, width: int) -> pa.Array:
+    """Consecutive parts of an array, each with ``width`` bytes a value."""
+    ends = np.append(starts, len(values)) * width
+    return pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(values.tobytes())])
+
+
+def _packs(h: np.ndarray, f: np.ndarray, least: int) -> Iterator[pa.RecordBatch]:
+    """Hashes in order and their counts as ``PACKS``. A count beyond ``least`` says no more than ``least`` does."""
+    first = (h >> np.uint64(48)).astype(np.int32)
+    starts = np.flatnonzero(np.diff(first, prepend=-1))
+    rest = h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+    counts = np.minimum(f, least).astype(np.min_scalar_type(least))
+    columns = [pa.array(first[starts]), _binaries(rest, starts, 6), _binaries(counts, starts, counts.itemsize)]
+    rows = pa.RecordBatch.from_arrays(columns, names=["first", "rest", "counts"])
+    for at in range(0, rows.num_rows, BATCH):
+        yield rows.slice(at, BATCH)
+
+
+def _of_packs(batch: pa.RecordBatch, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of ``PACKS`` and their counts."""
+    rest = np.frombuffer(b"".join(batch.column("rest").to_pylist()), np.uint8).reshape(-1, 6)
+    h = np.zeros((len(rest), 8), np.uint8)
+    h[:, :6] = rest
+    sizes = pc.binary_length(batch.column("rest")).to_numpy() // 6
+    h = h.view("<u8").ravel() | (np.repeat(batch.column("first").to_numpy().astype(np.uint64), sizes) << np.uint64(48))
+    return h, np.frombuffer(b"".join(batch.column("counts").to_pylist()), np.min_scalar_type(least)).astype(np.int64)
+
+
+def _often(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Hashes whose counts add up to ``least``, from ``PACKS`` in order. Few values of the first bits are held at once."""
+    def sent(h: np.ndarray, f: np.ndarray) -> Iterator[pa.RecordBatch]:
+        h, f = _added_up(h, f)
+        yield pa.RecordBatch.from_arrays([pa.array(h[f >= least].view(np.int64))], names=["h"])
+
+    held, size = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(_of_packs(batch, least))
+        size += len(held[-1][0])
+        if size >= PACKED:
+            h, f = (np.concatenate(x) for x in zip(*held))
+            first = h >> np.uint64(48)
+            whole = int(np.searchsorted(first, first[-1]))  # the last value may go on in the next batch
+            if whole:
+                yield from sent(h[:whole], f[:whole])
+            held = [_added_up(h[whole:], f[whole:])]
+            size = len(held[0][0])
+    if held:
+        yield from sent(*(np.concatenate(x) for x in zip(*held)))
+
+
+def _hash_counts(
+    batches: Iterator[pa.RecordBatch], new: Broadcast, old: Broadcast | None, least: int
+) -> Iterator[pa.RecordBatch]:
     """Hashes within reach and their counts, added up over many stretches."""
     now, before = _unpacked(new), _unpacked(old) if old else None
     held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -220,10 +291,7 @@ def _hash_counts(batches: Iterator[pa.RecordBatch], new: Broadcast, old: Broadca
     def added() -> Iterator[pa.RecordBatch]:
         h, f = (np.concatenate(x) for x in zip(*held))
         held.clear()
-        h, f = _added_up(h, f)
-        rows = pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(f)], names=["h", "f"])
-        for first in range(0, rows.num_rows, BATCH):
-            yield rows.slice(first, BATCH)
+        yield from _packs(*_added_up(h, f), least)
 
     size = 0
     for words, langs, piece, names in _stretches(batches):
@@ -240,16 +308,13 @@ def _hash_counts(batches: Iterator[pa.RecordBatch], new: Broadcast, old: Broadca
 
 def _likely_hashes(texts: DataFrame, new: Broadcast, old: Broadcast | None, least: int) -> DataFrame:
     """``h``: hashes of all phrases that came into reach and occur ``least`` times, and few others."""
-    counts = texts.mapInArrow(lambda b: _hash_counts(b, new, old), "h long, f long")
-    return counts.groupBy("h").agg(F.sum("f").alias("f")).filter(F.col("f") >= least).select("h")
+    packs = texts.mapInArrow(lambda b: _hash_counts(b, new, old, least), PACKS)
+    return packs.repartition("first").sortWithinPartitions("first").mapInArrow(lambda b: _often(b, least), "h long")
 
 
-def _rows(langs: pa.Array, n: int, phrases: pa.Array, h: np.ndarray, known: np.ndarray, f: np.ndarray) -> pa.RecordBatch:
-    columns = [
-        langs, pa.array(np.full(len(f), n, np.int32)), phrases, pa.array(h.view(np.int64)), pa.array(known),
-        pa.array(f.astype(np.int64)),
-    ]
-    return pa.RecordBatch.from_arrays(columns, names=["lang", "n", "phrase", "h", "known", "f"])
+def _rows(langs: pa.Array, phrases: pa.Array, h: np.ndarray, f: np.ndarray) -> pa.RecordBatch:
+    columns = [langs, phrases, pa.array(h.view(np.int64)), pa.array(f.astype(np.int64))]
+    return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "h", "f"])
 
 
 def _sent(spark: SparkSession, bits: np.ndarray) -> Broadcast:
@@ -257,43 +322,141 @@ def _sent(spark: SparkSession, bits: np.ndarray) -> Broadcast:
     return spark.sparkContext.broadcast(zlib.compress(bits, 1))
 
 
-def _rows_added_up(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of the same phrase added up, in batches of bounded size. More threads would each hold groups of their own."""
-    keys = ["lang", "n", "phrase", "h", "known"]
-    total = pa.Table.from_batches(held).group_by(keys, use_threads=False).aggregate([("f", "sum")])
+def _rows_added_up(rows: pa.Table) -> pa.Table:
+    """Rows of the same phrase added up. More threads would each hold groups of their own."""
+    total = rows.group_by(["lang", "phrase", "h"], use_threads=False).aggregate([("f", "sum")])
+    return total.select(["lang", "phrase", "h", "f_sum"]).rename_columns(["lang", "phrase", "h", "f"]).combine_chunks()
+
+
+def _spelled_packs(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows added up, as ``SPELLED``. No phrase has a line break: it ends a piece."""
+    total = _rows_added_up(pa.Table.from_batches(held))
     held.clear()
-    yield from total.select([*keys, "f_sum"]).rename_columns([*keys, "f"]).combine_chunks().to_batches(BATCH)
+    langs, phrases = (total[c].chunk(0) for c in ("lang", "phrase"))
+    h, f = total["h"].to_numpy().view(np.uint64), total["f"].to_numpy()
+    first, of = (h >> np.uint64(52)).astype(np.int32), langs.dictionary_encode().indices.to_numpy().astype(np.int64)
+    order = np.argsort(of << 12 | first, kind="stable")
+    starts = np.flatnonzero(np.diff((of << 12 | first)[order], prepend=-1))
+    lines = pc.binary_join_element_wise(phrases.take(pa.array(order)).cast(pa.binary()), b"", b"\n")
+    _, ends, values = lines.buffers()
+    ends = np.frombuffer(ends, np.int32)[lines.offset : lines.offset + len(lines) + 1]
+    lines = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends[np.append(starts, len(lines))]), values])
+    columns = [
+        langs.take(pa.array(order[starts])), pa.array(first[order[starts]]), lines,
+        _binaries(h[order].astype("<u8"), starts, 8), _binaries(f[order].astype("<i8"), starts, 8),
+    ]
+    rows = pa.RecordBatch.from_arrays(columns, names=["lang", "first", "phrases", "hashes", "counts"])
+    for at in range(0, rows.num_rows, BATCH):
+        yield rows.slice(at, BATCH)
+
+
+def _of_spelled(batch: pa.RecordBatch) -> tuple[pa.Table, np.ndarray]:
+    """The rows of ``SPELLED``, and the first bits of each."""
+    lines, hashes, counts = (b"".join(batch.column(c).to_pylist()) for c in ("phrases", "hashes", "counts"))
+    text = np.frombuffer(lines, np.uint8)
+    ends = np.flatnonzero(text == 10)
+    ends = np.append(0, ends - np.arange(len(ends)))
+    phrases = pa.LargeStringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), pa.py_buffer(text[text != 10]))
+    pack = np.repeat(np.arange(batch.num_rows), pc.binary_length(batch.column("hashes")).to_numpy() // 8)
+    columns = [
+        batch.column("lang").take(pa.array(pack)), phrases, pa.array(np.frombuffer(hashes, "<i8")),
+        pa.array(np.frombuffer(counts, "<i8")),
+    ]
+    return pa.table(columns, names=["lang", "phrase", "h", "f"]), batch.column("first").to_numpy()[pack]
+
+
+def _often_spelled(batches: Iterator[pa.RecordBatch], new: Broadcast, least: int) -> Iterator[pa.RecordBatch]:
+    """``ROWS`` whose counts add up to ``least``, and those of no words, from ``SPELLED`` in order of the first bits."""
+    now = _unpacked(new)
+
+    def sent(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        rows = _rows_added_up(rows)
+        words = pc.if_else(pc.equal(rows["phrase"], ""), 0, pc.add(pc.count_substring(rows["phrase"], " "), 1))
+        rows = rows.append_column("n", words.cast(pa.int32()))
+        rows = rows.filter(pc.or_(pc.greater_equal(rows["f"], least), pc.equal(rows["n"], 0)))
+        known = pa.array(now.has(rows["h"].to_numpy().view(np.uint64)))
+        columns = [rows["lang"], rows["n"], rows["phrase"].cast(pa.string()), rows["h"], known, rows["f"]]
+        yield from pa.table(columns, names=["lang", "n", "phrase", "h", "known", "f"]).to_batches(BATCH)
+
+    held: list[tuple[pa.Table, np.ndarray]] = []
+    size = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(_of_spelled(batch))
+        size += held[-1][0].nbytes
+        if size >= PACKED * 16:
+            rows, first = pa.concat_tables(t for t, _ in held), np.concatenate([x for _, x in held])
+            whole = int(np.searchsorted(first, first[-1]))  # the last value may go on in the next batch
+            if whole:
+                yield from sent(rows.slice(0, whole))
+            rest = _rows_added_up(rows.slice(whole))
+            held, size = [(rest, np.full(len(rest), first[-1]))], rest.nbytes
+    if held:
+        yield from sent(pa.concat_tables(t for t, _ in held))
+    held.clear()
+    pa.default_memory_pool().release_unused()
+
+
+def _near(
+    words: pa.Array, langs: np.ndarray, piece: np.ndarray, names: list[str], new: Filter, old: Filter, added: Filter
+) -> np.ndarray:
+    """Whether the piece of each word holds a phrase that ``new`` has and ``old`` has not; ``added`` has only the new bits.
+
+    All shorter parts of a phrase within reach of ``new`` are in ``new``; if it was not within reach of ``old``, one of
+    them is not in ``old``. So other pieces hold no phrase that came into reach.
+    """
+    encoded = words.dictionary_encode()
+    seeds = _hashes(pa.array([f"{name}/" for name in names], pa.large_string()), np.zeros(len(names), np.uint64))
+    spelled = _hashes(encoded.dictionary, np.zeros(len(encoded.dictionary), np.uint64))
+    last = h = _mixed(spelled[encoded.indices.to_numpy()] + seeds[langs])
+    held = np.zeros(int(piece[-1]) + 1, bool)
+    for n in range(1, LONGEST):
+        if n > 1:
+            h = _mixed(h[:-1] * _GOLDEN + last[n - 1 :] + np.uint64(n - 1))
+        some = np.flatnonzero(added.has_any(h))
+        some = some[piece[some] == piece[some + n - 1]]
+        held[piece[some[new.has(h[some]) & ~old.has(h[some])]]] = True
+        if len(h) == 1:
+            break
+    return held[piece]
 
 
 def _count_pass(
-    batches: Iterator[pa.RecordBatch], new: Broadcast, old: Broadcast | None, likely: Broadcast | None
+    batches: Iterator[pa.RecordBatch], new: Broadcast, old: Broadcast, first: bool
 ) -> Iterator[pa.RecordBatch]:
-    """Counts of every stretch as spelled; with the first pass, rows of no words hold the number of words.
+    """Counts of every stretch as spelled, of all that was not within reach of ``old``.
 
-    ``likely`` (None: all) has the hashes of phrases that may be frequent.
+    The first pass also counts what was, where ``new`` has it; its rows of no words hold the number of words.
     """
-    now, before, some = _unpacked(new), _unpacked(old) if old else None, _unpacked(likely) if likely else None
+    now, before = _unpacked(new), _unpacked(old)
+    added = None if first else Filter(now.bits & ~before.bits)
     held, size = [], 0
     for words, langs, piece, names in _stretches(batches):
-        if before is None:
+        if first:
             total, none = np.bincount(langs, minlength=len(names)), np.zeros(len(names), np.int64)
-            held.append(_rows(pa.array(names), 0, pa.array([""] * len(names)), none, none == 1, total))
+            held.append(_rows(pa.array(names), pa.array([""] * len(names)), none, total))
+        else:
+            near = _near(words, langs, piece, names, now, before, added)
+            if not near.any():
+                continue
+            words, langs, piece = words.filter(pa.array(near)), langs[near], piece[near]
         for spelled, level in _levels(words, langs, piece, names, now, before):
-            mine = level.wanted & some.has(level.h) if some else level.wanted
+            mine = level.wanted | level.known if first else level.wanted
             if not mine.any():
                 continue
             parts = [spelled.take(pa.array(level.spelling[mine, j])) for j in range(level.n)]
             phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if level.n > 1 else parts[0]
-            held.append(_rows(
-                pa.array(names).take(pa.array(level.lang[mine])), level.n, phrase.cast(pa.string()), level.h[mine],
-                level.known[mine], level.count[mine],
-            ))
-            size += held[-1].num_rows
-        if size >= PACKED // 4:
-            yield from _rows_added_up(held)
+            langs_of = pa.array(names).take(pa.array(level.lang[mine]))
+            held.append(_rows(langs_of, phrase.cast(pa.string()), level.h[mine], level.count[mine]))
+            size += held[-1].nbytes
+        if size >= PACKED * 16:
+            yield from _spelled_packs(held)
             size = 0
+            pa.default_memory_pool().release_unused()  # what grouping took, which Arrow would keep for later tasks
     if held:
-        yield from _rows_added_up(held)
+        yield from _spelled_packs(held)
+    pa.default_memory_pool().release_unused()
 
 
 def _sampled(batches: Iterator[pa.RecordBatch], one_in: int) -> Iterator[pa.RecordBatch]:
@@ -349,27 +512,25 @@ def _proposed(sample: DataFrame, least: int, bits: np.ndarray) -> np.ndarray:
 def _mined(texts: DataFrame, least: int, bits: np.ndarray) -> DataFrame:
     """``lang, n, phrase, f`` of every phrase found ``least`` times, and rows ``n = 0`` with the word counts.
 
-    ``bits`` proposes. Every pass counts what came into reach by the failures of the last; a
+    ``bits`` proposes. Hashes tell which proposals and border phrases may be frequent; the first pass counts these, and what
+    they bring into reach. Every later pass counts what came into reach by the failures of the last; a
     failure has more words in each pass, so there are at most ``LONGEST`` passes.
     """
-    spark, found, old = texts.sparkSession, [], None
+    spark, found = texts.sparkSession, []
+    old = _sent(spark, bits)
+    bits = _added(np.zeros_like(bits), stored(_likely_hashes(texts, old, None, least), "phrase-hashes"))
     while True:
-        new, likely = _sent(spark, bits), None
-        if old is None:  # later passes have few phrases in reach
-            hashes = stored(_likely_hashes(texts, new, None, least), "phrase-hashes")
-            likely = _sent(spark, _added(np.zeros_like(bits), hashes))
-        rows = texts.mapInArrow(lambda b, n=new, o=old, k=likely: _count_pass(b, n, o, k), ROWS)
-        counts = rows.groupBy("lang", "n", "phrase", "h", "known").agg(F.sum("f").alias("f"))
-        frequent = stored(counts.filter((F.col("f") >= least) | (F.col("n") == 0)), "phrase-counts")
+        new = _sent(spark, bits)
+        packs = texts.mapInArrow(lambda b, n=new, o=old, first=not found: _count_pass(b, n, o, first), SPELLED)
+        packs = packs.repartition("first").sortWithinPartitions("first")
+        frequent = stored(packs.mapInArrow(lambda b, n=new: _often_spelled(b, n, least), ROWS), "phrase-counts")
         found.append(frequent.drop("known", "h"))
-        for sent in (old, likely):
-            if sent is not None:
-                sent.destroy()
-        failures = frequent.filter(~F.col("known") & F.col("n").between(1, LONGEST - 1))
-        if failures.isEmpty():
-            new.destroy()
+        old.destroy()
+        old, before = new, bits
+        bits = _added(before, frequent.filter(~F.col("known") & F.col("n").between(1, LONGEST - 1)))
+        if np.array_equal(bits, before):  # a failure is not in the filter, so it adds to it
+            old.destroy()
             break
-        old, bits = new, _added(bits, failures)
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import random
+import zlib
 from collections import Counter
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import LONG, ODD_TEXTS
 
@@ -126,6 +128,115 @@ def test_failures_of_the_sample_are_found(spark, monkeypatch):
     assert mined(frame, least=5) == want and len(passes) == 3 + 1 + 3
 
 
+class Sent:
+    """A filter as a task gets it."""
+
+    def __init__(self, bits):
+        self.value = zlib.compress(bits)
+
+
+def some_of(h, size=1 << 12, odds=0.5, seed=1):
+    """A filter with a part of the hashes."""
+    bits, rng = np.zeros(size, np.uint8), random.Random(seed)
+    for x in h:
+        if rng.random() < odds:
+            for at in (x % (size * 8), (x >> 32) % (size * 8)):
+                bits[at >> 3] |= 1 << (at & 7)
+    return bits
+
+
+def text_batches(seed, each=20):
+    rows = texts_with_phrases(seed)
+    langs, texts = [(g or "und") + "\n" for *_, g in rows], [t for _, t, _ in rows]
+    every = pa.RecordBatch.from_arrays([pa.array(langs), pa.array(texts)], names=["lang", "text"])
+    return [every.slice(i, each) for i in range(0, len(rows), each)]
+
+
+def all_phrases(batches):
+    """Every phrase's hash, and its count."""
+    spelled, f = {}, Counter()
+    for words, langs, piece, names in P._stretches(iter(batches)):
+        for words_, level in P._levels(words, langs, piece, names, P.Filter(np.full(8, 255, np.uint8)), None):
+            for i, h in enumerate(level.h.tolist()):
+                spelled[h] = names[level.lang[i]], " ".join(words_[int(j)].as_py() for j in level.spelling[i])
+                f[h] += int(level.count[i])
+    return spelled, f
+
+
+def in_order(batches):
+    """Rows as they come out of the shuffle."""
+    rows = pa.Table.from_batches(list(batches))
+    return rows.sort_by("first").to_batches(max_chunksize=5)
+
+
+@pytest.mark.parametrize("packed", [40, 1 << 21])
+@pytest.mark.parametrize("least", [2, 300])
+def test_packed_hashes_add_up(monkeypatch, packed, least):
+    monkeypatch.setattr(P, "PACKED", packed)
+    batches = text_batches(5) * 3
+    _, f = all_phrases(batches)
+    rows = P._hash_counts(iter(batches), Sent(np.full(8, 255, np.uint8)), None, least)
+    got = [h % 2**64 for b in P._often(in_order(rows), least) for h in b["h"].to_pylist()]
+    assert len(got) == len(set(got)) and set(got) == {h for h, n in f.items() if n >= least}
+
+
+def test_hashes_take_no_row_each():
+    h = np.sort(np.random.default_rng(1).integers(0, 2**64, 500_000, np.uint64))
+    rows = list(P._packs(h, np.arange(len(h)), 30))
+    assert sum(r.num_rows for r in rows) <= 1 << 16 and max(r.num_rows for r in rows) <= P.BATCH
+    back = [P._of_packs(r, 30) for r in rows]
+    assert (np.concatenate([x for x, _ in back]) == h).all()
+    assert (np.concatenate([n for _, n in back]) == np.minimum(np.arange(len(h)), 30)).all()
+
+
+@pytest.mark.parametrize("packed", [10, 1 << 21])
+def test_packed_spellings_add_up(monkeypatch, packed):
+    monkeypatch.setattr(P, "PACKED", packed)
+    batches = text_batches(6) * 3
+    spelled, f = all_phrases(batches)
+    every = Sent(np.full(8, 255, np.uint8))
+    rows = in_order(P._count_pass(iter(batches), every, Sent(np.zeros(8, np.uint8)), True))
+    got = [r for b in P._often_spelled(iter(rows), every, 9) for r in b.to_pylist()]
+    want = {(*spelled[h], h, n) for h, n in f.items() if n >= 9}
+    assert {(r["lang"], r["phrase"], r["h"] % 2**64, r["f"]) for r in got if r["n"]} == want
+    assert all(r["n"] == len(r["phrase"].split()) and r["known"] for r in got if r["n"])
+    totals = Counter()
+    for h, n in f.items():
+        if " " not in spelled[h][1]:
+            totals[spelled[h][0]] += n
+    assert {r["lang"]: r["f"] for r in got if not r["n"]} == totals
+    assert len(got) == len(want) + len(totals)
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_pieces_left_out_hold_nothing_that_came_into_reach(seed):
+    batches = text_batches(seed)
+    spelled, f = all_phrases(batches)
+    old = some_of(f, odds=0.6, seed=seed)
+    new = old | some_of([h for h in f if f[h] < 3], odds=0.1, seed=seed)
+    left_out = 0
+    for words, langs, piece, names in P._stretches(iter(batches)):
+        def found(keep):
+            levels = P._levels(words.filter(pa.array(keep)), langs[keep], piece[keep], names, P.Filter(new), P.Filter(old))
+            return Counter({h: n for _, v in levels for h, n in zip(v.h[v.wanted].tolist(), v.count[v.wanted].tolist())})
+
+        near = P._near(words, langs, piece, names, P.Filter(new), P.Filter(old), P.Filter(new & ~old))
+        left_out += int((~near).sum())
+        assert found(near) == found(np.ones(len(piece), bool))
+    assert left_out
+
+
+def test_failures_of_the_border_need_no_pass_of_their_own(spark, monkeypatch):
+    """Hashes tell which words fail, so the first pass that spells counts words and pairs, and two more the rest."""
+    rows = [(i, " ".join([f"u{i} v{i} w{i} z{i}"] * 7), "en") for i in range(12)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    stored, written = P.stored, []
+    monkeypatch.setattr(P, "stored", lambda df, purpose: written.append(purpose) or stored(df, purpose))
+    monkeypatch.setattr(P, "SAMPLE", 1 << 40)
+    assert mined(frame, least=5) == brute.collocations([(t, g) for _, t, g in rows], 5, 2000)
+    assert written.count("phrase-counts") == 3 and written.count("phrase-hashes") == 1
+
+
 @pytest.mark.parametrize("bits,one_in", [(1 << 8, 1 << 40), (1 << 9, 8), (1 << 10, 1 << 40)])
 def test_phrases_that_a_crowded_filter_has_by_mistake_are_still_extended(spark, monkeypatch, bits, one_in):
     """A pair that an earlier filter held, but whose words it did not, was never reached then."""
