@@ -111,3 +111,23 @@ def test_keys_and_versions_compare_after_conforming(spark):
     got = conform(spark.createDataFrame(rows, "c string, n string, v string, id string"), spec).collect()
     assert sorted((r.country, r.number, r.v) for r in got if r.number) == [("US", 1, "new")]
     assert sorted(r.v for r in got if r.number is None) == ["bad", "worse"]
+
+
+def test_rows_are_shuffled_as_values_not_as_text(spark, sample):
+    """Stored silver ranks typed rows: no text of a date or an amount takes part in its shuffle, and the counts are as before."""
+    from pyspark.sql import functions as F
+
+    from martloom.operators.conform import observed_silver
+
+    spec = SPECS["sales_header"]
+    bronze = sample.bronze("sales_header").limit(400).withColumn("orderdate", F.when(F.col("id") % 5 == 0, "31/02/1995").otherwise(F.col("orderdate")))
+    path_rows = spark.createDataFrame(bronze.collect(), bronze.schema)
+    rows, read, _ = observed_silver(path_rows, spec)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    shuffled = plan[plan.index("Exchange hashpartitioning"):]
+    ranked = shuffled[: shuffled.index("CollectMetrics")]
+    assert "orderdate" not in ranked and "totalamount" not in ranked and "order_date" in ranked
+    assert rows.count() > 0
+    counts = dict(read.get)
+    assert counts.pop("_rows") == path_rows.count()
+    assert counts == {r.column_name: r.unreadable for r in parse_failures(path_rows, spec).collect()} and counts["order_date"] > 0
