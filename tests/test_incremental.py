@@ -183,3 +183,56 @@ def test_tables_loaded_in_parts_lie_on_disk_once(spark, sf_dir):
     loaded = _loaded_in_parts(Context(spark, sf_dir))
     for layer, table in (("silver", "sales_details"), ("gold", "fct_sales_details")):
         assert len(loaded.table(layer, table).versions()) == 1
+
+
+def test_rows_that_arrive_in_loads_are_composed_once(spark, sf_dir, sample, monkeypatch):
+    from martloom.registry import stored
+    from martloom.registry.core import Context
+    from martloom.sources.sample import SampleTables
+
+    made, compose = Counter(), SampleTables.bronze
+    monkeypatch.setattr(SampleTables, "bronze", lambda self, table: made.update([table]) or compose(self, table))
+    landed = stored._landed(Context(spark, sf_dir))
+    assert made == Counter(list(SPECS))
+    rows = lambda df: Counter(map(tuple, df.collect()))
+    for table in ("region", "sales_returns"):
+        loads = [landed[table].filter(F.col("_load") == n).drop("_load") for n in range(stored.LOADS)]
+        assert sum(map(rows, loads), Counter()) == rows(compose(sample, table))
+
+
+def test_loads_taken_as_a_whole_equal_one_refresh(spark, sample, tmp_path, folders, monkeypatch):
+    monkeypatch.setattr(incremental, "BULK", 0)
+    monkeypatch.setattr(incremental, "with_keys", lambda *_: pytest.fail("a bulk load is joined with its keys"))
+    grown, whole = Lake(spark, str(tmp_path / "grown")), Lake(spark, str(tmp_path / "whole"))
+    parts = F.pmod(F.xxhash64("id"), F.lit(10))
+    for load, mine in enumerate((parts < 6, parts >= 6)):
+        for table in SPECS:
+            land(grown, table, sample.bronze(table).filter(mine), f"load-{load}")
+        report = report_of(grown)
+    assert report["silver", "sales_details"].outcome == "merged" and report["gold", "fct_sales_details"].outcome == "rebuilt"
+    for table in SPECS:
+        whole.replace(sample.bronze(table), "bronze", table)
+    refresh.refresh_silver(whole)
+    refresh.refresh_gold(whole)
+    assert_equal_marts(grown, whole)
+
+
+def test_a_bulk_load_leaves_folders_beyond_its_keys(spark, tmp_path, monkeypatch):
+    """Older versions lose, dropped and unreadable rows stay as they were, and a year whose keys lie elsewhere is not rewritten."""
+    monkeypatch.setattr(incremental, "BULK", 0)
+    lake = Lake(spark, str(tmp_path))
+    schema = "id string, finance_key string, account_key string, organization_key string, department_group_key string, scenario string, transaction_date string, amount string"
+    row = lambda i, key, day, scenario="Actual", amount="1,50": (i, key, "1", "1", "1", scenario, day, amount)
+    loads = [
+        [row("5", "1", "01/02/1995"), row("5", "2", "01/02/1995", "Other"), row("5", "9", "01/02/1997"), row("5", "x", None), row("5", None, None)],
+        [row("4", "1", "01/02/1996"), row("6", "2", "01/02/1996"), row("4", "x", None), row("7", "y", "01/02/1996"), row("6", "3", None)],
+    ]
+    for n, rows in enumerate(loads):
+        land(lake, "finance", spark.createDataFrame(rows, schema), f"load-{n}")
+        before = lake.table("silver", "finance").version()
+        assert merge_silver(lake, "finance").outcome == ("merged" if n else "rebuilt")
+    shown = {(r.finance_key, str(r.transaction_date)) for r in lake.read("silver", "finance").collect()}
+    assert shown == {(1, "1995-02-01"), (2, "1996-02-01"), (9, "1997-02-01"), (3, "None")}
+    after = lake.table("silver", "finance").version()
+    kept = set(before.parts) & set(after.parts)
+    assert [p.rpartition("=")[2] for p in kept] == ["1997"] and lake.table("silver", "finance").read().count() == 7
