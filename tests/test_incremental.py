@@ -185,6 +185,22 @@ def test_tables_loaded_in_parts_lie_on_disk_once(spark, sf_dir):
         assert len(loaded.table(layer, table).versions()) == 1
 
 
+def test_a_table_that_fails_is_no_result(spark, sf_dir, monkeypatch):
+    """A fact that fails in a later load is still there as of the one before: the question must not be answered from it."""
+    from martloom.registry import QUERIES
+
+    merge = incremental.merge_gold
+
+    def failing(lake, table):
+        if table == "fct_sales_details" and lake.exists("gold", table):
+            raise OSError("power")
+        return merge(lake, table)
+
+    monkeypatch.setattr(incremental, "merge_gold", failing)
+    with pytest.raises(RuntimeError, match="gold.fct_sales_details failed: OSError: power"):
+        QUERIES["incremental_net_sales_by_year"].run(spark, sf_dir)
+
+
 def test_rows_that_arrive_in_loads_are_composed_once(spark, sf_dir, sample, monkeypatch):
     from martloom.registry import stored
     from martloom.registry.core import Context
