@@ -131,3 +131,17 @@ def test_no_bitmap_is_shuffled_before_its_numbers_are_together(spark):
     assert plan.count("Exchange ") == 1
     exchange = plan[plan.index("Exchange "):]
     assert "bitmap_construct_agg" not in exchange and distinct_counts(made, [], [], "n").first()[0] == 1000
+
+
+def test_lines_of_rollups_meet_the_names_of_places_last(spark, sf_dir, monkeypatch):
+    """The flat view that joins places at its end is written once, as stored tables are."""
+    from martloom.plans import rollups
+    from martloom.registry import stored
+    from martloom.registry.core import Context
+
+    seen = []
+    monkeypatch.setattr(stored, "refresh_rollups", lambda lake, view, rows: seen.append((rows, rollups._lines_at_hand(rows(), view, COMMERCIAL_GRAINS))))
+    stored._rolled(Context(spark, sf_dir))
+    ((rows, lines),) = seen
+    assert rows.__name__ == "transactions_view" and lines.inputFiles() and all(".zstd." in f for f in lines.inputFiles())
+    assert lines.count() == rows().count() > 0
